@@ -25,11 +25,8 @@ def blank_to_null(column: Column) -> Column:
 
 
 def squeeze(column: Column) -> Column:
-    """Turn every white-space run into one blank.
-
-    A lone blank is already right, so the pattern leaves it unmatched.
-    """
-    return F.regexp_replace(column, r"\s{2,}|[\t\n\x0B\f\r]", " ")
+    """Turn every white-space run into one blank."""
+    return F.regexp_replace(column, r"\s+", " ")
 
 
 def clean_text(column: Column) -> Column:
@@ -65,34 +62,43 @@ def contains_any(column: Column, words: tuple[str, ...]) -> Column:
     return reduce(or_, [lowered.contains(word) for word in words], F.lit(False))
 
 
-def _casefold_tables() -> tuple[str, str, dict[str, str]]:
-    """Unicode case folding as (from, to, expansions), derived from the interpreter."""
-    single, expanded = {}, {}
-    for char in map(chr, range(sys.maxunicode + 1)):
-        folded = char.casefold()
-        if folded != char:
-            (single if len(folded) == 1 else expanded)[char] = folded
-    return "".join(single), "".join(single.values()), expanded
+def _code_point_class(chars: list[str]) -> str:
+    """Regex class of ``chars``, neighbouring code points written as ranges."""
+    points, parts = sorted(map(ord, chars)), []
+    while points:
+        first = last = points.pop(0)
+        while points and points[0] == last + 1:
+            last = points.pop(0)
+        parts.append(f"\\x{{{first:x}}}-\\x{{{last:x}}}")
+    return "[" + "".join(parts) + "]"
 
 
-_FROM, _TO, _EXPANDED = _casefold_tables()
+# Case folding, derived from the interpreter's Unicode tables. Lower case is already
+# the fold of nearly all text; _SIMPLE mends two common letters of it, and only text
+# with one of the few hundred other exceptions takes the exact route. Capital sigma
+# counts as one, since its lower case depends on its place in the word.
+_ALL = list(map(chr, range(sys.maxunicode + 1)))
+_SIMPLE = {"ß": "ss", "µ": "μ"}
+_RARE = [c for c in _ALL if c.casefold() != c.lower() and c not in "ßẞµ"] + ["Σ"]
+_ONE_TO_ONE = [c for c in _ALL if c.casefold() != c and len(c.casefold()) == 1]
+_GROWING = [c for c in _ALL if len(c.casefold()) > 1]
+# The first range turns most letters away before the long list is looked at.
+_HAS_RARE = f"[\\x{{{min(map(ord, _RARE)):x}}}-\\x{{10ffff}}&&{_code_point_class(_RARE)}]"
 
 
 def fold(column: Column) -> Column:
-    """Full Unicode case folding without a Python worker.
-
-    Plain ASCII takes ``lower``. Other text goes through one ``translate`` for the
-    one-to-one folds; the folds that grow (``ß`` to ``ss``) run only where such a
-    character occurs.
-    """
-    translated = F.translate(column, _FROM, _TO)
-    grown = F.aggregate(
-        F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in _EXPANDED.items()]),
-        translated,
+    """Full Unicode case folding without a Python worker."""
+    simple = F.lower(column)
+    for char, folded in _SIMPLE.items():
+        simple = F.replace(simple, F.lit(char), F.lit(folded))
+    folds = "".join(c.casefold() for c in _ONE_TO_ONE)
+    exact = F.aggregate(
+        F.array(*[F.array(F.lit(c), F.lit(c.casefold())) for c in _GROWING]),
+        F.translate(column, "".join(_ONE_TO_ONE), folds),
         lambda text, pair: F.replace(text, pair[0], pair[1]),
     )
     return (
         F.when(F.octet_length(column) == F.char_length(column), F.lower(column))
-        .when(column.rlike("[" + "".join(_EXPANDED) + "]"), grown)
-        .otherwise(translated)
+        .when(column.rlike(_HAS_RARE), exact)
+        .otherwise(simple)
     )

@@ -13,7 +13,10 @@ from listinglake.constants import (
 )
 from listinglake.functions.text import strip
 
-_WALL_CLOCK = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2})?$"
+# A full date or date and time, with whatever fraction and zone may follow.
+_WALL_CLOCK = (
+    r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2})?(?:" + FRACTION_AND_ZONE[:-1] + ")?$"
+)
 _NUMBER = r"^-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?$"
 _YEAR_10000 = 253_402_300_800
 
@@ -23,8 +26,8 @@ def parse_publication(column: Column, offset: str = "drop") -> Column:
 
     ``offset="drop"`` keeps the wall clock of a full date and time and ignores its
     fraction and zone. ``offset="convert"`` applies the zone. Both fall back to
-    Spark's own tolerant cast, so one cast per row does the work and no formatter
-    pattern is tried and thrown away.
+    Spark's own tolerant cast. One match and one cast per row do the work; no
+    formatter pattern is tried and thrown away.
     """
     text = column.cast("string")
     tolerant = text.try_cast("timestamp")
@@ -32,9 +35,10 @@ def parse_publication(column: Column, offset: str = "drop") -> Column:
         return tolerant
     if offset != "drop":
         raise ValueError(f"offset must be 'drop' or 'convert', not {offset!r}")
-    wall = F.regexp_replace(text, FRACTION_AND_ZONE, "")
+    timed = F.substring(text, 11, 1).isin("T", " ")
+    wall = F.when(timed, F.substring(text, 1, 19)).otherwise(F.substring(text, 1, 10))
     return F.when(
-        wall.rlike(_WALL_CLOCK), F.coalesce(wall.try_cast("timestamp"), tolerant)
+        text.rlike(_WALL_CLOCK), F.coalesce(wall.try_cast("timestamp"), tolerant)
     ).otherwise(tolerant)
 
 

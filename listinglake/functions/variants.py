@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from listinglake.functions.text import strip, text_or_empty
 from listinglake.functions.times import epoch_text
 
-_NUMERIC = r"^(?:BIGINT|DOUBLE|FLOAT|DECIMAL)"
-
 
 def _path(name: str) -> str:
     return f"$['{name}']"
@@ -24,6 +22,11 @@ def field(value: Column, name: str) -> Column:
     return F.try_variant_get(value, _path(name), "string")
 
 
+def kind(value: Column, name: str) -> Column:
+    """JSON type of member ``name``, such as ``STRING`` or ``BIGINT``."""
+    return F.schema_of_variant(member(value, name))
+
+
 def is_object(value: Column) -> Column:
     return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
 
@@ -33,16 +36,24 @@ def items(value: Column, name: str | None = None) -> Column:
     return F.try_variant_get(value, _path(name) if name else "$", "array<variant>")
 
 
-def truthy(value: Column, name: str) -> Column:
-    """Member ``name``, or null when it is empty: ``""``, 0, false, [], {} or null."""
-    raw = member(value, name)
-    kind, text = F.schema_of_variant(raw), F.try_variant_get(raw, "$", "string")
-    empty = (
-        text.isin("", "[]", "{}")
-        | ((kind == "BOOLEAN") & (text == "false"))
-        | (kind.rlike(_NUMERIC) & (text.try_cast("double") == 0))
-    )
-    return F.when(text.isNotNull() & ~F.coalesce(empty, F.lit(False)), raw)
+def is_truthy(value: Column, name: str) -> Column:
+    """False for an absent member and for ``""``, 0, false, [] and {}; blanks are true.
+
+    The type is looked at only for the few texts that could be such a value.
+    """
+    text = field(value, name)
+    could_be_empty = text.rlike(r"^(?:-?0(?:\.0+)?|false|\[\]|\{\})$")
+    empty = (text == "") | (could_be_empty & (kind(value, name) != "STRING"))
+    return F.coalesce(~empty, F.lit(False))
+
+
+def first_truthy(value: Column, names: tuple[str, ...], read=field) -> Column:
+    """``read`` of the first truthy member; the last name is taken as it is."""
+    *first, last = names
+    result = read(value, last)
+    for name in reversed(first):
+        result = F.when(is_truthy(value, name), read(value, name)).otherwise(result)
+    return result
 
 
 def _quoted(entry: Column) -> Column:
@@ -51,36 +62,26 @@ def _quoted(entry: Column) -> Column:
     return F.when(entry.contains("'") & ~entry.contains('"'), double).otherwise(single)
 
 
-def as_text(value: Column) -> Column:
-    """Stripped text of a member, ``""`` for null.
-
-    Lists of texts and booleans read as boards' listings always did: ``['a', 'b']`` and
-    ``True``.
-    """
-    text, kind = F.try_variant_get(value, "$", "string"), F.schema_of_variant(value)
-    entries = F.try_variant_get(value, "$", "array<string>")
-    listed = F.concat(
-        F.lit("["), F.array_join(F.transform(entries, _quoted), ", "), F.lit("]")
-    )
-    return text_or_empty(
-        F.when(text.startswith("[") & (kind == "ARRAY<STRING>"), listed)
-        .when(text.isin("true", "false") & (kind == "BOOLEAN"), F.initcap(text))
-        .otherwise(text)
-    )
+def text_or_list(value: Column, name: str) -> Column:
+    """Member as text; a list of texts reads ``['a', 'b']``."""
+    text = field(value, name)
+    entries = F.try_variant_get(value, _path(name), "array<string>")
+    listed = F.concat(F.lit("["), F.array_join(F.transform(entries, _quoted), ", "), F.lit("]"))
+    return F.when(text.startswith("[") & (kind(value, name) != "STRING"), listed).otherwise(text)
 
 
-def first_tag(tags: Column) -> Column:
+def first_tag(value: Column, name: str) -> Column:
     """First non-blank entry of a list, or the stripped text of a plain value."""
-    entries = F.transform(F.try_variant_get(tags, "$", "array<string>"), strip)
-    first = F.get(F.filter(entries, lambda tag: tag != ""), F.lit(0))
-    return F.when(entries.isNotNull(), F.coalesce(first, F.lit(""))).otherwise(as_text(tags))
+    entries = F.try_variant_get(value, _path(name), "array<string>")
+    tags = F.filter(F.transform(entries, strip), lambda tag: tag != "")
+    listed = F.coalesce(F.get(tags, F.lit(0)), F.lit(""))
+    return F.when(entries.isNotNull(), listed).otherwise(text_or_empty(field(value, name)))
 
 
 def publication(value: Column) -> Column:
-    """ISO text of a date member; only JSON numbers count as epochs."""
+    """ISO text of a date ``value``; only JSON numbers count as epochs."""
     number = F.when(
-        F.schema_of_variant(value).rlike(_NUMERIC), F.try_variant_get(value, "$", "double")
-    )
-    return F.when(number.isNotNull(), F.coalesce(epoch_text(number), F.lit(""))).otherwise(
-        as_text(value)
+        F.schema_of_variant(value) != "STRING", F.try_variant_get(value, "$", "double")
     )
+    text = text_or_empty(F.try_variant_get(value, "$", "string"))
+    return F.when(number.isNotNull(), F.coalesce(epoch_text(number), F.lit(""))).otherwise(text)

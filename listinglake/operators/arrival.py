@@ -11,10 +11,11 @@ goes. What is left is a smaller problem of the same kind. Both minima are map-si
 aggregates and the winners are matched on the unique arrival, so a hot id or pair
 does not reach one task; the two anti-joins salt hot keys.
 
-Usual data needs a handful of rounds. A long chain of conflicts can need as many
-rounds as it has links, so after ``plain_rounds`` every other round instead settles
-the ``slice_rows`` earliest open edges in arrival order inside one task. That slice
-is bounded by the parameter and exact, as no edge outside it arrives earlier.
+Usual data is nearly settled after a few rounds. A long chain of conflicts can need
+as many rounds as it has links, so two cases settle the ``slice_rows`` earliest open
+edges in arrival order inside one task instead: a remainder that is no larger, and
+every other round after ``plain_rounds``. A slice is bounded by the parameter and
+exact, as no edge outside it arrives earlier.
 """
 
 from __future__ import annotations
@@ -25,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listinglake.operators.skew import hot_keys, spread_join
+from listinglake.operators.skew import HOT_ROWS, hot_keys, spread_join
 from listinglake.session import remove, scratch_path
 
 PLAIN_ROUNDS = 8
-SLICE_ROWS = 200_000
+SLICE_ROWS = 100_000
 
 
 def first_arrivals(
@@ -39,6 +40,7 @@ def first_arrivals(
     arrival: list[str],
     plain_rounds: int = PLAIN_ROUNDS,
     slice_rows: int = SLICE_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows of ``frame`` that stay; ``arrival`` columns are unique and order the rows.
 
@@ -50,11 +52,13 @@ def first_arrivals(
         .groupBy("_id", "_pair")
         .agg(F.min("_arrival").alias("_arrival"))
     )
-    kept = _settle(edges, plain_rounds, slice_rows).select("_arrival")
+    kept = _settle(edges, plain_rounds, slice_rows, hot_rows).select("_arrival")
     return named.join(kept, "_arrival", "left_semi").drop("_arrival")
 
 
-def _settle(edges: DataFrame, plain_rounds: int, slice_rows: int) -> DataFrame:
+def _settle(
+    edges: DataFrame, plain_rounds: int, slice_rows: int, hot_rows: int
+) -> DataFrame:
     """The edges that stay, stored by all rounds together."""
     spark = edges.sparkSession
     root = scratch_path(spark, "first-arrivals")
@@ -69,17 +73,22 @@ def _settle(edges: DataFrame, plain_rounds: int, slice_rows: int) -> DataFrame:
         kept.append(f"{root}/{name}")
         return save(rows, name)
 
-    current, number = "open-0", 0
-    rest = save(edges, current)
+    rest, number = save(edges, "open-0"), 0
+    size = rest.count()  # from the file footers
     # Groups only shrink, so what is not hot now never becomes larger.
-    hot = {side: hot_keys(rest, [side]) for side in ("_id", "_pair")}
-    while number == 0 or not rest.isEmpty():
-        sliced = number >= plain_rounds and number % 2 == 0
-        stays = keep(_slice_winners(rest, slice_rows) if sliced else _local_winners(rest))
-        number += 1
-        rest = save(_without(rest, stays, hot), f"open-{number}")
-        remove(spark, f"{root}/{current}")
-        current = f"open-{number}"
+    hot = {side: hot_keys(rest, [side], size, rows=hot_rows) for side in ("_id", "_pair")}
+    while True:
+        last = number > 0 and size <= slice_rows
+        if last or (number >= plain_rounds and number % 2 == 0):
+            stays = keep(_slice_winners(rest, slice_rows))
+        else:
+            stays = keep(_local_winners(rest))
+        if last:
+            remove(spark, f"{root}/open-{number}")
+            break
+        following = save(_without(rest, stays, hot), f"open-{number + 1}")
+        remove(spark, f"{root}/open-{number}")
+        rest, number, size = following, number + 1, following.count()
     return spark.read.schema(edges.schema).parquet(*kept)
 
 
@@ -90,7 +99,9 @@ def _local_winners(edges: DataFrame) -> DataFrame:
     return by_id.join(by_pair, "_arrival").select("_id", "_pair", "_arrival")
 
 
-def _without(edges: DataFrame, stays: DataFrame, hot: dict[str, DataFrame]) -> DataFrame:
+def _without(
+    edges: DataFrame, stays: DataFrame, hot: dict[str, DataFrame | None]
+) -> DataFrame:
     """Edges that touch no id and no pair of ``stays``."""
     for side in ("_id", "_pair"):
         edges = spread_join(edges, stays.select(side), [side], "left_anti", hot[side], ["_arrival"])

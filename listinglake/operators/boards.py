@@ -2,33 +2,52 @@
 
 A response body is parsed once into a VARIANT. Members keep their JSON type, so an
 epoch number and quoted digits stay apart, and an entry that is no object simply has
-no members.
+no members. All boards go through one projection over one scan: a field is a CASE on
+the board, not a union of three passes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listinglake.constants import BOARDS
 from listinglake.functions import variants as V
 from listinglake.functions.keys import canonical_id
-from listinglake.functions.text import blank_to_null, strip
-
-_ARRAY_OF = {"remotive": "jobs", "jobicy": "jobs", "arbeitnow": "data"}
+from listinglake.functions.text import blank_to_null, strip, text_or_empty
+
+# --- fixed values: where each board keeps a field; the first non-empty member wins
+_ARRAYS = {"arbeitnow": "data"}
+_NATIVE_ID = {"arbeitnow": ("slug", "url", "title")}
+_TITLE = {"jobicy": ("jobTitle", "title")}
+_COMPANY = {"jobicy": ("companyName", "company_name")}
+_CATEGORY = {"jobicy": ("jobIndustry", "category")}
+_PUBLISHED = {
+    "jobicy": ("pubDate", "publication_date"),
+    "arbeitnow": ("created_at", "publication_date"),
+}
+_LOCATION = {
+    "jobicy": ("jobGeo", "candidate_required_location"),
+    "arbeitnow": ("location",),
+}
+_DESCRIPTION = {"jobicy": ("jobDescription", "description")}
 
 
 def parse(responses: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``payload`` (VARIANT), ``accepted`` and ``reason`` to landed responses.
+    """Add ``payload`` (VARIANT), ``reason`` and ``accepted`` to landed responses.
 
     Accepted is valid JSON whose top level is an object.
     """
-    parsed = F.try_parse_json(F.col(body))
-    return responses.withColumn("payload", parsed).withColumn(
-        "reason",
-        F.when(F.col("payload").isNull(), "not valid JSON").when(
-            ~strip(F.col(body)).startswith("{"), "not a JSON object"
-        ),
-    ).withColumn("accepted", F.col("reason").isNull())
+    reason = F.when(F.col("payload").isNull(), "not valid JSON").when(
+        ~strip(F.col(body)).startswith("{"), "not a JSON object"
+    )
+    return (
+        responses.withColumn("payload", F.try_parse_json(F.col(body)))
+        .withColumn("reason", reason)
+        .withColumn("accepted", F.col("reason").isNull())
+    )
 
 
 def split(responses: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
@@ -54,104 +73,99 @@ def actual_count(payload: Column) -> Column:
     return F.greatest(F.size(V.items(payload, "jobs")), F.lit(0)).cast("bigint")
 
 
-def _remotive(job: Column, category: Column) -> dict[str, Column]:
-    def text(name: str) -> Column:
-        return V.as_text(V.member(job, name))
-
-    return {
-        "native": V.field(job, "id"),
-        "title": text("title"),
-        "company_name": text("company_name"),
-        "category": F.coalesce(blank_to_null(text("category")), category),
-        "publication_date": V.publication(V.member(job, "publication_date")),
-        "candidate_required_location": text("candidate_required_location"),
-        "salary": text("salary"),
-        "description": text("description"),
-        "url": text("url"),
-    }
-
-
-def _either(job: Column, first: str, second: str) -> Column:
-    """``first`` unless it is empty, else ``second``."""
-    return F.coalesce(V.truthy(job, first), V.member(job, second))
-
-
-def _jobicy(job: Column, category: Column) -> dict[str, Column]:
-    def text(first: str, second: str) -> Column:
-        return V.as_text(_either(job, first, second))
-
-    return {
-        "native": V.field(job, "id"),
-        "title": text("jobTitle", "title"),
-        "company_name": text("companyName", "company_name"),
-        "category": F.coalesce(blank_to_null(text("jobIndustry", "category")), category),
-        "publication_date": V.publication(_either(job, "pubDate", "publication_date")),
-        "candidate_required_location": text("jobGeo", "candidate_required_location"),
-        "salary": V.as_text(V.member(job, "salary")),
-        "description": text("jobDescription", "description"),
-        "url": V.as_text(V.member(job, "url")),
-    }
-
-
-def _arbeitnow(job: Column, category: Column) -> dict[str, Column]:
-    def text(name: str) -> Column:
-        return V.as_text(V.member(job, name))
-
-    native = F.coalesce(V.truthy(job, "slug"), V.truthy(job, "url"), V.truthy(job, "title"))
-    return {
-        "native": F.try_variant_get(native, "$", "string"),
-        "title": text("title"),
-        "company_name": text("company_name"),
-        "category": F.coalesce(blank_to_null(V.first_tag(V.member(job, "tags"))), category),
-        "publication_date": V.publication(_either(job, "created_at", "publication_date")),
-        "candidate_required_location": text("location"),
-        "salary": text("salary"),
-        "description": text("description"),
-        "url": text("url"),
-    }
-
-
-_RULES = {"remotive": _remotive, "jobicy": _jobicy, "arbeitnow": _arbeitnow}
-
-
-def listings(accepted: DataFrame, source: str) -> DataFrame:
-    """One raw listing (``job``) per array entry, with its place in the response."""
-    return accepted.select(
-        *[c for c in accepted.columns if c not in ("payload", "body")],
-        F.posexplode(V.items(F.col("payload"), _ARRAY_OF[source])).alias("position", "job"),
+def _per_board(boards: Sequence[str], special: dict, default, make) -> Column:
+    """CASE over the boards that differ; boards with equal rules share a branch."""
+    source, result = F.col("source"), None
+    rules = {board: special.get(board, default) for board in boards}
+    for rule in dict.fromkeys(rules.values()):
+        names = [board for board, its in rules.items() if its == rule]
+        test = source.isin(*names)
+        result = F.when(test, make(rule)) if result is None else result.when(test, make(rule))
+    return result
+
+
+def listings(
+    responses: DataFrame, carry: Sequence[str] = (), boards: Sequence[str] = BOARDS
+) -> DataFrame:
+    """One raw listing (``job``) per array entry, with its ``position``.
+
+    Needs ``source``, ``query_category`` and ``body``. A rejected response has no
+    array and gives one row with a null ``job``, which :func:`normalise` drops: the
+    outer explode keeps Spark from parsing each body a second time in a filter.
+    """
+    payload = F.try_parse_json("body")
+    entries = _per_board(boards, _ARRAYS, "jobs", lambda name: V.items(payload, name))
+    return responses.select(*carry, "source", "query_category", entries.alias("entries")).select(
+        *carry, "source", "query_category", F.posexplode_outer("entries").alias("position", "job")
     )
 
 
 def normalise(
-    jobs: DataFrame, source: str, carry: tuple[str, ...] = (), job: str = "job"
+    jobs: DataFrame, carry: Sequence[str] = (), boards: Sequence[str] = BOARDS
 ) -> DataFrame:
-    """Listings of one board on the canonical columns.
+    """Raw listings of any mix of boards on the canonical columns.
 
-    ``query_category`` is the category asked for. Rows without an id or a title go.
+    ``query_category`` is the category that was asked for. Listings without a native
+    id or a title go.
     """
-    found = _RULES[source](F.col(job), F.col("query_category"))
-    rows = jobs.select(*carry, "query_category", *[c.alias(n) for n, c in found.items()])
+    job = F.col("job")
+
+    def text(special: dict, default: str) -> Column:
+        return _per_board(
+            boards, special, (default,), lambda names: text_or_empty(V.first_truthy(job, names))
+        )
+
+    def native(names: tuple[str, ...]) -> Column:
+        found = V.first_truthy(job, names)
+        return found if len(names) == 1 else F.when(V.is_truthy(job, names[-1]) | (found != ""), found)
+
+    def category(names: tuple[str, ...] | None) -> Column:
+        if names is None:
+            found = V.first_tag(job, "tags")
+        else:
+            found = text_or_empty(V.first_truthy(job, names, V.text_or_list))
+        return F.coalesce(blank_to_null(found), F.col("query_category"))
+
+    rows = jobs.select(
+        *carry,
+        "source",
+        "query_category",
+        _per_board(boards, _NATIVE_ID, ("id",), native).alias("native"),
+        text(_TITLE, "title").alias("title"),
+        text(_COMPANY, "company_name").alias("company_name"),
+        _per_board(boards, {**_CATEGORY, "arbeitnow": None}, ("category",), category).alias(
+            "category"
+        ),
+        _per_board(
+            boards,
+            _PUBLISHED,
+            ("publication_date",),
+            lambda names: V.first_truthy(job, names, V.member),
+        ).alias("published"),
+        text(_LOCATION, "candidate_required_location").alias("candidate_required_location"),
+        text({}, "salary").alias("salary"),
+        text(_DESCRIPTION, "description").alias("description"),
+        text({}, "url").alias("url"),
+    )
     return rows.where(F.col("native").isNotNull() & (F.col("title") != "")).select(
         *carry,
-        canonical_id(F.lit(source), F.col("native")).alias("id"),
-        F.lit(source).alias("source"),
+        canonical_id(F.col("source"), F.col("native")).alias("id"),
+        "source",
         strip(F.col("native")).alias("source_job_id"),
         "query_category",
-        *[name for name in found if name != "native"],
+        "title",
+        "company_name",
+        "category",
+        V.publication(F.col("published")).alias("publication_date"),
+        "candidate_required_location",
+        "salary",
+        "description",
+        "url",
     )
 
 
-def union_boards(accepted: DataFrame) -> DataFrame:
-    """All boards on one shape, with ``request_seq`` and ``position`` as arrival order.
-
-    ``accepted`` holds ``source, request_seq, query_category, payload``.
-    """
-    carry = ("request_seq", "position")
-    parts = [
-        normalise(listings(accepted.where(F.col("source") == s).drop("source"), s), s, carry)
-        for s in _RULES
-    ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+def union_boards(responses: DataFrame, boards: Sequence[str] = BOARDS) -> DataFrame:
+    """Listings of all boards; ``request_seq`` and ``position`` give the arrival order."""
+    return normalise(
+        listings(responses, ["request_seq"], boards), ["request_seq", "position"], boards
+    )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from listinglake.operators.skew import SHARE, hot_from_counts
+from listinglake.operators.skew import hot_from_counts
 from listinglake.session import store
 
 _SLOT_BITS = 33  # monotonically_increasing_id: partition << 33 | row
@@ -15,15 +15,18 @@ _SLOT_BITS = 33  # monotonically_increasing_id: partition << 33 | row
 
 @dataclass(frozen=True)
 class Numbered:
-    """``frame`` (key, name) and the hot names of the rows it was built from."""
+    """``frame`` (key, name) and how often each name occurs in the rows behind it."""
 
     frame: DataFrame
-    hot: DataFrame
+    counts: DataFrame
 
+    def hot(self, **limits) -> DataFrame | None:
+        """The names a join of those rows has to salt; None when there are none."""
+        total = self.counts.agg(F.sum("_rows")).first()[0] or 0
+        return hot_from_counts(self.counts, total, **limits)
 
-def dense_keys(
-    frame: DataFrame, name: str, key: str, key_type: str = "int", share: float = SHARE
-) -> Numbered:
+
+def dense_keys(frame: DataFrame, name: str, key: str, key_type: str = "int") -> Numbered:
     """Number the distinct values of ``name`` from 1 in their order.
 
     Pass 1 counts rows per name (map-side, so a hot name costs one row per task),
@@ -55,5 +58,4 @@ def dense_keys(
     numbered = names.join(F.broadcast(starts), "_part").select(
         (F.col("_start") + F.col("_place") + 1).cast(key_type).alias(key), name
     )
-    counts = names.select(F.xxhash64(name).alias("_hot"), "_rows")
-    return Numbered(numbered, hot_from_counts(counts, share))
+    return Numbered(numbered, names.select(F.xxhash64(name).alias("_hot"), "_rows"))

@@ -64,7 +64,8 @@ def page_prefix(
     )
     trailing_ones = F.bit_count(F.col("_leads").bitwiseXOR(F.col("_leads") + 1)) - 1
     stops = runs.select(*run, (trailing_ones + 1).cast("bigint").alias("stop_page"))
-    hot = hot_from_counts(runs.select(F.xxhash64(*run).alias("_hot"), "_rows"))
+    counts = runs.select(F.xxhash64(*run).alias("_hot"), "_rows")
+    hot = hot_from_counts(counts, counts.agg(F.sum("_rows")).first()[0] or 0)
     asked = usable if failed_stop else usable.where("ok")
     return (
         spread_join(asked, stops, run, "inner", hot, ["page"])

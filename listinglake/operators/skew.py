@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from listinglake.session import store
 
-# A key is hot from this share of all rows on.
+# A key is hot when it holds this share of all rows and at least this many.
 SHARE = 1 / 2000
+HOT_ROWS = 1_000_000
 # A lookup side is broadcast up to this many bytes, measured.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Per-row overhead assumed on top of the measured text.
@@ -31,25 +32,41 @@ def _hash(keys: list[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_keys(frame: DataFrame, keys: list[str], share: float = SHARE) -> DataFrame:
+def hot_keys(
+    frame: DataFrame,
+    keys: list[str],
+    total: int | None = None,
+    share: float = SHARE,
+    rows: int = HOT_ROWS,
+) -> DataFrame | None:
     """(``_hot``, ``_fan``): hash and salt count of each hot key, under 1/share rows.
 
-    One column-pruned pass with map-side counts. Null keys count as a key too.
+    One column-pruned pass with map-side counts; only the hot keys are stored. Null
+    keys count as a key too. None when no key is hot, which needs no pass at all when
+    the whole frame has fewer than ``rows`` rows.
     """
+    total = frame.count() if total is None else total
+    if total < rows:
+        return None
     hashed = frame.groupBy(_hash(keys).alias("_hot")).agg(F.count(F.lit(1)).alias("_rows"))
-    return hot_from_counts(store(hashed, "key-counts"), share)
+    return hot_from_counts(hashed, total, share, rows)
 
 
-def hot_from_counts(counts: DataFrame, share: float = SHARE) -> DataFrame:
-    """As :func:`hot_keys`, from a stored (``_hot``, ``_rows``) table."""
-    total = counts.agg(F.sum("_rows")).first()[0] or 0
-    floor = max(total * share, 1.0)
+def hot_from_counts(
+    counts: DataFrame, total: int, share: float = SHARE, rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """As :func:`hot_keys`, from (``_hot``, ``_rows``) counts that sum to ``total``."""
+    if total < rows:
+        return None
+    floor = max(total * share, rows)
     # Grouped once more, so two hot keys of one hash stay one row.
-    return (
-        counts.where(F.col("_rows") >= F.lit(max(floor, 2.0)))
+    hot = store(
+        counts.where(F.col("_rows") >= F.lit(floor))
         .groupBy("_hot")
-        .agg(F.ceil(F.sum("_rows") / F.lit(floor)).cast("int").alias("_fan"))
+        .agg(F.ceil(F.sum("_rows") / F.lit(floor)).cast("int").alias("_fan")),
+        "hot-keys",
     )
+    return None if hot.isEmpty() else hot
 
 
 def spread_join(
@@ -57,15 +74,19 @@ def spread_join(
     right: DataFrame,
     keys: list[str],
     how: str,
-    hot: DataFrame,
+    hot: DataFrame | None,
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Equi-join on ``keys``; ``left`` may be skewed, ``hot`` lists its hot keys.
 
+    Without hot keys it is the plain join.
+
     A salt comes from the row's task and its ``spread_by`` columns. The task alone
     already parts equal copies; both are the same again when a lost task is rerun,
     which a random salt would not be.
     """
+    if hot is None:
+        return left.join(right, keys, how)
     fan = F.coalesce(F.col("_fan"), F.lit(1))
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in spread_by]), fan)
     salted = (
@@ -102,6 +123,7 @@ def lookup_join(
     keys: list[str] | str,
     how: str = "left",
     limit: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``left`` to ``right``, whose ``keys`` are unique.
 
@@ -111,4 +133,4 @@ def lookup_join(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if measured_bytes(right) <= limit:
         return left.join(F.broadcast(right), keys, how)
-    return spread_join(left, right, keys, how, hot_keys(left, keys))
+    return spread_join(left, right, keys, how, hot_keys(left, keys, rows=hot_rows))

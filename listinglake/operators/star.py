@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from listinglake.constants import UNKNOWN_COMPANY, UNSPECIFIED_LOCATION
 from listinglake.functions.text import default_to
 from listinglake.operators.numbering import Numbered, dense_keys
-from listinglake.operators.skew import BROADCAST_BYTES, measured_bytes, spread_join
+from listinglake.operators.skew import (
+    BROADCAST_BYTES,
+    HOT_ROWS,
+    measured_bytes,
+    spread_join,
+)
 from listinglake.session import store
 
 
@@ -44,15 +49,21 @@ def prepare(silver: DataFrame) -> DataFrame:
     )
 
 
-def _with_key(rows: DataFrame, name: str, numbered: Numbered, limit: int) -> DataFrame:
+def _with_key(
+    rows: DataFrame, name: str, numbered: Numbered, broadcast_bytes: int, hot_rows: int
+) -> DataFrame:
     dimension = numbered.frame
-    if measured_bytes(dimension) <= limit:
+    if measured_bytes(dimension) <= broadcast_bytes:
         return rows.join(F.broadcast(dimension), name)
-    return spread_join(rows, dimension, [name], "inner", numbered.hot, ["vacancy_id"])
+    hot = numbered.hot(rows=hot_rows)
+    return spread_join(rows, dimension, [name], "inner", hot, ["vacancy_id"])
 
 
 def build(
-    silver: DataFrame, key_type: str = "int", broadcast_bytes: int = BROADCAST_BYTES
+    silver: DataFrame,
+    key_type: str = "int",
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> Star:
     """The star of a silver table.
 
@@ -62,12 +73,9 @@ def build(
     rows = prepare(silver)
     company = dense_keys(rows, "company_name", "company_id", key_type)
     location = dense_keys(rows, "location_name", "location_id", key_type)
-    fact = _with_key(
-        _with_key(rows, "company_name", company, broadcast_bytes),
-        "location_name",
-        location,
-        broadcast_bytes,
-    ).select(
+    limits = (broadcast_bytes, hot_rows)
+    named = _with_key(rows, "company_name", company, *limits)
+    fact = _with_key(named, "location_name", location, *limits).select(
         "vacancy_id",
         "company_id",
         "location_id",

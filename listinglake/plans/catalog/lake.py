@@ -7,12 +7,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from listinglake.functions import times
-from listinglake.functions import variants as V
 from listinglake.operators import boards, requests, serving
 from listinglake.plans import collect, refresh
 from listinglake.plans.catalog.gold import order_listings, order_star
 from listinglake.plans.catalog.registry import day, money, query, second, table
-from listinglake.session import file_names, put_text, scratch_path, store
+from listinglake.session import file_names, put_text, scratch_path
 from listinglake.sinks import bronze
 from listinglake.sinks.tables import export, write_table
 from listinglake.sources import landing, resolve, snapshot
@@ -318,8 +317,7 @@ _BOARD_ROWS = f"""
     """,
 )
 def normalize_union(spark, tables):
-    accepted, _ = boards.split(_responses(spark, tables))
-    return boards.union_boards(accepted).drop("position")
+    return boards.union_boards(_responses(spark, tables)).drop("position")
 
 
 @query(

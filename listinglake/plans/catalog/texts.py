@@ -199,12 +199,8 @@ def epoch_normalize(spark, tables):
 def first_tag(spark, tables):
     """Tags landed as a list with blanks in front, or as one plain text."""
     blanks = F.array(F.lit(""), F.lit("  "))
-    listed = F.to_json(F.concat(blanks, F.split("p_name", " ")))
-    plain = F.to_json(F.struct(F.concat(F.lit(" "), "p_name").alias("t")))
-    parts = table(spark, tables, "part").select(
-        "p_partkey",
-        F.when(F.col("p_partkey") % 2 == 0, F.parse_json(listed))
-        .otherwise(V.member(F.parse_json(plain), "t"))
-        .alias("tags"),
-    )
-    return parts.select("p_partkey", V.first_tag(F.col("tags")).alias("tag"))
+    listed = F.to_json(F.struct(F.concat(blanks, F.split("p_name", " ")).alias("tags")))
+    plain = F.to_json(F.struct(F.concat(F.lit(" "), "p_name").alias("tags")))
+    landed = F.when(F.col("p_partkey") % 2 == 0, listed).otherwise(plain)
+    parts = table(spark, tables, "part").select("p_partkey", F.parse_json(landed).alias("job"))
+    return parts.select("p_partkey", V.first_tag(F.col("job"), "tags").alias("tag"))

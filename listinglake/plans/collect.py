@@ -11,6 +11,7 @@ from listinglake.functions import variants as V
 from listinglake.functions.text import fold
 from listinglake.operators import boards, requests
 from listinglake.operators.arrival import first_arrivals
+from listinglake.operators.skew import lookup_join
 from listinglake.session import store
 
 
@@ -21,17 +22,21 @@ class Collected:
     rejected: DataFrame
 
 
-def _with_pages(responses: DataFrame) -> DataFrame:
-    """Leave out the pages that lie behind the stop of their run."""
-    paged = responses.where("page is not null")
-    facts = paged.select(
-        "*",
-        F.col("accepted").alias("ok"),
-        F.coalesce(F.size(V.items(F.col("payload"), "data")), F.lit(0)).alias("entries"),
-        V.truthy(V.member(F.col("payload"), "links"), "next").isNotNull().alias("has_next"),
+def _judge(responses: DataFrame) -> DataFrame:
+    """What is known of each response, without its body."""
+    payload = F.col("payload")
+    links = V.member(payload, "links")
+    return boards.parse(responses).select(
+        "request_seq",
+        "source",
+        "run",
+        "query_category",
+        "page",
+        "params",
+        F.coalesce("error", "reason").alias("error"),
+        F.coalesce(F.size(V.items(payload, "data")), F.lit(0)).alias("entries"),
+        V.is_truthy(links, "next").alias("has_next"),
     )
-    asked = requests.page_prefix(facts, ["source", "run"], failed_stop=True)
-    return responses.where("page is null").unionByName(asked.select(*responses.columns))
 
 
 def collect(responses: DataFrame) -> Collected:
@@ -39,15 +44,25 @@ def collect(responses: DataFrame) -> Collected:
 
     ``responses``: ``request_seq bigint, source, run, query_category string, page
     bigint, params map<string,string>, body string, error string``; ``request_seq`` is
-    the order of the calls. A bad response is recorded and skipped. The collection
-    fails only when nothing was kept.
+    unique and the order of the calls. A bad response is recorded and skipped, pages
+    behind the stop of their run do not count. The collection fails only when nothing
+    was kept.
     """
-    parsed = boards.parse(responses).withColumn("error", F.coalesce("error", "reason"))
-    parsed = _with_pages(parsed.withColumn("accepted", F.col("error").isNull()))
-    accepted = parsed.where("accepted").select(
-        "source", "request_seq", "query_category", "payload"
+    judged = store(_judge(responses), "judged")
+    unpaged = judged.where("page is null")
+    paged = judged.where("page is not null").withColumn("ok", F.col("error").isNull())
+    prefix = requests.page_prefix(paged, ["source", "run"], failed_stop=True)
+    asked = store(unpaged.unionByName(prefix.select(*judged.columns)), "asked")
+
+    # Bodies are joined for paged boards only; elsewhere every response counts.
+    good_pages = asked.where("page is not null and error is null").select("request_seq")
+    bodies = responses.where("error is null").select(
+        "request_seq", "source", "query_category", "page", "body"
     )
-    listings = store(boards.union_boards(accepted), "listings")
+    used = bodies.where("page is null").unionByName(
+        lookup_join(bodies.where("page is not null"), good_pages, "request_seq", "left_semi")
+    )
+    listings = store(boards.union_boards(used), "listings")
     kept = store(
         first_arrivals(
             listings,
@@ -57,7 +72,7 @@ def collect(responses: DataFrame) -> Collected:
         ),
         "kept",
     )
-    manifest = parsed.select(
+    manifest = asked.select(
         "request_seq",
         "source",
         F.col("query_category").alias("category"),
@@ -72,8 +87,13 @@ def collect(responses: DataFrame) -> Collected:
         "attempts",
     )
     requests.require_rows(attempts)
+    failed = asked.where("error is not null").select(
+        "request_seq", F.col("error").alias("reason")
+    )
     return Collected(
         kept.drop("request_seq", "position"),
         attempts,
-        parsed.where("not accepted").select("request_seq", "source", "error", "body"),
+        lookup_join(responses, failed, "request_seq", "inner").select(
+            "request_seq", "source", "reason", "body"
+        ),
     )

@@ -62,7 +62,8 @@ def flatten(
     absent arrays give no rows and entries that are no objects are dropped, without
     harm to their neighbours.
     """
-    jobs = docs.select("file", F.explode(_entries(docs, arrays)).alias("job"))
+    # Outer, so that Spark does not infer a filter that unpacks each document twice.
+    jobs = docs.select("file", F.explode_outer(_entries(docs, arrays)).alias("job"))
     return jobs.where(V.is_object(F.col("job"))).select(
         *[V.field(F.col("job"), name).alias(name) for name in names], "file"
     )
