@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,8 @@ def first_with_rows(spark: SparkSession, candidates: Iterable[Candidate]) -> Res
             skipped[label] = "no rows"
         except (PySparkException, ListingLakeError) as error:
             skipped[label] = str(error).splitlines()[0]
+        except Py4JJavaError as error:  # a job that failed, such as on an unreadable file
+            skipped[label] = str(error.java_exception.getMessage()).splitlines()[0]
         logger.info("skipped source %s: %s", label, skipped[label])
     return Resolved(spark.createDataFrame([], schemas.SERVING), SOURCE_EMPTY, skipped)
 
