@@ -37,16 +37,17 @@ def first_arrivals(
     frame: DataFrame,
     key: Column,
     pair: list[Column],
-    arrival: list[str],
+    arrival: Column,
     plain_rounds: int = PLAIN_ROUNDS,
     slice_rows: int = SLICE_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Rows of ``frame`` that stay; ``arrival`` columns are unique and order the rows.
+    """Rows of ``frame`` that stay; ``arrival`` is unique and orders the rows.
 
-    Two null keys are equal, as are two pairs that agree in their nulls.
+    Two null keys are equal, as are two pairs that agree in their nulls. A number as
+    ``arrival`` lets Spark aggregate by hash; see :func:`two_part_arrival`.
     """
-    named = frame.withColumn("_arrival", F.struct(*arrival))
+    named = frame.withColumn("_arrival", arrival)
     edges = (
         named.select(F.struct(key).alias("_id"), F.struct(*pair).alias("_pair"), "_arrival")
         .groupBy("_id", "_pair")
@@ -56,6 +57,11 @@ def first_arrivals(
     return named.join(kept, "_arrival", "left_semi").drop("_arrival")
 
 
+def two_part_arrival(major: str, minor: str) -> Column:
+    """Bigint ``major`` and int ``minor`` as one number in the same order."""
+    return F.col(major).cast("decimal(20,0)") * F.lit(1 << 32) + F.col(minor).cast("bigint")
+
+
 def _settle(
     edges: DataFrame, plain_rounds: int, slice_rows: int, hot_rows: int
 ) -> DataFrame:

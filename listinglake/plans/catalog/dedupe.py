@@ -79,7 +79,7 @@ _EVENT_EDGES = """
 def _kept_events(spark, tables):
     events = table(spark, tables, "events").select("event_id", "user_id", "event_type", "props")
     return first_arrivals(
-        events, F.col("user_id"), [fold(F.col("event_type")), F.col("props")], ["event_id"]
+        events, F.col("user_id"), [fold(F.col("event_type")), F.col("props")], F.col("event_id")
     )
 
 

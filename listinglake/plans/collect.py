@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from listinglake.functions import variants as V
 from listinglake.functions.text import fold
 from listinglake.operators import boards, requests
-from listinglake.operators.arrival import first_arrivals
+from listinglake.operators.arrival import first_arrivals, two_part_arrival
 from listinglake.operators.skew import lookup_join
 from listinglake.session import store
 
@@ -68,7 +68,7 @@ def collect(responses: DataFrame) -> Collected:
             listings,
             F.col("id"),
             [fold(F.col("title")), fold(F.col("company_name"))],
-            ["request_seq", "position"],
+            two_part_arrival("request_seq", "position"),
         ),
         "kept",
     )

@@ -32,26 +32,34 @@ def export(
 ) -> list[str]:
     """Snappy Parquet at ``destination``; gives its files.
 
-    Up to ``single_file_rows`` rows, measured, it is exactly one file: the plan runs in
-    parallel and only the finished rows meet in one task. A larger frame becomes a
-    folder of parts, so nothing is cut and nothing passes through one task.
+    The plan runs once, in parallel, into staged parts. Up to ``single_file_rows`` rows,
+    as counted by that write, the parts are then merged into exactly one file. A larger
+    export stays a folder of parts, so nothing is cut and no task takes it all.
     """
     spark = frame.sparkSession
     files, target = hadoop_path(spark, destination)
-    if frame.count() > single_file_rows:
-        writer = frame.write.mode("overwrite").option("maxRecordsPerFile", single_file_rows)
-        writer.option("compression", "snappy").parquet(destination)
-        return [f"{destination}/{n}" for n in file_names(spark, destination, ".parquet")]
-    staging = f"{destination.rstrip('/')}__staging"
-    writer = frame.repartition(1).write.mode("overwrite")
-    writer.option("compression", "snappy").parquet(staging)
-    parts = file_names(spark, staging, ".parquet")
-    if len(parts) != 1:
-        raise ExportError(f"expected one part in {staging}, found {len(parts)}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    parts, merged = (f"{destination.rstrip('/')}__{name}" for name in ("parts", "merged"))
+
+    counted = Observation()
+    writer = frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = writer.option("compression", "snappy").option("maxRecordsPerFile", single_file_rows)
+    writer.parquet(parts)
+    finished, single = parts, counted.get.get("rows", 0) <= single_file_rows
+    if single:
+        staged = spark.read.schema(frame.schema).parquet(parts).coalesce(1)
+        staged.write.mode("overwrite").option("compression", "snappy").parquet(merged)
+        names = file_names(spark, merged, ".parquet")
+        if len(names) != 1:
+            raise ExportError(f"expected one part in {merged}, found {len(names)}")
+        finished = f"{merged}/{names[0]}"
+
     files.mkdirs(target.getParent())
     files.delete(target, True)
-    if not files.rename(path(staging, parts[0]), target):
-        raise ExportError(f"could not move {parts[0]} to {destination}")
-    files.delete(path(staging), True)
-    return [destination]
+    if not files.rename(path(finished), target):
+        raise ExportError(f"could not move {finished} to {destination}")
+    for leftover in (parts, merged):
+        files.delete(path(leftover), True)
+    if single:
+        return [destination]
+    return [f"{destination}/{name}" for name in file_names(spark, destination, ".parquet")]

@@ -27,7 +27,17 @@ from listinglake.sources import landing, snapshot
 
 logger = logging.getLogger(__name__)
 
-Candidate = tuple[str, Callable[[], DataFrame | None]]
+
+
+@dataclass(frozen=True)
+class Readable:
+    """What a source serves, and a cheaper frame that is empty exactly when it is."""
+
+    frame: DataFrame
+    probe: DataFrame
+
+
+Candidate = tuple[str, Callable[[], "Readable | DataFrame | None"]]
 
 
 @dataclass(frozen=True)
@@ -45,9 +55,11 @@ def first_with_rows(spark: SparkSession, candidates: Iterable[Candidate]) -> Res
     skipped: dict[str, str] = {}
     for label, read in candidates:
         try:
-            frame = read()
-            if frame is not None and not frame.isEmpty():
-                return Resolved(frame, label, skipped)
+            found = read()
+            if isinstance(found, DataFrame):
+                found = Readable(found, found)
+            if found is not None and not found.probe.isEmpty():
+                return Resolved(found.frame, label, skipped)
             skipped[label] = "no rows"
         except (PySparkException, ListingLakeError) as error:
             skipped[label] = str(error).splitlines()[0]
@@ -62,13 +74,18 @@ def read_export(spark: SparkSession, path: str) -> DataFrame | None:
     return serving.prepare(spark.read.parquet(path)) if exists(spark, path) else None
 
 
-def read_raw(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame | None:
-    """Serving rows straight from the documents of a folder or one document."""
+def read_raw(spark: SparkSession, folder: str, glob: str = "*.json") -> Readable | None:
+    """Serving rows straight from the documents of a folder or one document.
+
+    A dedupe leaves at least one row, so the rows before it tell whether any are left.
+    """
     if not exists(spark, folder):
         return None
     docs = landing.documents(spark, folder, glob, recursive=False)
     listings = landing.flatten(docs, arrays=True)
-    return silver.build_display(listings, sort=False)
+    return Readable(
+        silver.build_display(listings, sort=False), silver.relevant(silver.project(listings))
+    )
 
 
 def vacancies(

@@ -53,7 +53,7 @@ EDGES = "arrival bigint, id bigint, pair string"
 
 def stays(frame, rows, **options):
     kept = arrival.first_arrivals(
-        frame(rows, EDGES), F.col("id"), [F.col("pair")], ["arrival"], **options
+        frame(rows, EDGES), F.col("id"), [F.col("pair")], F.col("arrival"), **options
     )
     return sorted(r.arrival for r in kept.collect())
 
@@ -88,6 +88,13 @@ def test_a_hot_pair_and_copies(frame):
     assert stays(frame, rows, hot_rows=50, slice_rows=0) == models.first_arrivals(rows)
 
 
+def test_two_part_arrival_keeps_order(frame):
+    parts = [(-3, 0), (0, 0), (0, 2**31 - 1), (1, 0), (2**63 - 1, 5)]
+    data = frame(parts[::-1], "a bigint, b int")
+    found = data.orderBy(arrival.two_part_arrival("a", "b")).collect()
+    assert [tuple(r) for r in found] == parts
+
+
 def test_null_keys_count_as_equal(frame):
     rows = [(1, None, "a"), (2, None, "b"), (3, 3, None), (4, 4, None)]
     assert stays(frame, rows) == [1, 3]
