@@ -106,15 +106,14 @@ def spread_join(
 
 def measured_bytes(frame: DataFrame) -> int:
     """Upper estimate of the rows of ``frame`` in memory, from one aggregate."""
-    width = sum(
-        (
-            F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-            for name, kind in frame.dtypes
-            if kind == "string"
-        ),
-        F.lit(_ROW_BYTES),
-    )
-    return frame.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    sizes = [F.lit(_ROW_BYTES)]
+    for name, kind in frame.dtypes:
+        if kind in ("string", "binary"):
+            sizes.append(F.coalesce(F.octet_length(F.col(name)), F.lit(0)))
+        elif kind.startswith(("array", "map", "struct", "variant")):
+            text = F.to_json(F.struct(F.col(name)))
+            sizes.append(2 * F.octet_length(text))
+    return frame.agg(F.sum(sum(sizes[1:], sizes[0]).cast("bigint"))).first()[0] or 0
 
 
 def lookup_join(

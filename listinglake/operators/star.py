@@ -28,6 +28,11 @@ class Star:
     def tables(self) -> dict[str, DataFrame]:
         return dict(vars(self))
 
+    def create_views(self, prefix: str = "") -> None:
+        """Offer the three tables to SQL under their names."""
+        for name, frame in self.tables().items():
+            frame.createOrReplaceTempView(prefix + name)
+
 
 def prepare(silver: DataFrame) -> DataFrame:
     """Fact grain with names: default members filled, date and timestamp apart.

@@ -253,6 +253,32 @@ def serving_join(spark, tables):
     return serving.display(rows.withColumn("publication_date", day("publication_date")))
 
 
+@query(
+    "gold_sql",
+    f"""
+    WITH {_ORDER_ROWS}
+    SELECT location_name AS label, company_name, count(*) AS count,
+           min(publication_date) AS first_day, max(vacancy_id) AS last_id
+    FROM prepared WHERE trim(location_name) <> '' GROUP BY location_name, company_name
+    """,
+)
+def gold_sql(spark, tables):
+    """The star as SQL views, joined and counted by a plain statement."""
+    order_star(spark, tables).create_views("orders_")
+    return spark.sql(
+        """
+        SELECT location.location_name AS label, company.company_name, count(*) AS count,
+               date_format(min(fact.publication_date), 'yyyy-MM-dd') AS first_day,
+               max(fact.vacancy_id) AS last_id
+        FROM orders_fct_vacancies fact
+        LEFT JOIN orders_dim_company company ON fact.company_id = company.company_id
+        LEFT JOIN orders_dim_location location ON fact.location_id = location.location_id
+        WHERE trim(location.location_name) <> ''
+        GROUP BY location.location_name, company.company_name
+        """
+    )
+
+
 # --- serving -----------------------------------------------------------------
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listinglake.functions import variants as V
@@ -12,7 +13,10 @@ from listinglake.functions.text import fold
 from listinglake.operators import boards, requests
 from listinglake.operators.arrival import first_arrivals, two_part_arrival
 from listinglake.operators.skew import lookup_join
-from listinglake.session import store
+from listinglake.session import configure, store
+from listinglake.sinks.bronze import write_bronze
+from listinglake.sinks.tables import write_table
+from listinglake.sources.landing import read_responses
 
 
 @dataclass(frozen=True)
@@ -42,9 +46,8 @@ def _judge(responses: DataFrame) -> DataFrame:
 def collect(responses: DataFrame) -> Collected:
     """Listings kept, attempts and rejected responses of one collection.
 
-    ``responses``: ``request_seq bigint, source, run, query_category string, page
-    bigint, params map<string,string>, body string, error string``; ``request_seq`` is
-    unique and the order of the calls. A bad response is recorded and skipped, pages
+    ``responses`` has the columns of ``schemas.RESPONSES``; ``request_seq`` is unique
+    and the order of the calls. A bad response is recorded and skipped, pages
     behind the stop of their run do not count. The collection fails only when nothing
     was kept.
     """
@@ -97,3 +100,20 @@ def collect(responses: DataFrame) -> Collected:
             "request_seq", "source", "reason", "body"
         ),
     )
+
+
+def collect_into(
+    spark: SparkSession,
+    responses_folder: str,
+    bronze_folder: str,
+    attempts_folder: str,
+    captured_at: datetime | None = None,
+) -> str:
+    """Collect landed responses into one bronze capture; gives its stamp.
+
+    The attempts of the capture become a table of their own below ``attempts_folder``.
+    """
+    collected = collect(read_responses(configure(spark), responses_folder))
+    stamp = write_bronze(collected.listings, bronze_folder, captured_at)
+    write_table(collected.attempts, f"{attempts_folder}/{stamp}")
+    return stamp

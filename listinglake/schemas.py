@@ -46,6 +46,11 @@ EXPORT_COLUMNS = (
     "salary",
     "description",
 )
+# A landed response: what was asked, in which order, and the untouched body.
+RESPONSES = (
+    "request_seq bigint, source string, run string, query_category string, page bigint, "
+    "params map<string,string>, body string, error string"
+)
 ATTEMPTS = (
     "source string, category string, page int, params map<string,string>, "
     "added bigint, error string"

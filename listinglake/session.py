@@ -40,9 +40,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/listinglake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/listinglake/{name}-{uuid.uuid4().hex}"
+    """A fresh path for this application below the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def store(frame: DataFrame, name: str) -> DataFrame:
@@ -70,12 +74,17 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder made by :func:`scratch_path`."""
-    if "/listinglake/" not in path:
-        raise ValueError(f"not a scratch folder: {path}")
+    if not path.startswith(_scratch_root(spark)):
+        raise ValueError(f"not a scratch folder of this application: {path}")
     files, target = hadoop_path(spark, path)
     files.delete(target, True)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application, once its results are written."""
+    remove(spark, _scratch_root(spark))
+
+
 def file_names(spark: SparkSession, folder: str, suffix: str) -> list[str]:
     """Names of plain files directly in ``folder``; [] when it is missing."""
     files, target = hadoop_path(spark, folder)

@@ -107,6 +107,11 @@ def latest_file(spark: SparkSession, folder: str, glob: str = CAPTURE_GLOB) -> s
     return max(found, key=lambda path: path.getName()).toString()
 
 
+def read_responses(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed responses: JSON lines with the body as untouched text."""
+    return spark.read.schema(schemas.RESPONSES).json(folder)
+
+
 def read_bronze(spark: SparkSession, folder: str) -> DataFrame:
     """Canonical bronze captures: JSON lines under one folder per stamp."""
     return spark.read.schema(f"{schemas.BRONZE}, {STAMP} string").json(folder)

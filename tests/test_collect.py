@@ -10,10 +10,7 @@ from listinglake.errors import NothingCollectedError
 from listinglake.operators import boards, requests
 from listinglake.plans.collect import collect
 
-RESPONSES = (
-    "request_seq bigint, source string, run string, query_category string, page bigint, "
-    "params map<string,string>, body string, error string"
-)
+RESPONSES = schemas.RESPONSES
 
 
 def response(seq, source, body, page=None, error=None, category="dev", run="r"):

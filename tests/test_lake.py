@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from listinglake import schemas, session
 from listinglake.errors import ExportError, LandingNotFoundError, SnapshotLogError
 from listinglake.operators import serving
-from listinglake.plans.refresh import refresh
+from listinglake.plans.collect import collect_into
+from listinglake.plans.refresh import refresh, refresh_from
 from listinglake.sinks import bronze
 from listinglake.sinks.tables import export, write_table
 from listinglake.sources import landing, resolve, snapshot
@@ -273,6 +274,32 @@ def test_gold_views_answer_sql(spark, lake):
 
 def test_scratch_follows_the_session(spark):
     folder = session.shared_folder(spark)
-    assert session.scratch_path(spark, "x").startswith(f"{folder}/listinglake/x-")
+    app = spark.sparkContext.applicationId
+    assert session.scratch_path(spark, "x").startswith(f"{folder}/listinglake/{app}/x-")
     with pytest.raises(ValueError):
         session.remove(spark, "/tmp/elsewhere")
+
+
+def test_an_empty_export_is_one_file(spark, tmp_path):
+    path = str(tmp_path / "none.parquet")
+    assert export(spark.range(0), path) == [path]
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_responses_to_star(spark, tmp_path):
+    """Landed responses to bronze to gold, through files at every step."""
+    job = dict(id=1, title="Data Engineer", company_name="Acme", publication_date=1780000000)
+    more = [{**job, "id": 2, "title": "DATA engineer"}, {**job, "id": 3, "title": "Cook"}]
+    landed = [dict(request_seq=1, source="remotive", run="a", query_category="data", params={"q": "data"},
+                   body=json.dumps({"jobs": [job, *more]})),
+              dict(request_seq=2, source="jobicy", run="a", query_category="data", body="oops")]
+    (tmp_path / "responses").mkdir()
+    (tmp_path / "responses" / "a.json").write_text("\n".join(map(json.dumps, landed)))
+    places = [str(tmp_path / name) for name in ("responses", "bronze", "attempts")]
+    stamp = collect_into(spark, *places, captured_at=datetime(2026, 1, 2))
+    attempts = spark.read.parquet(f"{places[2]}/{stamp}").orderBy("source").collect()
+    assert [(r.added, r.error) for r in attempts] == [(None, "not valid JSON"), (2, None)]
+    listings = landing.read_bronze(spark, places[1])
+    assert refresh_from(spark, listings, str(tmp_path / "lake"))["gold/fct_vacancies"] == 1
+    row = snapshot.read_gold(spark, f"{tmp_path}/lake/gold").first()
+    assert (row.company_name, str(row.publication_timestamp)) == ("Acme", "2026-05-28 20:26:40")
