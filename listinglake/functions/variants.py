@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,24 +38,24 @@ def items(value: Column, name: str | None = None) -> Column:
     return F.try_variant_get(value, _path(name) if name else "$", "array<variant>")
 
 
-def is_truthy(value: Column, name: str) -> Column:
-    """False for an absent member and for ``""``, 0, false, [] and {}; blanks are true.
+def opened(value: Column, names: Iterable[str], variants: Iterable[str] = ()) -> Column:
+    """Members of an object as one struct: ``names`` as text, ``variants`` as they are.
 
-    The type is looked at only for the few texts that could be such a value.
+    One walk over the object instead of one per member; null when it is no object.
     """
-    text = field(value, name)
-    could_be_empty = text.rlike(r"^(?:-?0(?:\.0+)?|false|\[\]|\{\})$")
-    empty = (text == "") | (could_be_empty & (kind(value, name) != "STRING"))
-    return F.coalesce(~empty, F.lit(False))
+    fields = [f"`{name}`: string" for name in names] + [f"`{name}`: variant" for name in variants]
+    return F.try_variant_get(value, "$", f"struct<{', '.join(fields)}>")
+
 
+def is_truthy(text: Column, kind_of: Column) -> Column:
+    """False for null and for ``""``, 0, false, [] and {}; blanks are true.
 
-def first_truthy(value: Column, names: tuple[str, ...], read=field) -> Column:
-    """``read`` of the first truthy member; the last name is taken as it is."""
-    *first, last = names
-    result = read(value, last)
-    for name in reversed(first):
-        result = F.when(is_truthy(value, name), read(value, name)).otherwise(result)
-    return result
+    ``kind_of``, the JSON type behind ``text``, is looked at only for the few texts
+    that could be such a value.
+    """
+    could_be_empty = text.rlike(r"^(?:-?0(?:\.0+)?|false|\[\]|\{\})$")
+    empty = (text == "") | (could_be_empty & (kind_of != "STRING"))
+    return F.coalesce(~empty, F.lit(False))
 
 
 def _quoted(entry: Column) -> Column:
@@ -62,9 +64,8 @@ def _quoted(entry: Column) -> Column:
     return F.when(entry.contains("'") & ~entry.contains('"'), double).otherwise(single)
 
 
-def text_or_list(value: Column, name: str) -> Column:
-    """Member as text; a list of texts reads ``['a', 'b']``."""
-    text = field(value, name)
+def listed_text(value: Column, name: str, text: Column) -> Column:
+    """``text`` of member ``name``; a list of texts reads ``['a', 'b']``."""
     entries = F.try_variant_get(value, _path(name), "array<string>")
     listed = F.concat(F.lit("["), F.array_join(F.transform(entries, _quoted), ", "), F.lit("]"))
     return F.when(text.startswith("[") & (kind(value, name) != "STRING"), listed).otherwise(text)

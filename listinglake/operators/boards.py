@@ -84,19 +84,50 @@ def _per_board(boards: Sequence[str], special: dict, default, make) -> Column:
     return result
 
 
+def _members(*tables: dict[str, tuple[str, ...]]) -> list[str]:
+    """All member names of the given field tables, each once."""
+    return list(dict.fromkeys(name for table in tables for names in table.values() for name in names))
+
+
+_SHARED = (
+    "id",
+    "title",
+    "company_name",
+    "category",
+    "candidate_required_location",
+    "salary",
+    "description",
+    "url",
+)
+_DATES = list(dict.fromkeys(["publication_date", *_members(_PUBLISHED)]))
+_TEXTS = list(
+    dict.fromkeys(
+        [*_SHARED, *_members(_NATIVE_ID, _TITLE, _COMPANY, _CATEGORY, _LOCATION, _DESCRIPTION)]
+    )
+)
+
+
 def listings(
     responses: DataFrame, carry: Sequence[str] = (), boards: Sequence[str] = BOARDS
 ) -> DataFrame:
-    """One raw listing (``job``) per array entry, with its ``position``.
+    """One raw listing per array entry: its ``position``, the ``job`` and its members.
 
-    Needs ``source``, ``query_category`` and ``body``. A rejected response has no
-    array and gives one row with a null ``job``, which :func:`normalise` drops: the
-    outer explode keeps Spark from parsing each body a second time in a filter.
+    Needs ``source``, ``query_category`` and ``body``. Each entry is opened once, before
+    the explode: a filter on members then reads them, where a filter on the entry would
+    walk it again per member. A rejected response has no array; the outer explode gives
+    it one row without members, which :func:`normalise` drops, and keeps Spark from
+    parsing each body a second time in a filter of its own.
     """
     payload = F.try_parse_json("body")
     entries = _per_board(boards, _ARRAYS, "jobs", lambda name: V.items(payload, name))
-    return responses.select(*carry, "source", "query_category", entries.alias("entries")).select(
-        *carry, "source", "query_category", F.posexplode_outer("entries").alias("position", "job")
+    opened = F.transform(
+        "entries",
+        lambda job: F.struct(job.alias("job"), V.opened(job, _TEXTS, _DATES).alias("members")),
+    )
+    return (
+        responses.select(*carry, "source", "query_category", entries.alias("entries"))
+        .select(*carry, "source", "query_category", F.posexplode_outer(opened).alias("position", "e"))
+        .select(*carry, "source", "query_category", "position", "e.job", "e.members")
     )
 
 
@@ -110,21 +141,42 @@ def normalise(
     """
     job = F.col("job")
 
-    def text(special: dict, default: str) -> Column:
+    def member(name: str) -> Column:
+        return F.col(f"members.{name}")
+
+    def truthy(name: str) -> Column:
+        text = member(name)
+        if name in _DATES:
+            text = F.try_variant_get(text, "$", "string")
+        return V.is_truthy(text, V.kind(job, name))
+
+    def first_truthy(names: tuple[str, ...], read=member) -> Column:
+        """The first truthy member; the last one is taken as it is."""
+        *first, last = names
+        found = read(last)
+        for name in reversed(first):
+            found = F.when(truthy(name), read(name)).otherwise(found)
+        return found
+
+    def text(table: dict, default: str) -> Column:
         return _per_board(
-            boards, special, (default,), lambda names: text_or_empty(V.first_truthy(job, names))
+            boards, table, (default,), lambda names: text_or_empty(first_truthy(names))
         )
 
     def native(names: tuple[str, ...]) -> Column:
-        found = V.first_truthy(job, names)
-        return found if len(names) == 1 else F.when(V.is_truthy(job, names[-1]) | (found != ""), found)
+        if len(names) == 1:
+            return member(names[0])
+        found = F.when(truthy(names[-1]), member(names[-1]))
+        for name in reversed(names[:-1]):
+            found = F.when(truthy(name), member(name)).otherwise(found)
+        return found
 
     def category(names: tuple[str, ...] | None) -> Column:
         if names is None:
-            found = V.first_tag(job, "tags")
-        else:
-            found = text_or_empty(V.first_truthy(job, names, V.text_or_list))
-        return F.coalesce(blank_to_null(found), F.col("query_category"))
+            return V.first_tag(job, "tags")
+        return text_or_empty(
+            first_truthy(names, lambda name: V.listed_text(job, name, member(name)))
+        )
 
     rows = jobs.select(
         *carry,
@@ -136,16 +188,11 @@ def normalise(
         _per_board(boards, {**_CATEGORY, "arbeitnow": None}, ("category",), category).alias(
             "category"
         ),
-        _per_board(
-            boards,
-            _PUBLISHED,
-            ("publication_date",),
-            lambda names: V.first_truthy(job, names, V.member),
-        ).alias("published"),
+        _per_board(boards, _PUBLISHED, ("publication_date",), first_truthy).alias("published"),
         text(_LOCATION, "candidate_required_location").alias("candidate_required_location"),
-        text({}, "salary").alias("salary"),
+        text_or_empty(member("salary")).alias("salary"),
         text(_DESCRIPTION, "description").alias("description"),
-        text({}, "url").alias("url"),
+        text_or_empty(member("url")).alias("url"),
     )
     return rows.where(F.col("native").isNotNull() & (F.col("title") != "")).select(
         *carry,
@@ -155,7 +202,7 @@ def normalise(
         "query_category",
         "title",
         "company_name",
-        "category",
+        F.coalesce(blank_to_null(F.col("category")), F.col("query_category")).alias("category"),
         V.publication(F.col("published")).alias("publication_date"),
         "candidate_required_location",
         "salary",

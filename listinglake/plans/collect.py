@@ -39,7 +39,7 @@ def _judge(responses: DataFrame) -> DataFrame:
         "params",
         F.coalesce("error", "reason").alias("error"),
         F.coalesce(F.size(V.items(payload, "data")), F.lit(0)).alias("entries"),
-        V.is_truthy(links, "next").alias("has_next"),
+        V.is_truthy(V.field(links, "next"), V.kind(links, "next")).alias("has_next"),
     )
 
 

@@ -29,7 +29,9 @@ def members(frame, *documents):
 
 def test_truthiness_follows_the_json_type(frame):
     given = ["", "  ", "0", 0, 0.0, False, "false", [], {}, "[]", 3, None, ["x"]]
-    found = members(frame, *[{"a": g} for g in given]).select(V.is_truthy(F.col("v"), "a"))
+    value = F.col("v")
+    truthy = V.is_truthy(V.field(value, "a"), V.kind(value, "a"))
+    found = members(frame, *[{"a": g} for g in given]).select(truthy)
     assert [r[0] for r in found.collect()] == [bool(g) for g in given]
 
 
@@ -57,5 +59,13 @@ def test_publication_tells_numbers_from_digits(frame):
 def test_lists_of_texts_read_as_lists(frame):
     given = [["a", "b's"], "plain", ["x"], "[no list"]
     data = members(frame, *[{"c": g} for g in given])
-    found = [r[0] for r in data.select(V.text_or_list(F.col("v"), "c")).collect()]
+    found = [r[0] for r in data.select(V.listed_text(F.col("v"), "c", V.field(F.col("v"), "c"))).collect()]
     assert found == [str(g) for g in given]
+
+
+def test_opened_takes_all_members_at_once(frame):
+    data = members(frame, {"a": 1, "b": {"x": [1]}, "c": "t"}, 5, None, [])
+    found = data.select(V.opened(F.col("v"), ["a", "b", "none"], ["c"]).alias("o")).select(
+        "o.a", "o.b", "o.none", F.schema_of_variant("o.c")
+    )
+    assert [tuple(r) for r in found.collect()] == [("1", '{"x":[1]}', None, "STRING")] + [(None,) * 4] * 3
