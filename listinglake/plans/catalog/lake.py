@@ -115,8 +115,8 @@ def landing_union(spark, tables):
     arrays.write.mode("append").option("maxRecordsPerFile", 1).text(folder)
     put_text(spark, f"{folder}/broken.json", '{"jobs": [{"id": 1')
     put_text(spark, f"{folder}/foreign.json", '{"error": "none"}')
-    docs = landing.documents(spark, folder, "*.{json,txt}", recursive=False)
-    rows = landing.flatten(docs, arrays=True)
+    at = landing.Landing(folder, "*.{json,txt}", recursive=False)
+    rows = landing.listings(spark, at, arrays=True)
     shape = F.when(F.col("file").endswith(".txt"), "array").otherwise("object")
     return rows.select(
         shape.alias("shape"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listinglake import schemas
@@ -25,36 +26,76 @@ def require_landing(spark: SparkSession, folder: str) -> None:
         raise LandingNotFoundError(f"no {LANDING_GLOB} document in {folder}")
 
 
-def documents(
-    spark: SparkSession, folder: str, glob: str = LANDING_GLOB, recursive: bool = True
-) -> DataFrame:
+# A VARIANT value is bounded; up to this file size every document fits with room to spare.
+VARIANT_FILE_BYTES = 32 * 1024 * 1024
+
+
+@dataclass(frozen=True)
+class Landing:
+    """Where documents lie and how to read them; ``stream`` reads new files only."""
+
+    folder: str
+    glob: str = LANDING_GLOB
+    recursive: bool = True
+    stream: bool = False
+    files_per_batch: int = 1000
+    variant_bytes: int = VARIANT_FILE_BYTES
+
+    def scan(self, spark: SparkSession, schema: str, **options) -> DataFrame:
+        reader = spark.readStream if self.stream else spark.read
+        if self.stream:
+            options["maxFilesPerTrigger"] = self.files_per_batch
+        found = (
+            reader.schema(f"{schema}, {CORRUPT} string")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("multiLine", True)
+            .option("pathGlobFilter", self.glob)
+            .option("recursiveFileLookup", self.recursive)
+            .options(**options)
+            .json(self.folder)
+        )
+        size = F.col("_metadata.file_size")
+        return found.withColumns({"file": F.col("_metadata.file_path"), "_size": size})
+
+
+def documents(spark: SparkSession, at: Landing) -> DataFrame:
     """One row per JSON file: ``doc`` (VARIANT), its corrupt text if any, ``file``.
 
     Nothing is inferred, so no file is read twice and types cannot drift between
-    files. A foreign document is one task's work whatever its size; bronze written by
-    this package is JSON lines and splits.
+    files. Files above ``variant_bytes`` are left to :func:`large_documents`; Spark
+    prunes by file size before it opens a file.
     """
-    return (
-        spark.read.schema(f"doc variant, {CORRUPT} string")
-        .option("singleVariantColumn", "doc")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", True)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", recursive)
-        .json(folder)
-        .withColumn("file", F.col("_metadata.file_path"))
-    )
+    docs = at.scan(spark, "doc variant", singleVariantColumn="doc")
+    return docs.where(F.col("_size") <= at.variant_bytes).drop("_size")
+
+
+def large_documents(
+    spark: SparkSession, at: Landing, names: Sequence[str] = schemas.LISTING_FIELDS
+) -> DataFrame:
+    """Files too large for one VARIANT, with every declared field as text.
+
+    A top-level array comes as one row per entry. Here an entry that is no object
+    spoils its document, which then goes to quarantine.
+    """
+    inner = ", ".join(f"`{name}`: string" for name in names)
+    outer = ", ".join(f"`{name}` string" for name in names)
+    docs = at.scan(spark, f"jobs array<struct<{inner}>>, {outer}")
+    return docs.where(F.col("_size") > at.variant_bytes).drop("_size")
 
 
-def _entries(docs: DataFrame, arrays: bool):
-    entries = V.items(F.col("doc"), "jobs")
-    return F.coalesce(entries, V.items(F.col("doc"))) if arrays else entries
+def _entries(docs: DataFrame, arrays: bool) -> Column:
+    """The listings of a document as an array, null when it has none."""
+    if "doc" in docs.columns:
+        jobs, whole = V.items(F.col("doc"), "jobs"), V.items(F.col("doc"))
+    else:
+        names = [c for c in docs.columns if c not in ("jobs", "file", CORRUPT)]
+        jobs = F.col("jobs")
+        whole = F.when(F.coalesce(*names).isNotNull(), F.array(F.struct(*names)))
+    return F.coalesce(jobs, whole) if arrays else jobs
 
 
 def flatten(
-    docs: DataFrame,
-    names: Sequence[str] = schemas.LISTING_FIELDS,
-    arrays: bool = False,
+    docs: DataFrame, names: Sequence[str] = schemas.LISTING_FIELDS, arrays: bool = False
 ) -> DataFrame:
     """One row per listing object, every field as text, absent fields null.
 
@@ -64,6 +105,8 @@ def flatten(
     """
     # Outer, so that Spark does not infer a filter that unpacks each document twice.
     jobs = docs.select("file", F.explode_outer(_entries(docs, arrays)).alias("job"))
+    if "doc" not in docs.columns:
+        return jobs.where("job is not null").select("job.*", "file")
     return jobs.where(V.is_object(F.col("job"))).select(
         *[V.field(F.col("job"), name).alias(name) for name in names], "file"
     )
@@ -77,24 +120,44 @@ def flatten_structs(frame: DataFrame, column: str) -> DataFrame:
 
 def quarantine(docs: DataFrame, arrays: bool = False) -> DataFrame:
     """Documents without a listing array: ``file``, ``reason`` and the text."""
+    text = F.col(CORRUPT)
+    broken = text.isNotNull()
+    if "doc" in docs.columns:
+        text, broken = F.coalesce(text, F.to_json("doc")), F.col("doc").isNull()
     return docs.where(_entries(docs, arrays).isNull()).select(
         "file",
-        F.when(F.col("doc").isNull(), "not valid JSON").otherwise("no jobs array").alias("reason"),
-        F.coalesce(F.col(CORRUPT), F.to_json("doc")).alias("text"),
+        F.when(broken, "not valid JSON").otherwise("no jobs array").alias("reason"),
+        text.alias("text"),
     )
 
 
+def listings(
+    spark: SparkSession,
+    at: Landing,
+    names: Sequence[str] = schemas.LISTING_FIELDS,
+    arrays: bool = False,
+) -> DataFrame:
+    """All listings of all documents, whatever their size."""
+    small = flatten(documents(spark, at), names, arrays)
+    return small.unionByName(flatten(large_documents(spark, at, names), names, arrays))
+
+
+def quarantined(spark: SparkSession, at: Landing, arrays: bool = False) -> DataFrame:
+    """All documents that give no listings because of their shape."""
+    small = quarantine(documents(spark, at), arrays)
+    return small.unionByName(quarantine(large_documents(spark, at), arrays))
+
+
 def read_listings(
     spark: SparkSession,
     folder: str,
     names: Sequence[str] = schemas.LISTING_FIELDS,
-    glob: str = LANDING_GLOB,
-    recursive: bool = True,
     arrays: bool = False,
+    recursive: bool = True,
 ) -> DataFrame:
-    """All listings of all documents in ``folder``, checked to be there."""
+    """All listings of a folder that must hold at least one document."""
     require_landing(spark, folder)
-    return flatten(documents(spark, folder, glob, recursive), names, arrays)
+    return listings(spark, Landing(folder, recursive=recursive), names, arrays)
 
 
 def latest_file(spark: SparkSession, folder: str, glob: str = CAPTURE_GLOB) -> str:

@@ -81,8 +81,8 @@ def read_raw(spark: SparkSession, folder: str, glob: str = "*.json") -> Readable
     """
     if not exists(spark, folder):
         return None
-    docs = landing.documents(spark, folder, glob, recursive=False)
-    listings = landing.flatten(docs, arrays=True)
+    at = landing.Landing(folder, glob, recursive=False)
+    listings = landing.listings(spark, at, arrays=True)
     return Readable(
         silver.build_display(listings, sort=False), silver.relevant(silver.project(listings))
     )

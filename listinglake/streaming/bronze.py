@@ -2,31 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from listinglake.constants import LANDING_GLOB
 from listinglake.sources import landing
 
 
-def stream_documents(
-    spark: SparkSession, folder: str, glob: str = LANDING_GLOB, files_per_batch: int = 1000
-) -> DataFrame:
-    """Streaming form of :func:`listinglake.sources.landing.documents`."""
-    return (
-        spark.readStream.schema(f"doc variant, {landing.CORRUPT} string")
-        .option("singleVariantColumn", "doc")
-        .option("columnNameOfCorruptRecord", landing.CORRUPT)
-        .option("multiLine", True)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(folder)
-        .withColumn("file", F.col("_metadata.file_path"))
-    )
-
-
 def land_new_listings(
     spark: SparkSession, folder: str, target: str, checkpoint: str, **options
 ) -> StreamingQuery:
@@ -34,10 +15,12 @@ def land_new_listings(
 
     The checkpoint remembers the documents, so a run after a failure goes on where the
     last one stopped and no listing is written twice. Dedupe stays with silver.
+    ``options`` are those of :class:`listinglake.sources.landing.Landing`.
     """
-    listings = landing.flatten(stream_documents(spark, folder, **options), arrays=True)
+    at = landing.Landing(folder, stream=True, **options)
     return (
-        listings.writeStream.format("parquet")
+        landing.listings(spark, at, arrays=True)
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

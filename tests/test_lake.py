@@ -57,10 +57,29 @@ def test_every_shape_of_document(spark, tmp_path):
     assert set(found) == {"1", "2"}
     assert (found["2"].salary, found["1"].candidate_required_location) == ("5", None)
 
-    docs = landing.documents(spark, folder, recursive=False)
-    aside = {r.file[-6:]: r.reason for r in landing.quarantine(docs, arrays=True).collect()}
+    at = landing.Landing(folder, recursive=False)
+    aside = {r.file[-6:]: r.reason for r in landing.quarantined(spark, at, arrays=True).collect()}
     assert aside == {"d.json": "not valid JSON", "e.json": "no jobs array"}
-    assert landing.quarantine(docs).count() == 3
+    assert landing.quarantined(spark, at).count() == 3
+
+
+def test_documents_too_large_for_a_variant(spark, tmp_path):
+    """Both routes give the same rows; which one a file takes depends on its size."""
+    wide = {"jobs": [listing(i, note="x" * 50, salary=i) for i in range(100)]}
+    folder = land(tmp_path / "raw", big=wide, small={"jobs": [listing(1000, salary=5)]},
+                  array=[listing(2000 + i) for i in range(100)], odd='{"x": "' + "y" * 5000 + '"}',
+                  broken='{"jobs": [{"id": "' + "z" * 5000)
+    results = []
+    for limit in (10**9, 2000, 0):
+        at = landing.Landing(folder, variant_bytes=limit)
+        rows = landing.listings(spark, at, arrays=True)
+        results.append(sorted(map(repr, rows.collect())))
+        aside = landing.quarantined(spark, at, arrays=True).collect()
+        assert {(r.file[-8:], r.reason) for r in aside} == {
+            ("odd.json", "no jobs array"), ("ken.json", "not valid JSON")}
+    assert len(results[0]) == 201 and results[0] == results[1] == results[2]
+    at = landing.Landing(folder, variant_bytes=2000)
+    assert landing.documents(spark, at).count() == 1
 
 
 def test_an_empty_document_alone_is_no_error(spark, tmp_path):
