@@ -13,6 +13,8 @@ from listinglake.functions.times import publication_timestamp
 from listinglake.operators.ranking import latest_on_two_keys
 from listinglake.operators.serving import newest_first
 
+_WHOLE_NUMBER = r"^[\s\p{Cntrl}]*[+-]?\d+[\s\p{Cntrl}]*$"
+
 
 def optional(frame: DataFrame, name: str) -> Column:
     """Column ``name`` as text, or null text when the frame lacks it."""
@@ -20,8 +22,12 @@ def optional(frame: DataFrame, name: str) -> Column:
 
 
 def listing_id(frame: DataFrame) -> Column:
-    """``id`` as bigint; text that is no whole number gives null."""
-    return optional(frame, "id").try_cast("bigint")
+    """``id`` as bigint; text that is no whole number gives null.
+
+    The match comes first because a cast that fails is far dearer than one that works.
+    """
+    text = optional(frame, "id")
+    return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast("bigint"))
 
 
 def project(listings: DataFrame, offset: str = "drop") -> DataFrame:

@@ -21,7 +21,7 @@ from listinglake.session import store
 
 # A key is hot when it holds this share of all rows and at least this many.
 SHARE = 1 / 2000
-HOT_ROWS = 1_000_000
+HOT_ROWS = 100_000
 # A lookup side is broadcast up to this many bytes, measured.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Per-row overhead assumed on top of the measured text.
