@@ -267,14 +267,14 @@ def gold_sql(spark, tables):
     order_star(spark, tables).create_views("orders_")
     return spark.sql(
         """
-        SELECT location.location_name AS label, company.company_name, count(*) AS count,
-               date_format(min(fact.publication_date), 'yyyy-MM-dd') AS first_day,
-               max(fact.vacancy_id) AS last_id
-        FROM orders_fct_vacancies fact
-        LEFT JOIN orders_dim_company company ON fact.company_id = company.company_id
-        LEFT JOIN orders_dim_location location ON fact.location_id = location.location_id
-        WHERE trim(location.location_name) <> ''
-        GROUP BY location.location_name, company.company_name
+        SELECT l.location_name AS label, c.company_name, count(*) AS count,
+               date_format(min(f.publication_date), 'yyyy-MM-dd') AS first_day,
+               max(f.vacancy_id) AS last_id
+        FROM orders_fct_vacancies f
+        LEFT JOIN orders_dim_company c USING (company_id)
+        LEFT JOIN orders_dim_location l USING (location_id)
+        WHERE trim(l.location_name) <> ''
+        GROUP BY l.location_name, c.company_name
         """
     )
 

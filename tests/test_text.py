@@ -14,7 +14,7 @@ def values(frame, rows, column, kind="string"):
 @pytest.mark.parametrize(
     "given, wanted",
     [
-        ("<p>Build <b>pipelines</b> &amp; models.</p>", "Build pipelines & models."),
+        ("<div>Tea <i>and</i> cake &amp; jam,<br>daily</div>", "Tea and cake & jam, daily"),
         ("&amp;lt;x", "&lt;x"),
         ("a < b > c", "a c"),
         ("<>", "<>"),
