@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the operators registers them."""
 
-from listinglake.llm import neardup, quality  # noqa: F401
+from listinglake.llm import decontam, neardup, quality  # noqa: F401
 from listinglake.llm.tables import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
