@@ -8,8 +8,8 @@
 3. Per band bucket, candidate edges form stars: the bucket's most central class (the one
    whose buckets hold most members in all, where an original beats its variants) is
    compared with all others. Edges are confirmed on the full shingle sets.
-4. Buckets whose members are not in one component yet get more hubs, twice as many each
-   round, until one component is left or every member has been a hub. So a bucket ends
+4. Buckets whose members are not in one component yet get more hubs, ``GROWTH`` times as
+   many each round, until one component is left or every member has been a hub. So a bucket ends
    with every pair of it linked or compared: no cap, and a star where a star suffices.
 
 Two documents at the threshold meet in no bucket with a probability under 1e-6
@@ -41,6 +41,7 @@ SHINGLE = 5
 #: Shared part of the union, in hundredths, from which two documents are linked.
 SIMILARITY = 80
 BANDS, ROWS = 32, 6
+GROWTH = 8
 BINS = BANDS * ROWS
 
 
@@ -229,7 +230,7 @@ def _linked(
         # The rank limit is applied before the shuffle, so no task sees a whole hot bucket.
         hubs = (
             active.withColumn("place", F.row_number().over(by_rank))
-            .where(F.col("place") <= 2 * used + 1)
+            .where(F.col("place") <= GROWTH * used + 1)
             .where(F.col("place") > used)
             .select("band", F.col("same").alias("hub"), F.col("n").alias("hub_n"),
                     F.col("root").alias("hub_root"))
@@ -248,7 +249,7 @@ def _linked(
         if not links.isEmpty():
             known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
             roots = store(components(known.union(links)), "roots")
-        used = 2 * used + 1
+        used = GROWTH * used + 1
 
 
 def near_duplicates(

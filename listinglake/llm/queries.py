@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the operators registers them."""
 
-from listinglake.llm import decontam, mixing, neardup, quality, secrets  # noqa: F401
+from listinglake.llm import decontam, mixing, neardup, pii, quality, secret_scan  # noqa: F401
 from listinglake.llm.tables import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
