@@ -5,12 +5,18 @@
    fixed random order per bin (optimal densification), and ``BANDS`` band hashes.
 2. Documents of one shingle set are one class; its smallest id stands for it. Copies
    are thus linked without a pair.
-3. Per band bucket, candidate edges form stars: the bucket's most central class (the one
-   whose buckets hold most members in all, where an original beats its variants) is
-   compared with all others. Edges are confirmed on the full shingle sets.
-4. Buckets whose members are not in one component yet get more hubs, ``GROWTH`` times as
-   many each round, until one component is left or every member has been a hub. So a bucket ends
-   with every pair of it linked or compared: no cap, and a star where a star suffices.
+3. Candidate edges form stars. Each class is compared with its pivot alone: the most
+   central class among the hubs of its band buckets (the one whose buckets hold most members
+   in all, where an original beats its variants). Edges are confirmed on the full sets.
+4. What stars miss is found exactly. Let x, y be classes of pivot p, which lose ``p - x`` and
+   ``p - y`` of it and add ``x - p`` and ``y - p``. They share what neither loses, and what
+   both add. So they can be linked beyond the star only if they add a common shingle, or
+   lose little enough together. These pairs come from a join on added shingles, never from
+   all pairs of a group; bitmaps of what is lost and added, ``SKETCH`` words each, bound the
+   shared part from above inside the join, so that hardly a pair that is not linked leaves it.
+5. Buckets that still hold several components and several pivots are compared hub by hub,
+   ``GROWTH`` times as many hubs each round, across pivots only, until one component is left
+   or every member has been a hub. So no pair of a bucket stays undecided, and no cap is set.
 
 Two documents at the threshold meet in no bucket with a probability under 1e-6
 (``(1 - 0.85**6)**32``), above it far less.
@@ -42,6 +48,7 @@ SHINGLE = 5
 SIMILARITY = 80
 BANDS, ROWS = 32, 6
 GROWTH = 8
+SKETCH = 8
 BINS = BANDS * ROWS
 
 
@@ -198,14 +205,156 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     )
 
 
-def _linked(
-    documents: DataFrame, classes: DataFrame, size: int, similarity: int
-) -> DataFrame:
+def _enough(both: str | F.Column, left: str, right: str, similarity: int) -> F.Column:
+    """Whether an intersection of ``both`` suffices for sets of these sizes."""
+    both = F.col(both) if isinstance(both, str) else both
+    return 100 * both >= similarity * (F.col(left) + F.col(right) - both)
+
+
+def _pivots(members: DataFrame, similarity: int) -> DataFrame:
+    """(same, n, pivot): each class and the most central fitting hub of its buckets."""
+    hubs = members.groupBy("band").agg(F.max(F.struct("central", "same", "n")).alias("hub"))
+    return (
+        members.join(hubs, "band")
+        .where(F.col("same") != F.col("hub.same"))
+        .where(
+            100 * F.least("n", "hub.n") >= similarity * F.greatest("n", "hub.n")
+        )
+        .groupBy("same", "n")
+        .agg(F.max("hub")["same"].alias("pivot"))
+    )
+
+
+def _sketch(values: str, name: str) -> list[F.Column]:
+    """``SKETCH`` words of a bitmap of the shingles: unions only ever look smaller in it."""
+
+    def word(number: int) -> F.Column:
+        def spot(value: F.Column) -> F.Column:
+            return F.pmod(value, F.lit(64 * SKETCH))
+
+        return F.aggregate(
+            F.filter(values, lambda value: F.floor(spot(value) / 64) == number),
+            F.lit(0).cast("bigint"),
+            lambda bits, value: bits.bitwiseOR(
+                F.call_function("shiftleft", F.lit(1).cast("bigint"), (spot(value) % 64).cast("int"))
+            ),
+        )
+
+    return [word(number).alias(f"{name}{number}") for number in range(SKETCH)]
+
+
+def _stars(pivots: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Each class against its pivot, stored: what it adds, sketches, and whether it is linked."""
+    own = sets.select("same", F.col("shingles").alias("own"))
+    centre = sets.select(F.col("same").alias("pivot"), F.col("shingles").alias("centre"))
+    met = (
+        pivots.join(own, "same")
+        .join(centre, "pivot")
+        .select(
+            "same",
+            "n",
+            "pivot",
+            F.size("centre").alias("pivot_n"),
+            F.array_except("own", "centre").alias("added"),
+            F.array_except("centre", "own").alias("lost"),
+        )
+    )
+    return store(
+        met.select(
+            "same",
+            "n",
+            "pivot",
+            "pivot_n",
+            "added",
+            *_sketch("lost", "lost"),
+            *_sketch("added", "new"),
+            _enough(F.col("n") - F.size("added"), "n", "pivot_n", similarity).alias("linked"),
+        ),
+        "stars",
+    )
+
+
+def _beyond_stars(stars: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of one pivot that may be linked though not both are linked to it."""
+    sketches = [f"{name}{number}" for name in ("lost", "new") for number in range(SKETCH)]
+
+    def side(frame: DataFrame, name: str) -> DataFrame:
+        held = ["same", "n", "linked", *sketches]
+        return frame.select(
+            "pivot",
+            "pivot_n",
+            "added",
+            F.size("added").alias(f"{name}_added"),
+            *(F.col(column).alias(f"{name}_{column}") for column in held),
+        )
+
+    away = stars.where(~F.col("linked"))
+    left = side(away, "x")
+    right = side(
+        stars.join(away.select("pivot").distinct(), "pivot", "left_semi"), "y"
+    ).drop("pivot_n")
+
+    def union_size(name: str) -> F.Column:
+        words_ = [
+            F.bit_count(F.col(f"x_{name}{k}").bitwiseOR(F.col(f"y_{name}{k}")))
+            for k in range(SKETCH)
+        ]
+        return sum(words_[1:], words_[0])
+
+    kept = F.col("pivot_n") - union_size("lost")
+    common = F.least(
+        F.col("x_added") + F.col("y_added") - union_size("new"),
+        F.least("x_added", "y_added"),
+    )
+    once = (F.col("x_same") != F.col("y_same")) & (
+        F.col("y_linked") | (F.col("x_same") < F.col("y_same"))
+    )
+
+    def opened(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("shingle", F.explode("added")).drop("added")
+
+    sharing = (
+        opened(left)
+        .join(opened(right), ["pivot", "shingle"])
+        .where(once & _enough(kept + common, "x_n", "y_n", similarity))
+    )
+    # Without a common new shingle, what is kept must suffice, if only for a small partner.
+    within = F.col("x_n") - F.col("x_added")
+    near = left.where(100 * within >= similarity * (F.col("x_n") * (1 + similarity / 100) - within))
+    alone = (
+        near.drop("added")
+        .join(right.drop("added"), "pivot")
+        .where(once & _enough(kept, "x_n", "y_n", similarity))
+    )
+    ends = [F.least("x_same", "y_same").alias("a"), F.greatest("x_same", "y_same").alias("b")]
+    return sharing.select(*ends).union(alone.select(*ends)).distinct()
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of what is known and the new links."""
+    if links.isEmpty():
+        return roots
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return store(components(known.union(links)), "roots")
+
+
+def _linked(documents: DataFrame, classes: DataFrame, size: int, similarity: int) -> DataFrame:
     """(node, root): components of the classes that similar pairs within buckets link."""
     members = _bucket_members(classes)
     sets = _class_sets(documents, classes, members, size)
     spark = documents.sparkSession
-    roots = spark.createDataFrame([], "node binary, root binary")
+    stars = _stars(_pivots(members, similarity), sets, similarity)
+    others = store(_beyond_stars(stars, similarity), "pairs")
+    links = stars.where("linked").select(F.col("same").alias("a"), F.col("pivot").alias("b"))
+    if not others.isEmpty():
+        links = links.union(_confirmed(others, sets, similarity))
+    roots = _joined(spark.createDataFrame([], "node binary, root binary"), store(links, "links"))
+    members = store(
+        members.join(stars.select("same", "pivot"), "same", "left").withColumn(
+            "pivot", F.coalesce("pivot", "same")
+        ),
+        "pivoted-buckets",
+    )
     compared = spark.createDataFrame([], "a binary, b binary")
     by_rank = Window.partitionBy("band").orderBy(F.desc("central"), F.asc("same"))
     used = 0
@@ -213,15 +362,15 @@ def _linked(
         rooted = members.join(roots.withColumnRenamed("node", "same"), "same", "left").withColumn(
             "root", F.coalesce("root", "same")
         )
-        # Open: several components, and members left that have not been hubs.
+        # Open: several components and pivots, and members left that have not been hubs.
         open_bands = (
             rooted.groupBy("band")
             .agg(
-                F.min("root").alias("low"),
-                F.max("root").alias("high"),
+                (F.min("root") != F.max("root")).alias("apart"),
+                (F.min("pivot") != F.max("pivot")).alias("pivots"),
                 F.count(F.lit(1)).alias("size"),
             )
-            .where((F.col("low") != F.col("high")) & (F.col("size") > used + 1))
+            .where(F.col("apart") & F.col("pivots") & (F.col("size") > used + 1))
             .select("band")
         )
         active = store(rooted.join(open_bands, "band"), "open-buckets")
@@ -232,12 +381,18 @@ def _linked(
             active.withColumn("place", F.row_number().over(by_rank))
             .where(F.col("place") <= GROWTH * used + 1)
             .where(F.col("place") > used)
-            .select("band", F.col("same").alias("hub"), F.col("n").alias("hub_n"),
-                    F.col("root").alias("hub_root"))
+            .select(
+                "band",
+                F.col("same").alias("hub"),
+                F.col("n").alias("hub_n"),
+                F.col("root").alias("hub_root"),
+                F.col("pivot").alias("hub_pivot"),
+            )
         )
         pairs = store(
             active.join(hubs, "band")
-            .where(F.col("root") != F.col("hub_root"))
+            .where((F.col("root") != F.col("hub_root")) & (F.col("pivot") != F.col("hub_pivot")))
+            .where((F.col("pivot") != F.col("hub")) & (F.col("hub_pivot") != F.col("same")))
             .where(100 * F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n"))
             .select(F.least("same", "hub").alias("a"), F.greatest("same", "hub").alias("b"))
             .distinct()
@@ -245,10 +400,8 @@ def _linked(
             "pairs",
         )
         compared = compared.union(pairs)
-        links = store(_confirmed(pairs, sets, similarity), "links")
-        if not links.isEmpty():
-            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = store(components(known.union(links)), "roots")
+        if not pairs.isEmpty():
+            roots = _joined(roots, store(_confirmed(pairs, sets, similarity), "links"))
         used = GROWTH * used + 1
 
 
