@@ -11,7 +11,7 @@ come from ordered rules over the text (``TOPIC_RULES``).
 
 Everything is a DataFrame expression. The texts are read once, into one narrow row each;
 all later work is on the cells, which pre-aggregation makes few, in ``ROUNDS`` rounds of
-three raking steps each. A hot source is one cell group after map-side sums.
+three raking steps each. A hot source is its few cells after map-side sums.
 
 Null source, language or text reads as "unknown" or an empty text; empty texts count
 ``0`` tokens, so their cell has no weight of its own and they are kept with the chance
@@ -22,7 +22,7 @@ Extra columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listinglake.llm.tables import query, table
@@ -98,32 +98,23 @@ def targets_of(cells: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
 def rake(cells: DataFrame, targets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(source, lang, topic, tokens, weight): weights sum to 1 and meet the targets.
 
-    A value without a target keeps no weight. One stored table a round cuts the lineage.
+    A value without a target keeps no weight. Sums run over the cells of one value, which
+    are sums of their documents already. One stored table a round cuts the lineage.
     """
-    fitted = store(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
+    aimed = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for name in DIMENSIONS:
+        share = targets.where(F.col("dimension") == name).select(
+            F.col("value").alias(name), F.col("share").alias(f"to_{name}")
+        )
+        aimed = aimed.join(share, name, "left")
+    fitted = store(aimed, "cells")
     for _ in range(rounds):
         for name in DIMENSIONS:
-            share = targets.where(F.col("dimension") == name).select(
-                F.col("value").alias(name), "share"
-            )
-            scale = (
-                fitted.groupBy(name)
-                .agg(F.sum("weight").alias("have"))
-                .join(share, name, "left")
-                .select(
-                    name,
-                    F.when(
-                        F.col("have") > 0, F.coalesce("share", F.lit(0.0)) / F.col("have")
-                    ).otherwise(0.0).alias("scale"),
-                )
-            )
-            fitted = (
-                fitted.join(scale, name)
-                .withColumn("weight", F.col("weight") * F.col("scale"))
-                .drop("scale")
-            )
-        fitted = store(fitted.select(*DIMENSIONS, "tokens", "weight"), "cells")
-    return fitted
+            have = F.sum("weight").over(Window.partitionBy(name))
+            scale = F.coalesce(f"to_{name}", F.lit(0.0)) / have
+            fitted = fitted.withColumn("weight", F.col("weight") * F.when(have > 0, scale).otherwise(0.0))
+        fitted = store(fitted, "cells")
+    return fitted.drop(*(f"to_{name}" for name in DIMENSIONS))
 
 
 def chances(fitted: DataFrame, budget: float = BUDGET, cuts: int = CUTS) -> DataFrame:
