@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the operators registers them."""
 
-from listinglake.llm import decontam, mixing, neardup, neighbours, pii, quality, secret_scan, warc  # noqa: F401
+from listinglake.llm import decontam, mixing, neardup, neighbours, pii, quality, secret_scan, token_counts, warc  # noqa: F401
 from listinglake.llm.tables import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
