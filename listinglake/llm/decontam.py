@@ -17,7 +17,8 @@ than the item.
 
 Items of ``SHORTEST`` to ``WINDOW - 1`` tokens form one window of their own length; shorter
 ones, null and empty ones match nothing. Null and empty texts match nothing. Rows of null
-id are judged like others; repeated rows get the same verdict each; rows of one id with
+id are judged like others; text in capitals shows no names, so what an item says around its
+names must carry the coverage there; repeated rows get the same verdict each; rows of one id with
 different texts are judged apart. Items with equal texts all match. With an empty benchmark
 every document is clean. Extra columns are ignored.
 """
@@ -47,6 +48,8 @@ WINDOW = 8
 SHORTEST = 4
 COVERAGE = 0.5
 FILTER_BITS = 1 << 24
+#: Bytes of white space and symbols that may part a number from its unit.
+UNIT_GAP = 3
 #: Units that make a placeholder after a number.
 UNITS = (
     "kg g mg lb lbs oz ton tons km m cm mm mile miles ft foot feet inch inches yard yards "
@@ -115,7 +118,7 @@ def templates(chunk: words.Chunk, lower: words.Chunk) -> tuple[np.ndarray, np.nd
     inside = follows & (ends[found.start] == ends[before])
     name = inside & _capitalised(data, found)
     after_digit = np.concatenate([[False], digit[:-1]]) & follows
-    unit = after_digit & (gap <= 1) & ~digit & np.isin(found.hash, _UNIT_HASHES)
+    unit = after_digit & (gap <= UNIT_GAP) & ~digit & np.isin(found.hash, _UNIT_HASHES)
     name &= ~unit
     joint = data[np.minimum(before, len(data) - 1)]
     carries = digit & after_digit & (gap == 1) & ((joint == 0x2E) | (joint == 0x2C))
@@ -356,11 +359,12 @@ def judge(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents``, as they are, that hold no benchmark item."""
     found = _keys(_by_document(documents, benchmark), "text_key").select("_no_id", "_id", "_text")
-    keys = ["_no_id", "_id", "_text"]
+    # The row travels as one column, so no name of it can clash with the keys.
+    packed = _keys(documents.select(F.struct("*").alias("row"), "doc_id", "text"))
     return (
-        lookup_join(_keys(documents), found.withColumn("_hit", F.lit(True)), keys, "left")
+        lookup_join(packed, found.withColumn("_hit", F.lit(True)), ["_no_id", "_id", "_text"], "left")
         .where(F.col("_hit").isNull())
-        .select(*documents.columns)
+        .select("row.*")
     )
 
 

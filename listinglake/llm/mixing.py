@@ -13,9 +13,9 @@ Everything is a DataFrame expression. The texts are read once, into one narrow r
 all later work is on the cells, which pre-aggregation makes few, in ``ROUNDS`` rounds of
 three raking steps each. A hot source is its few cells after map-side sums.
 
-Null source, language or text reads as "unknown" or an empty text; empty texts count
-``0`` tokens, so their cell has no weight of its own and they are kept with the chance
-of a cell without tokens, which is 0. Null ids take the draw of an empty id. Repeated rows
+Null source, language or text reads as "unknown" or an empty text. Empty texts count 0
+tokens and are kept with the chance of their cell, which is 0 where no text of the cell has
+tokens. Null ids take the draw of an empty id. Repeated rows
 share one draw. Ties do not arise: a document is kept when its draw is below its chance.
 Extra columns are ignored. An empty table gives no rows.
 """
@@ -171,19 +171,19 @@ def sampled(documents: DataFrame, targets: DataFrame | None = None) -> DataFrame
     _, chance = calibrated(documents, targets)
     keys = [f"_{name}" for name in DIMENSIONS]
     chance = chance.toDF(*keys, "_weight", "_chance")
-    keyed = documents.withColumns(
-        {
-            "_source": F.coalesce("source", F.lit("unknown")),
-            "_lang": F.coalesce("lang", F.lit("unknown")),
-            "_topic": topic(F.coalesce("text", F.lit(""))),
-        }
+    # The row travels as one column, so no name of it can clash.
+    keyed = documents.select(
+        F.struct("*").alias("row"),
+        F.coalesce("source", F.lit("unknown")).alias("_source"),
+        F.coalesce("lang", F.lit("unknown")).alias("_lang"),
+        topic(F.coalesce("text", F.lit(""))).alias("_topic"),
     )
     own = [name for name in documents.columns if name not in ("topic", "chance", "weight")]
     return (
         lookup_join(keyed, chance, keys, "inner")
-        .where(draw(F.col("doc_id")) < F.col("_chance"))
+        .where(draw(F.col("row.doc_id")) < F.col("_chance"))
         .select(
-            *own,
+            *(F.col(f"row.`{name}`") for name in own),
             F.col("_topic").alias("topic"),
             F.col("_chance").alias("chance"),
             F.col("_weight").alias("weight"),

@@ -464,10 +464,13 @@ def keep_first(documents: DataFrame) -> DataFrame:
     )
     if repeated.isEmpty():
         return left
-    again = left.join(repeated, "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text", *[c for c in left.columns if c != "text"])
-    one = again.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
-    return left.join(repeated, "doc_id", "left_anti").union(one.select(*left.columns))
+    # The row travels as one column, so no name of it can clash.
+    again = left.join(repeated, "doc_id", "left_semi").select(
+        F.struct("*").alias("row"), "doc_id", "text"
+    )
+    order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64("row"))
+    one = again.withColumn("place", F.row_number().over(order)).where("place = 1").select("row.*")
+    return left.join(repeated, "doc_id", "left_anti").union(one)
 
 
 @query("op7_neardup")

@@ -48,6 +48,8 @@ LABELS = len(KINDS) + 1
 KEY_DIGITS = 7
 KEY_LETTERS = 5
 SLOTS = 1 << 12
+#: Unary features of a token.
+FEATURES = 7
 TRAIN_DOCUMENTS = 20_000
 EPOCHS, RATE, PULL = 6, 0.5, 1e-3
 SKIP_PRIOR, CHAIN_PRIOR = 6.0, 0.5
@@ -208,7 +210,7 @@ def nodes(documents: list[tuple[list[Token], list[tuple[int, int, int]], str]])
             group.append(groups.setdefault((number, token.key), len(groups)) if token.key else -1)
     return Nodes(
         np.array(document, np.int64),
-        np.array(features, np.int64).reshape(len(document), -1),
+        np.array(features, np.int64).reshape(len(document), FEATURES),
         np.array(seen, np.int64),
         np.array(chained, bool),
         np.array(group, np.int64),
@@ -384,7 +386,7 @@ def _learn(batches):
         return
     features, seen, chained, group = (np.concatenate(part) for part in parts)
     learned = learn(
-        Nodes(seen * 0, features.reshape(len(seen), -1), seen, chained.astype(bool), group)
+        Nodes(seen * 0, features.reshape(len(seen), FEATURES), seen, chained.astype(bool), group)
     )
     for number, part in enumerate(learned):
         spots = np.flatnonzero(part)

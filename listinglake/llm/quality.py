@@ -159,36 +159,40 @@ def text_scores(column: pa.Array, weights: np.ndarray) -> np.ndarray:
     return scores
 
 
-def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
-    """All columns of ``documents`` and ``_score``; the text is read whole, once."""
-    shared = documents.sparkSession.sparkContext.broadcast(weights)
+def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row of ``documents``."""
+    shared = documents.sparkSession.sparkContext.broadcast(train(documents, labels))
 
     def run(batches):
         for batch in batches:
             scores = pa.array(text_scores(batch.column("text"), shared.value))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, scores], names=[*batch.schema.names, "_score"]
+                [batch.column("doc_id"), scores], names=["doc_id", "score"]
             )
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return documents.mapInArrow(run, f"{kinds}, _score double")
-
-
-def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of ``documents``."""
-    scored = score(documents.select("doc_id", "text"), train(documents, labels))
-    return scored.select(
-        "doc_id",
-        held_out().alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"),
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return (
+        documents.select("doc_id", "text")
+        .mapInArrow(run, f"doc_id {kind}, score double")
+        .select(
+            "doc_id",
+            held_out().alias("held_out"),
+            "score",
+            (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        )
     )
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``documents``, as they are, that the classifier does not reject."""
-    scored = score(documents, train(documents, labels))
-    return scored.where(F.col("_score") >= THRESHOLD).drop("_score")
+    shared = documents.sparkSession.sparkContext.broadcast(train(documents, labels))
+
+    def run(batches):
+        for batch in batches:
+            scores = text_scores(batch.column("text"), shared.value)
+            yield batch.filter(pa.array(scores >= THRESHOLD))
+
+    return documents.mapInArrow(run, documents.schema)
 
 
 @query("op2_quality")
