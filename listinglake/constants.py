@@ -25,10 +25,7 @@ ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 LANDING_GLOB = "*.json"
 CAPTURE_GLOB = "jobs_raw_*.json"
 BOARDS = ("remotive", "jobicy", "arbeitnow")
-DEFAULT_CATEGORIES = ("dev", "data", "software-dev", "backend")
-ARBEITNOW_CATEGORY = "dev"
 JOBICY_PAGE_SIZE = 100
-MAX_PAGES = 40
 # category -> (query parameter, value) pairs; any other category asks by tag.
 JOBICY_QUERIES = {
     "dev": [("industry", "dev")],

@@ -11,11 +11,13 @@ goes. What is left is a smaller problem of the same kind. Both minima are map-si
 aggregates and the winners are matched on the unique arrival, so a hot id or pair
 does not reach one task; the two anti-joins salt hot keys.
 
-Usual data is nearly settled after a few rounds. A long chain of conflicts can need
-as many rounds as it has links, so two cases settle the ``slice_rows`` earliest open
-edges in arrival order inside one task instead: a remainder that is no larger, and
-every other round after ``plain_rounds``. A slice is bounded by the parameter and
-exact, as no edge outside it arrives earlier.
+Usual data is settled in a few rounds, however large. A long chain of conflicts in arrival
+order gives a round only its first link, so after a round that settles less than
+``PROGRESS`` of what is open, the ``slice_rows`` earliest open edges are settled in arrival
+order inside one task. A slice is bounded by the parameter and exact, as no edge outside it
+arrives earlier. It names ids and pairs by the first arrival that Spark's own equality groups
+under them, so it agrees with the rounds for keys of any type. What is open, large or small,
+never picks the method; only progress does.
 """
 
 from __future__ import annotations
@@ -23,13 +25,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listinglake.operators.skew import HOT_ROWS, hot_keys, spread_join
 from listinglake.session import remove, scratch_path
 
-PLAIN_ROUNDS = 8
+# A round that settles a smaller share of the open edges is followed by a slice.
+PROGRESS = 0.01
 SLICE_ROWS = 100_000
 
 
@@ -38,7 +41,7 @@ def first_arrivals(
     key: Column,
     pair: list[Column],
     arrival: Column,
-    plain_rounds: int = PLAIN_ROUNDS,
+    progress: float = PROGRESS,
     slice_rows: int = SLICE_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -53,7 +56,7 @@ def first_arrivals(
         .groupBy("_id", "_pair")
         .agg(F.min("_arrival").alias("_arrival"))
     )
-    kept = _settle(edges, plain_rounds, slice_rows, hot_rows).select("_arrival")
+    kept = _settle(edges, progress, slice_rows, hot_rows).select("_arrival")
     return named.join(kept, "_arrival", "left_semi").drop("_arrival")
 
 
@@ -63,7 +66,7 @@ def two_part_arrival(major: str, minor: str) -> Column:
 
 
 def _settle(
-    edges: DataFrame, plain_rounds: int, slice_rows: int, hot_rows: int
+    edges: DataFrame, progress: float, slice_rows: int, hot_rows: int
 ) -> DataFrame:
     """The edges that stay, stored by all rounds together."""
     spark = edges.sparkSession
@@ -83,18 +86,17 @@ def _settle(
     size = rest.count()  # from the file footers
     # Groups only shrink, so what is not hot now never becomes larger.
     hot = {side: hot_keys(rest, [side], size, rows=hot_rows) for side in ("_id", "_pair")}
-    while True:
-        last = number > 0 and size <= slice_rows
-        if last or (number >= plain_rounds and number % 2 == 0):
-            stays = keep(_slice_winners(rest, slice_rows))
-        else:
-            stays = keep(_local_winners(rest))
-        if last:
-            remove(spark, f"{root}/open-{number}")
-            break
+    slow = False
+    while size:
+        stays = keep(_slice_winners(rest, slice_rows) if slow else _local_winners(rest))
         following = save(_without(rest, stays, hot), f"open-{number + 1}")
         remove(spark, f"{root}/open-{number}")
-        rest, number, size = following, number + 1, following.count()
+        left = following.count()
+        slow = slice_rows > 0 and size - left < progress * size
+        rest, number, size = following, number + 1, left
+    remove(spark, f"{root}/open-{number}")
+    if not kept:
+        return edges.limit(0)
     return spark.read.schema(edges.schema).parquet(*kept)
 
 
@@ -116,13 +118,16 @@ def _without(
 
 def _slice_winners(edges: DataFrame, rows: int) -> DataFrame:
     """Settle the ``rows`` earliest edges one after the other, in one bounded task."""
+
+    def named(side: str) -> Column:
+        return F.min("_arrival").over(Window.partitionBy(side)).cast("string")
+
     earliest = (
         edges.orderBy("_arrival")
         .limit(rows)
+        .withColumns({"_left": named("_id"), "_right": named("_pair")})
         .coalesce(1)
         .sortWithinPartitions("_arrival")
-        .withColumn("_left", F.to_json("_id"))
-        .withColumn("_right", F.to_json("_pair"))
     )
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

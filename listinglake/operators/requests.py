@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listinglake.constants import JOBICY_PAGE_SIZE, JOBICY_QUERIES, MAX_PAGES
+from listinglake.constants import JOBICY_PAGE_SIZE, JOBICY_QUERIES
 from listinglake.errors import NothingCollectedError
 from listinglake.operators.skew import hot_from_counts, spread_join
 from listinglake.session import store
@@ -37,34 +37,41 @@ def expand_categories(frame: DataFrame, category: str = "category") -> DataFrame
 
 
 def page_prefix(
-    pages: DataFrame, run: list[str], max_pages: int = MAX_PAGES, failed_stop: bool = False
+    pages: DataFrame, run: list[str], max_pages: int | None = None, failed_stop: bool = False
 ) -> DataFrame:
     """Pages a run really uses: 1, 2, 3, ... up to the first stop.
 
     ``pages`` holds ``page``, ``ok``, ``entries`` and ``has_next``. A failed or
     missing page ends the run before itself; an empty page, one without a next link
-    and page ``max_pages`` end it after themselves. Landed copies of a page count as
-    read when any of them is ok. ``failed_stop`` also gives the failed page at the
-    stop: it was asked for, though it brought nothing.
+    and page ``max_pages``, if given, end it after themselves. Landed copies of a page
+    count as read when any of them is ok. ``failed_stop`` also gives the failed page at
+    the stop: it was asked for, though it brought nothing.
 
-    Each run folds to two bit masks by map-side ``bit_or``: pages that were read and
-    pages that lead on. The stop page is one past the trailing ones of the latter.
+    The stop of a run is the first of its pages 1 and those after a leading page that
+    does not lead on itself; found by an anti-join and a minimum, so a run of any length
+    needs no task of its own.
     """
-    if not 1 <= max_pages <= 62:
-        raise ValueError("max_pages must fit the bits of a bigint")
-    usable = pages.where(F.col("page").between(1, max_pages))
-    bit = F.expr("shiftleft(1L, cast(page as int) - 1)")
-    leads = F.col("ok") & (F.col("entries") > 0) & F.col("has_next")
-    runs = store(
-        usable.groupBy(*run).agg(
-            F.bit_or(F.when(leads, bit).otherwise(F.lit(0).cast("bigint"))).alias("_leads"),
-            F.count(F.lit(1)).alias("_rows"),
-        ),
-        "page-runs",
+    if max_pages is not None and max_pages < 1:
+        raise ValueError("max_pages must be positive")
+    usable = pages.where(F.col("page") >= 1)
+    if max_pages is not None:
+        usable = usable.where(F.col("page") <= max_pages)
+    rows = store(usable.groupBy(*run).agg(F.count(F.lit(1)).alias("_rows")), "page-runs")
+    leading = store(
+        usable.where(F.col("ok") & (F.col("entries") > 0) & F.col("has_next"))
+        .select(*run, F.col("page").cast("bigint").alias("_page"))
+        .distinct(),
+        "leading-pages",
     )
-    trailing_ones = F.bit_count(F.col("_leads").bitwiseXOR(F.col("_leads") + 1)) - 1
-    stops = runs.select(*run, (trailing_ones + 1).cast("bigint").alias("stop_page"))
-    counts = runs.select(F.xxhash64(*run).alias("_hot"), "_rows")
+    first = rows.select(*run, F.lit(1).cast("bigint").alias("_page"))
+    onward = leading.select(*run, (F.col("_page") + 1).alias("_page"))
+    stops = (
+        first.union(onward)
+        .join(leading, [*run, "_page"], "left_anti")
+        .groupBy(*run)
+        .agg(F.min("_page").alias("stop_page"))
+    )
+    counts = rows.select(F.xxhash64(*run).alias("_hot"), "_rows")
     hot = hot_from_counts(counts, counts.agg(F.sum("_rows")).first()[0] or 0)
     asked = usable if failed_stop else usable.where("ok")
     return (

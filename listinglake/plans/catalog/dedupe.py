@@ -95,6 +95,45 @@ def greedy_dedupe(spark, tables):
     return _kept_events(spark, tables)
 
 
+# Neighbouring events share an id or a pair by turns, and arrive in the order of a hash. An
+# edge of such a chain stays if on both sides an even number of edges leads down to the
+# next local minimum of the arrivals.
+_CHAIN_ARRIVAL = "CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 12) AS BIGINT)"
+
+
+@query(
+    "greedy_chain",
+    f"""
+    WITH edges AS (SELECT event_id, {_CHAIN_ARRIVAL} AS arrival FROM events),
+    steps AS (
+        SELECT *, lag(event_id) OVER w IS DISTINCT FROM event_id - 1
+                  OR lag(arrival) OVER w > arrival AS from_left,
+               lead(event_id) OVER w IS DISTINCT FROM event_id + 1
+                  OR lead(arrival) OVER w > arrival AS from_right
+        FROM edges WINDOW w AS (ORDER BY event_id)),
+    runs AS (
+        SELECT *, sum(from_left::INT) OVER (ORDER BY event_id) AS up,
+               sum(from_right::INT) OVER (ORDER BY event_id DESC) AS down
+        FROM steps),
+    places AS (
+        SELECT event_id, row_number() OVER (PARTITION BY up ORDER BY event_id) AS l,
+               row_number() OVER (PARTITION BY down ORDER BY event_id DESC) AS r
+        FROM runs)
+    SELECT event_id FROM places WHERE l % 2 = 1 AND r % 2 = 1
+    """,
+)
+def greedy_chain(spark, tables):
+    """One chain of conflicts over all events, settled in distributed rounds."""
+    events = table(spark, tables, "events").select("event_id")
+    digits = F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 12)
+    return first_arrivals(
+        events,
+        F.floor(F.col("event_id") / 2),
+        [F.floor((F.col("event_id") + 1) / 2)],
+        F.conv(digits, 16, 10).cast("bigint"),
+    )
+
+
 @query(
     "attempt_yield",
     f"""
@@ -170,32 +209,32 @@ def number_names(spark, tables):
     return numbered("part", "p_name").unionByName(numbered("customer", "c_name"))
 
 
-@query(
-    "page_prefix",
-    """
+def _prefix_sql(bound: int | None) -> str:
+    within = f"AND page <= {bound}" if bound else ""
+    return f"""
     WITH pages AS (
         SELECT event_id, user_id AS run, 1 + event_id % 43 AS page,
                event_type <> 'error' AS ok, CAST(round(value) AS BIGINT) AS entries,
-               props <> '{"k": 7}' AS has_next
+               props <> '{{"k": 7}}' AS has_next
         FROM events),
+    used AS (SELECT * FROM pages WHERE page >= 1 {within}),
     leads AS (
-        SELECT run, page FROM pages WHERE page <= 40
-        GROUP BY run, page HAVING bool_or(ok AND entries > 0 AND has_next)),
+        SELECT run, page, row_number() OVER (PARTITION BY run ORDER BY page) AS n
+        FROM used GROUP BY run, page HAVING bool_or(ok AND entries > 0 AND has_next)),
     stops AS (
-        SELECT r.run, min(n.page) AS stop
-        FROM (SELECT DISTINCT run FROM pages WHERE page <= 40) r
-        CROSS JOIN (SELECT unnest(range(1, 42)) AS page) n
-        LEFT JOIN leads l ON l.run = r.run AND l.page = n.page
-        WHERE l.page IS NULL
+        SELECT r.run, 1 + count(l.page) AS stop
+        FROM (SELECT DISTINCT run FROM used) r
+        LEFT JOIN leads l ON l.run = r.run AND l.page = l.n
         GROUP BY r.run)
     SELECT p.event_id, p.run, p.page
-    FROM pages p JOIN stops s ON p.run = s.run
-    WHERE p.ok AND p.page <= s.stop AND p.page <= 40
-    """,
-)
-def page_prefix(spark, tables):
+    FROM used p JOIN stops s ON p.run = s.run
+    WHERE p.ok AND p.page <= s.stop
+    """
+
+
+def _landed_pages(spark, tables):
     """Events as landed pages: one run per user, errors as failed pages."""
-    pages = table(spark, tables, "events").select(
+    return table(spark, tables, "events").select(
         "event_id",
         F.col("user_id").alias("run"),
         (F.col("event_id") % 43 + 1).alias("page"),
@@ -203,9 +242,20 @@ def page_prefix(spark, tables):
         F.round("value").cast("bigint").alias("entries"),
         (F.col("props") != '{"k": 7}').alias("has_next"),
     )
+
+
+@query("page_prefix", _prefix_sql(None))
+def page_prefix(spark, tables):
+    pages = _landed_pages(spark, tables)
     return requests.page_prefix(pages, ["run"]).select("event_id", "run", "page")
 
 
+@query("page_prefix_bounded", _prefix_sql(5))
+def page_prefix_bounded(spark, tables):
+    pages = _landed_pages(spark, tables)
+    return requests.page_prefix(pages, ["run"], 5).select("event_id", "run", "page")
+
+
 @query(
     "request_manifest",
     """

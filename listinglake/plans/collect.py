@@ -43,18 +43,19 @@ def _judge(responses: DataFrame) -> DataFrame:
     )
 
 
-def collect(responses: DataFrame) -> Collected:
+def collect(responses: DataFrame, max_pages: int | None = None) -> Collected:
     """Listings kept, attempts and rejected responses of one collection.
 
     ``responses`` has the columns of ``schemas.RESPONSES``; ``request_seq`` is unique
-    and the order of the calls. A bad response is recorded and skipped, pages
-    behind the stop of their run do not count. The collection fails only when nothing
+    and the order of the calls. A bad response is recorded and skipped. Pages behind the
+    stop of their run, or behind ``max_pages`` if given, do not count; they are rejected
+    with that reason. The collection fails only when nothing
     was kept.
     """
     judged = store(_judge(responses), "judged")
     unpaged = judged.where("page is null")
     paged = judged.where("page is not null").withColumn("ok", F.col("error").isNull())
-    prefix = requests.page_prefix(paged, ["source", "run"], failed_stop=True)
+    prefix = requests.page_prefix(paged, ["source", "run"], max_pages, failed_stop=True)
     asked = store(unpaged.unionByName(prefix.select(*judged.columns)), "asked")
 
     # Bodies are joined for paged boards only; elsewhere every response counts.
@@ -90,9 +91,13 @@ def collect(responses: DataFrame) -> Collected:
         "attempts",
     )
     requests.require_rows(attempts)
+    behind = paged.join(asked.select("request_seq"), "request_seq", "left_anti")
     failed = asked.where("error is not null").select(
         "request_seq", F.col("error").alias("reason")
     )
+    failed = failed.union(
+        behind.select("request_seq", F.lit("behind the stop of its run").alias("reason"))
+    )
     return Collected(
         kept.drop("request_seq", "position"),
         attempts,
@@ -108,12 +113,17 @@ def collect_into(
     bronze_folder: str,
     attempts_folder: str,
     captured_at: datetime | None = None,
+    max_pages: int | None = None,
 ) -> str:
     """Collect landed responses into one bronze capture; gives its stamp.
 
-    The attempts of the capture become a table of their own below ``attempts_folder``.
+    Attempts, rejected responses and the one-row roll-up of the capture become tables
+    below ``attempts_folder``. The same capture again replaces itself.
     """
-    collected = collect(read_responses(configure(spark), responses_folder))
+    collected = collect(read_responses(configure(spark), responses_folder), max_pages)
     stamp = write_bronze(collected.listings, bronze_folder, captured_at)
     write_table(collected.attempts, f"{attempts_folder}/{stamp}")
+    write_table(collected.rejected, f"{attempts_folder}/rejected/{stamp}")
+    rolled = requests.catalogue(collected.listings, stamp)
+    write_table(rolled, f"{attempts_folder}/catalogue/{stamp}")
     return stamp

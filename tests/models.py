@@ -12,7 +12,7 @@ def first_arrivals(rows):
     return stays
 
 
-def page_prefix(pages, last=40):
+def page_prefix(pages, last=10**6):
     """``pages``: (page, ok, entries, has_next) of one run; gives the pages read."""
     read = set()
     for number in range(1, last + 1):

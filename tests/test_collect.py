@@ -109,7 +109,8 @@ def test_collection_survives_partial_failure(frame):
     assert attempts == {("remotive", None): (None, "HTTP 500"), ("jobicy", None): (1, None),
                         ("arbeitnow", 1): (1, None), ("arbeitnow", 2): (1, None)}
     assert found.attempts.dtypes == [tuple(f) for f in schemas.fields(schemas.ATTEMPTS)]
-    assert [r.request_seq for r in found.rejected.collect()] == [1]
+    assert {r.request_seq: r.reason for r in found.rejected.collect()} == {
+        1: "HTTP 500", 5: "behind the stop of its run"}
     assert tuple(requests.tally(found.attempts).first()) == (4, 1, 3)
     row = requests.catalogue(found.listings, "now").first()
     assert (row.job_count, row.sources, row.categories) == (3, ["arbeitnow", "jobicy"], ["dev"])
@@ -145,14 +146,30 @@ def test_page_prefix_equals_the_model(frame, monkeypatch, hot_rows):
         small = requests.hot_from_counts
         monkeypatch.setattr(requests, "hot_from_counts", lambda c, t: small(c, t, rows=hot_rows))
     data = frame(rows, "n bigint, run string, page bigint, ok boolean, entries bigint, has_next boolean")
-    found = sorted(r.n for r in requests.page_prefix(data, ["run"]).collect())
-    wanted = []
-    for run in {r[1] for r in rows}:
-        read = models.page_prefix([r[2:] for r in rows if r[1] == run])
-        wanted += [r[0] for r in rows if r[1] == run and r[2] in read and r[3]]
-    assert found == sorted(wanted)
+    for bound in (None, 40, 1):
+        found = sorted(r.n for r in requests.page_prefix(data, ["run"], bound).collect())
+        wanted = []
+        for run in {r[1] for r in rows}:
+            read = models.page_prefix([r[2:] for r in rows if r[1] == run], bound or 10**6)
+            wanted += [r[0] for r in rows if r[1] == run and r[2] in read and r[3]]
+        assert found == sorted(wanted)
     with pytest.raises(ValueError):
-        requests.page_prefix(data, ["run"], max_pages=63)
+        requests.page_prefix(data, ["run"], max_pages=0)
+
+
+def test_all_landed_pages_count_unless_bounded(frame):
+    rows = [
+        response(n, "arbeitnow", {"data": [{**ARBEITNOW, "slug": f"s{n}", "title": f"T{n}"}],
+                                  "links": {"next": "n"}}, page=n)
+        for n in range(1, 61)
+    ]
+    data = frame(rows, RESPONSES)
+    whole = collect(data)
+    assert whole.listings.count() == 60 and whole.rejected.count() == 0
+    bounded = collect(data, max_pages=40)
+    assert bounded.listings.count() == 40
+    assert sorted(r.request_seq for r in bounded.rejected.collect()) == list(range(41, 61))
+    assert {r.reason for r in bounded.rejected.collect()} == {"behind the stop of its run"}
 
 
 def test_request_expansion(frame):

@@ -70,15 +70,15 @@ def test_first_arrivals_equal_the_model(frame, seed):
     options = [
         {},
         {"slice_rows": 20},
-        {"plain_rounds": 1, "slice_rows": 50},
-        {"slice_rows": 0, "hot_rows": 1, "plain_rounds": 99},
+        {"progress": 2.0, "slice_rows": 50},
+        {"slice_rows": 0, "hot_rows": 1},
     ][seed]
     assert stays(frame, rows, **options) == models.first_arrivals(rows)
 
 
 def test_a_long_chain_goes_through_slices(frame):
     rows = [(i, (i + 1) // 2, f"p{i // 2}") for i in range(3000)]
-    found = stays(frame, rows, plain_rounds=2, slice_rows=700)
+    found = stays(frame, rows, slice_rows=700)
     assert found == models.first_arrivals(rows)
 
 
@@ -95,6 +95,30 @@ def test_two_part_arrival_keeps_order(frame):
     assert [tuple(r) for r in found] == parts
 
 
+KEYS = {
+    "timestamp": "timestamp_micros(k)",
+    "decimal": "cast(k as decimal(20, 6)) / 1000000",
+    "double": "cast(k as double)",
+}
+
+
+@pytest.mark.parametrize("kind", KEYS)
+@pytest.mark.parametrize("options", [{}, {"slice_rows": 0}, {"progress": 2.0, "slice_rows": 2}])
+def test_keys_of_any_type_are_compared_by_value(frame, kind, options):
+    # Keys a microsecond apart, which text forms of a timestamp would merge.
+    rows = [(1, 1, "A"), (2, 2, "A"), (3, 2, "B"), (4, 11, "C"), (5, 3, "C"), (6, 3, "D")]
+    rows += [(7, None, "E"), (8, None, "F")]
+    data = frame(rows, "arrival bigint, k bigint, pair string").selectExpr(
+        "arrival", f"{KEYS[kind]} as id", "pair"
+    )
+    kept = arrival.first_arrivals(data, F.col("id"), [F.col("pair")], F.col("arrival"), **options)
+    assert sorted(r.arrival for r in kept.collect()) == [1, 3, 4, 6, 7]
+
+
+def test_no_rows_no_winners(frame):
+    assert stays(frame, []) == []
+
+
 def test_null_keys_count_as_equal(frame):
     rows = [(1, None, "a"), (2, None, "b"), (3, 3, None), (4, 4, None)]
     assert stays(frame, rows) == [1, 3]
