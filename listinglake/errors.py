@@ -9,6 +9,10 @@ class LandingNotFoundError(ListingLakeError):
     """The landing folder is missing or holds no document."""
 
 
+class UnusableLandingError(ListingLakeError):
+    """Documents have landed, but none of them holds a listing array."""
+
+
 class NothingCollectedError(ListingLakeError):
     """No response of a collection gave a listing."""
 

@@ -127,6 +127,53 @@ def landing_union(spark, tables):
     )
 
 
+@query(
+    "quarantine",
+    """
+    WITH documents AS (
+        SELECT event_id % 61 AS chunk, count(*) AS listings FROM events GROUP BY 1)
+    SELECT CASE chunk % 4 WHEN 0 THEN 'not valid JSON' WHEN 1 THEN 'no jobs array'
+                ELSE 'listings' END AS outcome,
+           count(*) AS documents, sum(listings)::BIGINT AS listings
+    FROM documents GROUP BY 1
+    """,
+)
+def quarantine(spark, tables):
+    """Landed events, every fourth document broken and every fourth one foreign."""
+    folder = scratch_path(spark, "landed")
+    chunk = F.col("chunk") % 4
+    whole = F.to_json(F.struct("jobs"))
+    text = (
+        F.when(chunk == 0, F.expr("substring(whole, 1, length(whole) - 1)"))
+        .when(chunk == 1, F.concat(F.lit('{"other": '), F.to_json("jobs"), F.lit("}")))
+        .otherwise(F.col("whole"))
+    )
+    (
+        _event_listings(spark, tables)
+        .select((F.col("id") % 61).alias("chunk"), F.struct("id", "title").alias("job"))
+        .groupBy("chunk")
+        .agg(F.collect_list("job").alias("jobs"))
+        .withColumn("whole", whole)
+        .select(text.alias("value"))
+        .write.option("maxRecordsPerFile", 1)
+        .text(folder)
+    )
+    at = landing.Landing(folder, "*.txt")
+    aside = landing.quarantined(spark, at).select(
+        F.col("reason").alias("outcome"),
+        "file",
+        F.regexp_count("text", F.lit('"id":')).cast("bigint").alias("listings"),
+    )
+    kept = landing.listings(spark, at, ["id"]).select(
+        F.lit("listings").alias("outcome"), "file", F.lit(1).cast("bigint").alias("listings")
+    )
+    return (
+        aside.unionByName(kept)
+        .groupBy("outcome")
+        .agg(F.count_distinct("file").alias("documents"), F.sum("listings").alias("listings"))
+    )
+
+
 @query(
     "flatten_array",
     """
@@ -426,6 +473,26 @@ def refresh_counts(spark, tables):
     return spark.createDataFrame(list(counts.items()), "name string, rows bigint")
 
 
+@query(
+    "refresh_landing",
+    """
+    SELECT 'silver/jobs' AS name, count(DISTINCT (event_type, user_id)) AS rows FROM events
+    UNION ALL SELECT 'gold/dim_company', count(DISTINCT user_id) FROM events
+    UNION ALL SELECT 'gold/dim_location', 1
+    UNION ALL SELECT 'gold/fct_vacancies', count(DISTINCT (event_type, user_id)) FROM events
+    UNION ALL SELECT 'quarantine/documents', 1
+    UNION ALL SELECT 'quarantine/rejected_ids', 0
+    """,
+)
+def refresh_landing(spark, tables):
+    """The refresh from landed documents, one of them broken, with what it set aside."""
+    folder, root = scratch_path(spark, "landed"), scratch_path(spark, "lake")
+    _land_objects(spark, tables, folder)
+    put_text(spark, f"{folder}/broken.json", '{"jobs": [{"id": 1')
+    counts = refresh.refresh(spark, folder, root)
+    return spark.createDataFrame(list(counts.items()), "name string, rows bigint")
+
+
 _EXPORTED = """
     SELECT o.o_orderkey AS vacancy_id, strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S')
                AS publication_timestamp, o.o_orderpriority AS category,

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from listinglake.constants import TITLE_KEYWORDS
+from listinglake.errors import UnusableLandingError
 from listinglake.operators import serving, silver, star
 from listinglake.session import configure
 from listinglake.sinks.tables import export, write_table
@@ -26,11 +27,26 @@ def refresh(
     """Rebuild all tables below ``root``; gives rows per table.
 
     Every step reads the table the step before has written. Nothing is cached: a lost
-    executor costs a re-read, not a recomputation of the whole chain.
+    executor costs a re-read, not a recomputation of the whole chain. Documents and ids
+    that are set aside become tables below ``root``/quarantine. Input without any listing
+    array raises before the first table is replaced.
     """
     configure(spark)
-    listings = landing.read_listings(spark, landing_folder)
-    return refresh_from(spark, listings, root, export_path, keywords)
+    landing.require_landing(spark, landing_folder)
+    at = landing.Landing(landing_folder)
+    if not landing.has_listing_array(spark, at):
+        raise UnusableLandingError(f"no document with a jobs array in {landing_folder}")
+    listings = landing.listings(spark, at)
+    aside = f"{root.rstrip('/')}/quarantine"
+    counts = {
+        "quarantine/documents": write_table(
+            landing.quarantined(spark, at), f"{aside}/documents"
+        ),
+        "quarantine/rejected_ids": write_table(
+            silver.rejected_ids(listings), f"{aside}/rejected_ids"
+        ),
+    }
+    return refresh_from(spark, listings, root, export_path, keywords) | counts
 
 
 def refresh_from(

@@ -14,7 +14,6 @@ from listinglake.errors import LandingNotFoundError
 from listinglake.functions import variants as V
 from listinglake.session import exists, file_names, hadoop_path
 
-CORRUPT = "_corrupt_record"
 STAMP = "capture_stamp"
 
 
@@ -26,10 +25,6 @@ def require_landing(spark: SparkSession, folder: str) -> None:
         raise LandingNotFoundError(f"no {LANDING_GLOB} document in {folder}")
 
 
-# A VARIANT value is bounded; up to this file size every document fits with room to spare.
-VARIANT_FILE_BYTES = 32 * 1024 * 1024
-
-
 @dataclass(frozen=True)
 class Landing:
     """Where documents lie and how to read them; ``stream`` reads new files only."""
@@ -39,59 +34,44 @@ class Landing:
     recursive: bool = True
     stream: bool = False
     files_per_batch: int = 1000
-    variant_bytes: int = VARIANT_FILE_BYTES
 
-    def scan(self, spark: SparkSession, schema: str, **options) -> DataFrame:
+    def scan(self, spark: SparkSession) -> DataFrame:
+        """(text, file): one row per file."""
         reader = spark.readStream if self.stream else spark.read
         if self.stream:
-            options["maxFilesPerTrigger"] = self.files_per_batch
+            reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
         found = (
-            reader.schema(f"{schema}, {CORRUPT} string")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("multiLine", True)
-            .option("pathGlobFilter", self.glob)
+            reader.option("pathGlobFilter", self.glob)
             .option("recursiveFileLookup", self.recursive)
-            .options(**options)
-            .json(self.folder)
+            .text(self.folder, wholetext=True)
+        )
+        return found.select(
+            F.ltrim("value", F.lit("\ufeff")).alias("text"),
+            F.col("_metadata.file_path").alias("file"),
         )
-        size = F.col("_metadata.file_size")
-        return found.withColumns({"file": F.col("_metadata.file_path"), "_size": size})
 
 
 def documents(spark: SparkSession, at: Landing) -> DataFrame:
-    """One row per JSON file: ``doc`` (VARIANT), its corrupt text if any, ``file``.
-
-    Nothing is inferred, so no file is read twice and types cannot drift between
-    files. Files above ``variant_bytes`` are left to :func:`large_documents`; Spark
-    prunes by file size before it opens a file.
-    """
-    docs = at.scan(spark, "doc variant", singleVariantColumn="doc")
-    return docs.where(F.col("_size") <= at.variant_bytes).drop("_size")
-
-
-def large_documents(
-    spark: SparkSession, at: Landing, names: Sequence[str] = schemas.LISTING_FIELDS
-) -> DataFrame:
-    """Files too large for one VARIANT, with every declared field as text.
+    """One row per JSON file: ``text``, its ``jobs`` array, itself as an array ``whole``.
 
-    A top-level array comes as one row per entry. Here an entry that is no object
-    spoils its document, which then goes to quarantine.
+    One route for every size. Arrays hold each entry as its raw JSON text, so nothing is
+    inferred, one odd entry costs itself and not its document, and only a single entry has
+    to fit a VARIANT. Both arrays are null where the document has no such array.
     """
-    inner = ", ".join(f"`{name}`: string" for name in names)
-    outer = ", ".join(f"`{name}` string" for name in names)
-    docs = at.scan(spark, f"jobs array<struct<{inner}>>, {outer}")
-    return docs.where(F.col("_size") > at.variant_bytes).drop("_size")
+    opening = F.substring(F.ltrim("text", F.lit(" \t\r\n")), 1, 1)
+    jobs = F.from_json("text", "jobs array<string>")["jobs"]
+    whole = F.from_json("text", "array<string>")
+    return at.scan(spark).select(
+        "file",
+        "text",
+        F.when(opening == "{", jobs).alias("jobs"),
+        F.when(opening == "[", whole).alias("whole"),
+    )
 
 
-def _entries(docs: DataFrame, arrays: bool) -> Column:
-    """The listings of a document as an array, null when it has none."""
-    if "doc" in docs.columns:
-        jobs, whole = V.items(F.col("doc"), "jobs"), V.items(F.col("doc"))
-    else:
-        names = [c for c in docs.columns if c not in ("jobs", "file", CORRUPT)]
-        jobs = F.col("jobs")
-        whole = F.when(F.coalesce(*names).isNotNull(), F.array(F.struct(*names)))
-    return F.coalesce(jobs, whole) if arrays else jobs
+def _entries(arrays: bool) -> Column:
+    """The entries of a document as raw JSON texts, null when it has no listing array."""
+    return F.coalesce("jobs", "whole") if arrays else F.col("jobs")
 
 
 def flatten(
@@ -104,10 +84,9 @@ def flatten(
     harm to their neighbours.
     """
     # Outer, so that Spark does not infer a filter that unpacks each document twice.
-    jobs = docs.select("file", F.explode_outer(_entries(docs, arrays)).alias("job"))
-    if "doc" not in docs.columns:
-        return jobs.where("job is not null").select("job.*", "file")
-    return jobs.where(V.is_object(F.col("job"))).select(
+    entries = docs.select("file", F.explode_outer(_entries(arrays)).alias("entry"))
+    job = F.try_parse_json("entry")
+    return entries.select(job.alias("job"), "file").where(V.is_object(F.col("job"))).select(
         *[V.field(F.col("job"), name).alias(name) for name in names], "file"
     )
 
@@ -119,15 +98,21 @@ def flatten_structs(frame: DataFrame, column: str) -> DataFrame:
 
 
 def quarantine(docs: DataFrame, arrays: bool = False) -> DataFrame:
-    """Documents without a listing array: ``file``, ``reason`` and the text."""
-    text = F.col(CORRUPT)
-    broken = text.isNotNull()
-    if "doc" in docs.columns:
-        text, broken = F.coalesce(text, F.to_json("doc")), F.col("doc").isNull()
-    return docs.where(_entries(docs, arrays).isNull()).select(
+    """``file``, ``reason`` and text of what gives no listing because of its shape.
+
+    Documents without a listing array, and single objects too large for a VARIANT.
+    """
+    valid = F.get_json_object("text", "$").isNotNull()
+    documents_ = docs.where(_entries(arrays).isNull()).select(
         "file",
-        F.when(broken, "not valid JSON").otherwise("no jobs array").alias("reason"),
-        text.alias("text"),
+        F.when(valid, "no jobs array").otherwise("not valid JSON").alias("reason"),
+        "text",
+    )
+    entries = docs.select("file", F.explode(_entries(arrays)).alias("text")).where(
+        F.ltrim("text").startswith("{") & F.try_parse_json("text").isNull()
+    )
+    return documents_.unionByName(
+        entries.select("file", F.lit("entry too large").alias("reason"), "text")
     )
 
 
@@ -137,15 +122,19 @@ def listings(
     names: Sequence[str] = schemas.LISTING_FIELDS,
     arrays: bool = False,
 ) -> DataFrame:
-    """All listings of all documents, whatever their size."""
-    small = flatten(documents(spark, at), names, arrays)
-    return small.unionByName(flatten(large_documents(spark, at, names), names, arrays))
+    """All listings of all documents."""
+    return flatten(documents(spark, at), names, arrays)
 
 
 def quarantined(spark: SparkSession, at: Landing, arrays: bool = False) -> DataFrame:
-    """All documents that give no listings because of their shape."""
-    small = quarantine(documents(spark, at), arrays)
-    return small.unionByName(quarantine(large_documents(spark, at), arrays))
+    """All that gives no listings because of its shape."""
+    return quarantine(documents(spark, at), arrays)
+
+
+def has_listing_array(spark: SparkSession, at: Landing, arrays: bool = False) -> bool:
+    """Whether any document has a listing array, empty or not."""
+    found = documents(spark, at).where(_entries(arrays).isNotNull()).select("file")
+    return not found.limit(1).isEmpty()
 
 
 def read_listings(

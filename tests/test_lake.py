@@ -7,7 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from listinglake import schemas, session
-from listinglake.errors import ExportError, LandingNotFoundError, SnapshotLogError
+from listinglake.errors import (
+    ExportError,
+    LandingNotFoundError,
+    SnapshotLogError,
+    UnusableLandingError,
+)
 from listinglake.operators import serving
 from listinglake.plans.collect import collect_into
 from listinglake.plans.refresh import refresh, refresh_from
@@ -63,23 +68,45 @@ def test_every_shape_of_document(spark, tmp_path):
     assert landing.quarantined(spark, at).count() == 3
 
 
-def test_documents_too_large_for_a_variant(spark, tmp_path):
-    """Both routes give the same rows; which one a file takes depends on its size."""
-    wide = {"jobs": [listing(i, note="x" * 50, salary=i) for i in range(100)]}
-    folder = land(tmp_path / "raw", big=wide, small={"jobs": [listing(1000, salary=5)]},
-                  array=[listing(2000 + i) for i in range(100)], odd='{"x": "' + "y" * 5000 + '"}',
+def test_one_route_for_documents_of_every_size(spark, tmp_path):
+    """Beyond the size of a VARIANT, odd entries still cost only themselves."""
+    odd = [listing(1), 5, None, "x", [4], {}, {"x": 1}]
+    many = [listing(10 + i, note="x" * 2000) for i in range(10_000)]
+    folder = land(tmp_path / "raw", small={"jobs": odd}, big={"jobs": [*odd, *many]},
+                  array=odd, lone=listing(7), foreign='{"x": "' + "y" * 5000 + '"}',
                   broken='{"jobs": [{"id": "' + "z" * 5000)
-    results = []
-    for limit in (10**9, 2000, 0):
-        at = landing.Landing(folder, variant_bytes=limit)
-        rows = landing.listings(spark, at, arrays=True)
-        results.append(sorted(map(repr, rows.collect())))
-        aside = landing.quarantined(spark, at, arrays=True).collect()
-        assert {(r.file[-8:], r.reason) for r in aside} == {
-            ("odd.json", "no jobs array"), ("ken.json", "not valid JSON")}
-    assert len(results[0]) == 201 and results[0] == results[1] == results[2]
-    at = landing.Landing(folder, variant_bytes=2000)
-    assert landing.documents(spark, at).count() == 1
+    assert (tmp_path / "raw" / "big.json").stat().st_size > 16 * 1024 * 1024
+    at = landing.Landing(folder)
+    rows = landing.listings(spark, at, arrays=True).groupBy(
+        F.regexp_extract("file", r"(\w+)\.json", 1).alias("name")).count().collect()
+    assert dict(map(tuple, rows)) == {"small": 3, "array": 3, "big": 10_003}
+    aside = landing.quarantined(spark, at, arrays=True).collect()
+    assert {(r.file[-8:], r.reason) for r in aside} == {
+        ("ign.json", "no jobs array"), ("one.json", "no jobs array"),
+        ("ken.json", "not valid JSON")}
+
+
+def test_refresh_fails_before_it_replaces_good_tables(spark, tmp_path):
+    good = land(tmp_path / "good", a={"jobs": [listing(1), listing("abc")]}, b='{"jobs": [')
+    root = str(tmp_path / "lake")
+    counts = refresh(spark, good, root)
+    assert counts["silver/jobs"] == 1
+    assert (counts["quarantine/documents"], counts["quarantine/rejected_ids"]) == (1, 1)
+    reasons = spark.read.parquet(f"{root}/quarantine/documents").collect()
+    assert [r.reason for r in reasons] == ["not valid JSON"]
+    bad = land(tmp_path / "bad", a='{"jobs": [', b={"x": 1})
+    with pytest.raises(UnusableLandingError):
+        refresh(spark, bad, root)
+    assert spark.read.parquet(f"{root}/silver/jobs").count() == 1
+
+
+def test_the_same_capture_again_replaces_itself(spark, tmp_path):
+    values = {n: F.lit("v") for n, k in schemas.fields(schemas.BRONZE) if k == "string"}
+    rows = spark.range(3).withColumns(values)
+    for _ in range(2):
+        bronze.write_bronze(rows, str(tmp_path / "b"), datetime(2026, 1, 2, 3, 4, 5))
+    bronze.write_bronze(rows, str(tmp_path / "b"), datetime(2026, 1, 3))
+    assert landing.read_bronze(spark, str(tmp_path / "b")).count() == 6
 
 
 def test_an_empty_document_alone_is_no_error(spark, tmp_path):
@@ -221,7 +248,8 @@ def lake(spark, tmp_path):
 def test_refresh_and_every_source(spark, lake):
     root, raw, counts = lake
     assert counts == {"silver/jobs": 2, "gold/dim_company": 2, "gold/dim_location": 1,
-                      "gold/fct_vacancies": 2}
+                      "gold/fct_vacancies": 2, "quarantine/documents": 0,
+                      "quarantine/rejected_ids": 0}
     gold, exported, missing = f"{root}/lake/gold", f"{root}/gold.parquet", f"{root}/missing"
     sources = [
         ("gold-delta", (gold, exported, gold, raw, raw)),
