@@ -7,7 +7,8 @@
    are thus linked without a pair.
 3. Candidate edges form stars. Each class is compared with its pivot alone: the most
    central class among the hubs of its band buckets (the one whose buckets hold most members
-   in all, where an original beats its variants). Edges are confirmed on the full sets.
+   in all, where an original beats its variants), or that one's own pivot, and so on while
+   sizes fit. Edges are confirmed on the full sets.
 4. What stars miss is found exactly. Let x, y be classes of pivot p, which lose ``p - x`` and
    ``p - y`` of it and add ``x - p`` and ``y - p``. They share what neither loses, and what
    both add. So they can be linked beyond the star only if they add a common shingle, or
@@ -47,8 +48,12 @@ SHINGLE = 5
 #: Shared part of the union, in hundredths, from which two documents are linked.
 SIMILARITY = 80
 BANDS, ROWS = 32, 6
-GROWTH = 8
+GROWTH = 64
 SKETCH = 8
+#: Steps from pivot to pivot; each doubles the way.
+HOPS = 2
+#: Helper tables are broadcast up to so many measured bytes, and else joined by a shuffle.
+SMALL = 16 * 1024 * 1024
 BINS = BANDS * ROWS
 
 
@@ -169,10 +174,12 @@ def _bucket_members(classes: DataFrame) -> DataFrame:
     each = classes.select(
         F.explode("bands").alias("band"), "same", F.col("n_shingles").alias("n")
     )
-    shared = each.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = store(each.join(shared, "band"), "buckets")
-    central = members.groupBy("same").agg(F.sum("size").alias("central"))
-    return store(members.drop("size").join(central, "same"), "ranked-buckets")
+    shared = store(
+        each.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared"
+    )
+    members = store(lookup_join(each, shared, "band", "inner", SMALL), "buckets")
+    central = store(members.groupBy("same").agg(F.sum("size").alias("central")), "central")
+    return lookup_join(members.drop("size"), central, "same", "inner", SMALL)
 
 
 def _class_sets(
@@ -213,16 +220,36 @@ def _enough(both: str | F.Column, left: str, right: str, similarity: int) -> F.C
 
 def _pivots(members: DataFrame, similarity: int) -> DataFrame:
     """(same, n, pivot): each class and the most central fitting hub of its buckets."""
-    hubs = members.groupBy("band").agg(F.max(F.struct("central", "same", "n")).alias("hub"))
-    return (
-        members.join(hubs, "band")
-        .where(F.col("same") != F.col("hub.same"))
-        .where(
-            100 * F.least("n", "hub.n") >= similarity * F.greatest("n", "hub.n")
-        )
+    hubs = store(
+        members.groupBy("band").agg(F.max(F.struct("central", "same", "n")).alias("hub")), "hubs"
+    )
+
+    def fits(one: str, other: str) -> F.Column:
+        return 100 * F.least(one, other) >= similarity * F.greatest(one, other)
+
+    now = store(
+        lookup_join(members, hubs.select("band", "hub.*").toDF("band", "_central", "_hub", "_n"), "band", "inner", SMALL)
+        .where((F.col("same") != F.col("_hub")) & fits("n", "_n"))
         .groupBy("same", "n")
-        .agg(F.max("hub")["same"].alias("pivot"))
+        .agg(F.max(F.struct("_central", "_hub", "_n")).alias("hub"))
+        .select("same", "n", F.col("hub._hub").alias("pivot"), F.col("hub._n").alias("pivot_n")),
+        "pivots",
     )
+    for _ in range(HOPS):
+        onward = now.select(
+            F.col("same").alias("pivot"), F.col("pivot").alias("_next"), F.col("pivot_n").alias("_next_n")
+        )
+        further = F.col("_next").isNotNull() & fits("n", "_next_n")
+        now = store(
+            lookup_join(now, onward, "pivot", "left", SMALL).select(
+                "same",
+                "n",
+                F.when(further, F.col("_next")).otherwise(F.col("pivot")).alias("pivot"),
+                F.when(further, F.col("_next_n")).otherwise(F.col("pivot_n")).alias("pivot_n"),
+            ),
+            "pivots",
+        )
+    return now.drop("pivot_n")
 
 
 def _sketch(values: str, name: str) -> list[F.Column]:
@@ -349,8 +376,9 @@ def _linked(documents: DataFrame, classes: DataFrame, size: int, similarity: int
     if not others.isEmpty():
         links = links.union(_confirmed(others, sets, similarity))
     roots = _joined(spark.createDataFrame([], "node binary, root binary"), store(links, "links"))
+    pivot_of = stars.select("same", "pivot")
     members = store(
-        members.join(stars.select("same", "pivot"), "same", "left").withColumn(
+        lookup_join(members, pivot_of, "same", "left", SMALL).withColumn(
             "pivot", F.coalesce("pivot", "same")
         ),
         "pivoted-buckets",
@@ -359,11 +387,11 @@ def _linked(documents: DataFrame, classes: DataFrame, size: int, similarity: int
     by_rank = Window.partitionBy("band").orderBy(F.desc("central"), F.asc("same"))
     used = 0
     while True:
-        rooted = members.join(roots.withColumnRenamed("node", "same"), "same", "left").withColumn(
-            "root", F.coalesce("root", "same")
-        )
+        rooted = lookup_join(
+            members, roots.withColumnRenamed("node", "same"), "same", "left", SMALL
+        ).withColumn("root", F.coalesce("root", "same"))
         # Open: several components and pivots, and members left that have not been hubs.
-        open_bands = (
+        open_bands = store(
             rooted.groupBy("band")
             .agg(
                 (F.min("root") != F.max("root")).alias("apart"),
@@ -371,11 +399,14 @@ def _linked(documents: DataFrame, classes: DataFrame, size: int, similarity: int
                 F.count(F.lit(1)).alias("size"),
             )
             .where(F.col("apart") & F.col("pivots") & (F.col("size") > used + 1))
-            .select("band")
+            .select("band"),
+            "open",
         )
-        active = store(rooted.join(open_bands, "band"), "open-buckets")
-        if active.isEmpty():
+        if open_bands.isEmpty():
             return roots
+        active = store(
+            lookup_join(rooted, open_bands, "band", "inner", SMALL), "open-buckets"
+        )
         # The rank limit is applied before the shuffle, so no task sees a whole hot bucket.
         hubs = (
             active.withColumn("place", F.row_number().over(by_rank))
@@ -389,16 +420,15 @@ def _linked(documents: DataFrame, classes: DataFrame, size: int, similarity: int
                 F.col("pivot").alias("hub_pivot"),
             )
         )
-        pairs = store(
+        found = (
             active.join(hubs, "band")
             .where((F.col("root") != F.col("hub_root")) & (F.col("pivot") != F.col("hub_pivot")))
             .where((F.col("pivot") != F.col("hub")) & (F.col("hub_pivot") != F.col("same")))
             .where(100 * F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n"))
             .select(F.least("same", "hub").alias("a"), F.greatest("same", "hub").alias("b"))
             .distinct()
-            .join(compared, ["a", "b"], "left_anti"),
-            "pairs",
         )
+        pairs = store(found.join(compared, ["a", "b"], "left_anti") if used else found, "pairs")
         compared = compared.union(pairs)
         if not pairs.isEmpty():
             roots = _joined(roots, store(_confirmed(pairs, sets, similarity), "links"))
