@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import sys
-from functools import reduce
+from functools import cache, reduce
 from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,9 +58,9 @@ def default_to(column: Column, member: str) -> Column:
 
 
 def contains_any(column: Column, words: tuple[str, ...]) -> Column:
-    """True when the lower-cased text holds one of ``words`` literally."""
+    """True when the text holds one of ``words`` literally, in any case."""
     lowered = F.lower(column)
-    return reduce(or_, [lowered.contains(word) for word in words], F.lit(False))
+    return reduce(or_, [lowered.contains(F.lower(F.lit(word))) for word in words], F.lit(False))
 
 
 def _code_point_class(chars: list[str]) -> str:
@@ -73,32 +74,47 @@ def _code_point_class(chars: list[str]) -> str:
     return "[" + "".join(parts) + "]"
 
 
-# Case folding, derived from the interpreter's Unicode tables. Lower case is already
-# the fold of nearly all text; _SIMPLE mends two common letters of it, and only text
-# with one of the few hundred other exceptions takes the exact route. Capital sigma
-# counts as one, since its lower case depends on its place in the word.
-_ALL = list(map(chr, range(sys.maxunicode + 1)))
+# Lower case is already the fold of nearly all text; this mends two common letters of it.
 _SIMPLE = {"ß": "ss", "µ": "μ"}
-_RARE = [c for c in _ALL if c.casefold() != c.lower() and c not in "ßẞµ"] + ["Σ"]
-_ONE_TO_ONE = [c for c in _ALL if c.casefold() != c and len(c.casefold()) == 1]
-_GROWING = [c for c in _ALL if len(c.casefold()) > 1]
-# The first range turns most letters away before the long list is looked at.
-_HAS_RARE = f"[\\x{{{min(map(ord, _RARE)):x}}}-\\x{{10ffff}}&&{_code_point_class(_RARE)}]"
+
+
+class _Folding(NamedTuple):
+    one_to_one: str
+    folds: str
+    growing: list[tuple[str, str]]
+    has_rare: str
+
+
+@cache
+def _folding() -> _Folding:
+    """Case folding of the interpreter's Unicode tables, derived at first use.
+
+    Only text with one of the few hundred exceptions to lower case takes the exact route.
+    Capital sigma counts as one, since its lower case depends on its place in the word.
+    """
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if not c == c.lower() == c.casefold()]
+    changed = [c for c in letters if c.casefold() != c]
+    rare = [c for c in letters if c.casefold() != c.lower() and c not in "ßẞµ"] + ["Σ"]
+    alike = [c for c in changed if len(c.casefold()) == 1]
+    growing = [(c, c.casefold()) for c in changed if len(c.casefold()) > 1]
+    # The first range turns most letters away before the long list is looked at.
+    has_rare = f"[\\x{{{min(map(ord, rare)):x}}}-\\x{{10ffff}}&&{_code_point_class(rare)}]"
+    return _Folding("".join(alike), "".join(c.casefold() for c in alike), growing, has_rare)
 
 
 def fold(column: Column) -> Column:
     """Full Unicode case folding without a Python worker."""
+    folding = _folding()
     simple = F.lower(column)
     for char, folded in _SIMPLE.items():
         simple = F.replace(simple, F.lit(char), F.lit(folded))
-    folds = "".join(c.casefold() for c in _ONE_TO_ONE)
     exact = F.aggregate(
-        F.array(*[F.array(F.lit(c), F.lit(c.casefold())) for c in _GROWING]),
-        F.translate(column, "".join(_ONE_TO_ONE), folds),
+        F.array(*[F.array(F.lit(c), F.lit(folded)) for c, folded in folding.growing]),
+        F.translate(column, folding.one_to_one, folding.folds),
         lambda text, pair: F.replace(text, pair[0], pair[1]),
     )
     return (
         F.when(F.octet_length(column) == F.char_length(column), F.lower(column))
-        .when(column.rlike(_HAS_RARE), exact)
+        .when(column.rlike(folding.has_rare), exact)
         .otherwise(simple)
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +47,21 @@ class Resolved:
     skipped: dict[str, str] = field(default_factory=dict)
 
 
+# What Spark says of a file that is not what its reader expects.
+_UNREADABLE = (
+    "FAILED_READ_FILE",
+    "CANNOT_READ_FILE_FOOTER",
+    "is not a Parquet file",
+    "MALFORMED_RECORD",
+    "PATH_NOT_FOUND",
+)
+
+
 def first_with_rows(spark: SparkSession, candidates: Iterable[Candidate]) -> Resolved:
     """The first candidate that can be read and is not empty.
 
-    Unreadable sources are skipped with their reason; errors of other kinds rise.
+    Missing, unreadable and empty sources are skipped with their reason. Every other
+    failure rises, a lost executor among them: it must not pass for a missing source.
     """
     skipped: dict[str, str] = {}
     for label, read in candidates:
@@ -61,10 +72,12 @@ def first_with_rows(spark: SparkSession, candidates: Iterable[Candidate]) -> Res
             if found is not None and not found.probe.isEmpty():
                 return Resolved(found.frame, label, skipped)
             skipped[label] = "no rows"
-        except (PySparkException, ListingLakeError) as error:
+        except (AnalysisException, ListingLakeError) as error:
+            skipped[label] = str(error).splitlines()[0]
+        except (PySparkException, Py4JJavaError) as error:
+            if not any(sign in str(error) for sign in _UNREADABLE):
+                raise
             skipped[label] = str(error).splitlines()[0]
-        except Py4JJavaError as error:  # a job that failed, such as on an unreadable file
-            skipped[label] = str(error.java_exception.getMessage()).splitlines()[0]
         logger.info("skipped source %s: %s", label, skipped[label])
     return Resolved(spark.createDataFrame([], schemas.SERVING), SOURCE_EMPTY, skipped)
 

@@ -58,3 +58,9 @@ def test_fold_equals_casefold_for_every_letter(frame):
     found = data.select("c", text.fold(F.col("c")), "word", text.fold(F.col("word"))).collect()
     assert [(r[1], r[3]) for r in found] == [(r[0].casefold(), r[2].casefold()) for r in found]
     assert values(frame, ["ΣΑΣ Straße", None], text.fold) == ["ΣΑΣ Straße".casefold(), None]
+
+
+def test_keywords_match_in_any_case(frame):
+    data = frame([("A PYTHON dev",), ("cook",), (None,)], "title string")
+    found = data.where(text.contains_any(F.col("title"), ("Python",))).collect()
+    assert [r.title for r in found] == ["A PYTHON dev"]
