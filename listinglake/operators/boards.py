@@ -1,8 +1,8 @@
 """Landed board responses to canonical bronze listings.
 
-A response body is parsed once into a VARIANT. Members keep their JSON type, so an
-epoch number and quoted digits stay apart, and an entry that is no object simply has
-no members. All boards go through one projection over one scan: a field is a CASE on
+The listing array of a response body is read as raw JSON texts, whatever its size, and each
+entry becomes a VARIANT. Members keep their JSON type, so an epoch number and quoted digits
+stay apart, and an entry that is no object simply has no members. All boards go through one projection over one scan: a field is a CASE on
 the board, not a union of three passes.
 """
 
@@ -38,9 +38,11 @@ _DESCRIPTION = {"jobicy": ("jobDescription", "description")}
 def parse(responses: DataFrame, body: str = "body") -> DataFrame:
     """Add ``payload`` (VARIANT), ``reason`` and ``accepted`` to landed responses.
 
-    Accepted is valid JSON whose top level is an object.
+    Accepted is valid JSON whose top level is an object. A valid body beyond the size of a
+    VARIANT is accepted too and has no ``payload``.
     """
-    reason = F.when(F.col("payload").isNull(), "not valid JSON").when(
+    valid = F.col("payload").isNotNull() | F.get_json_object(F.col(body), "$").isNotNull()
+    reason = F.when(~valid, "not valid JSON").when(
         ~strip(F.col(body)).startswith("{"), "not a JSON object"
     )
     return (
@@ -59,18 +61,31 @@ def split(responses: DataFrame, body: str = "body") -> tuple[DataFrame, DataFram
     )
 
 
-def declared_count(payload: Column) -> Column:
-    """``job-count`` when present, else the length of ``jobs``, else ``unknown``."""
-    length = F.size(V.items(payload, "jobs"))
-    return F.coalesce(
-        V.field(payload, "job-count"),
-        F.when(length >= 0, length.cast("string")),
-        F.lit("unknown"),
-    )
+def entries(body: Column, name: str) -> Column:
+    """The array ``name`` of a body as raw JSON texts; null when there is none."""
+    return F.from_json(body, f"`{name}` array<string>")[name]
+
+
+def declared_count(payload: Column, body: Column | None = None) -> Column:
+    """``job-count`` when present, else the length of ``jobs``, else ``unknown``.
+
+    ``body`` answers for what has no ``payload``.
+    """
+
+    def counted(jobs: Column) -> Column:
+        return F.when(F.size(jobs) >= 0, F.size(jobs).cast("string"))
+
+    found = [V.field(payload, "job-count"), counted(V.items(payload, "jobs"))]
+    if body is not None:
+        found += [F.get_json_object(body, "$['job-count']"), counted(entries(body, "jobs"))]
+    return F.coalesce(*found, F.lit("unknown"))
 
 
-def actual_count(payload: Column) -> Column:
-    return F.greatest(F.size(V.items(payload, "jobs")), F.lit(0)).cast("bigint")
+def actual_count(payload: Column, body: Column | None = None) -> Column:
+    jobs = F.size(V.items(payload, "jobs"))
+    if body is not None:
+        jobs = F.when(payload.isNull(), F.size(entries(body, "jobs"))).otherwise(jobs)
+    return F.greatest(jobs, F.lit(0)).cast("bigint")
 
 
 def _per_board(boards: Sequence[str], special: dict, default, make) -> Column:
@@ -118,14 +133,14 @@ def listings(
     it one row without members, which :func:`normalise` drops, and keeps Spark from
     parsing each body a second time in a filter of its own.
     """
-    payload = F.try_parse_json("body")
-    entries = _per_board(boards, _ARRAYS, "jobs", lambda name: V.items(payload, name))
+    raw = _per_board(boards, _ARRAYS, "jobs", lambda name: entries(F.col("body"), name))
+    parsed = F.transform("entries", F.try_parse_json)
     opened = F.transform(
-        "entries",
+        parsed,
         lambda job: F.struct(job.alias("job"), V.opened(job, _TEXTS, _DATES).alias("members")),
     )
     return (
-        responses.select(*carry, "source", "query_category", entries.alias("entries"))
+        responses.select(*carry, "source", "query_category", raw.alias("entries"))
         .select(*carry, "source", "query_category", F.posexplode_outer(opened).alias("position", "e"))
         .select(*carry, "source", "query_category", "position", "e.job", "e.members")
     )

@@ -28,8 +28,8 @@ class Collected:
 
 def _judge(responses: DataFrame) -> DataFrame:
     """What is known of each response, without its body."""
-    payload = F.col("payload")
-    links = V.member(payload, "links")
+    links = F.try_parse_json(F.get_json_object("body", "$.links"))
+    data = boards.entries(F.col("body"), "data")
     return boards.parse(responses).select(
         "request_seq",
         "source",
@@ -38,7 +38,7 @@ def _judge(responses: DataFrame) -> DataFrame:
         "page",
         "params",
         F.coalesce("error", "reason").alias("error"),
-        F.coalesce(F.size(V.items(payload, "data")), F.lit(0)).alias("entries"),
+        F.greatest(F.size(data), F.lit(0)).alias("entries"),
         V.is_truthy(V.field(links, "next"), V.kind(links, "next")).alias("has_next"),
     )
 
