@@ -503,18 +503,27 @@ _EXPORTED = """
 """
 
 
-@query("export_single_file", _EXPORTED)
-def export_single_file(spark, tables):
+def _exported(spark, tables, single_file):
     """The serving export, read back."""
     built = order_star(spark, tables)
     rows = serving.denormalise(built.fct_vacancies, built.dim_company, built.dim_location)
     path = f"{scratch_path(spark, 'export')}/gold.parquet"
-    files = export(rows, path)
+    files = export(rows, path, single_file)
     return snapshot.read_files(spark, files).select(
         "vacancy_id", second("publication_timestamp"), "category", "company_name", "location_name"
     )
 
 
+@query("export_single_file", _EXPORTED)
+def export_single_file(spark, tables):
+    return _exported(spark, tables, True)
+
+
+@query("export_parts", _EXPORTED)
+def export_parts(spark, tables):
+    return _exported(spark, tables, False)
+
+
 @query(
     "landing_write",
     """

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from listinglake.errors import ExportError
 from listinglake.session import file_names, hadoop_path, has_delta
 
-# Up to this many rows an export is one file; beyond it, parts of this size.
-SINGLE_FILE_ROWS = 5_000_000
+# Rows of one part of an export, at most.
+PART_ROWS = 5_000_000
 
 
 def write_table(frame: DataFrame, path: str) -> int:
@@ -28,25 +28,25 @@ def write_table(frame: DataFrame, path: str) -> int:
 
 
 def export(
-    frame: DataFrame, destination: str, single_file_rows: int = SINGLE_FILE_ROWS
+    frame: DataFrame, destination: str, single_file: bool = False, part_rows: int = PART_ROWS
 ) -> list[str]:
     """Snappy Parquet at ``destination``; gives its files.
 
-    The plan runs once, in parallel, into staged parts. Up to ``single_file_rows`` rows,
-    as counted by that write, the parts are then merged into exactly one file. A larger
-    export stays a folder of parts, so nothing is cut and no task takes it all.
+    A folder of parts, written in parallel, or with ``single_file`` exactly one file. The
+    caller chooses, never the size of the data: one file is written by one task, in a stream,
+    from parts that were computed in parallel. The old export stays readable until the new
+    one is complete, and comes back if the swap fails.
     """
     spark = frame.sparkSession
     files, target = hadoop_path(spark, destination)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    parts, merged = (f"{destination.rstrip('/')}__{name}" for name in ("parts", "merged"))
-
-    counted = Observation()
-    writer = frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    writer = writer.option("compression", "snappy").option("maxRecordsPerFile", single_file_rows)
-    writer.parquet(parts)
-    finished, single = parts, counted.get.get("rows", 0) <= single_file_rows
-    if single:
+    parts, merged, old = (
+        f"{destination.rstrip('/')}__{name}" for name in ("parts", "merged", "old")
+    )
+    writer = frame.write.mode("overwrite").option("compression", "snappy")
+    writer.option("maxRecordsPerFile", part_rows).parquet(parts)
+    finished = parts
+    if single_file:
         staged = spark.read.schema(frame.schema).parquet(parts).coalesce(1)
         staged.write.mode("overwrite").option("compression", "snappy").parquet(merged)
         names = file_names(spark, merged, ".parquet")
@@ -55,11 +55,20 @@ def export(
         finished = f"{merged}/{names[0]}"
 
     files.mkdirs(target.getParent())
-    files.delete(target, True)
-    if not files.rename(path(finished), target):
+    files.delete(path(old), True)
+    replaces = files.exists(target)
+    if replaces and not files.rename(target, path(old)):
+        raise ExportError(f"could not set {destination} aside")
+    moved = False
+    try:
+        moved = files.rename(path(finished), target)
+    finally:
+        if replaces and not moved:
+            files.rename(path(old), target)
+    if not moved:
         raise ExportError(f"could not move {finished} to {destination}")
-    for leftover in (parts, merged):
+    for leftover in (parts, merged, old):
         files.delete(path(leftover), True)
-    if single:
+    if single_file:
         return [destination]
     return [f"{destination}/{name}" for name in file_names(spark, destination, ".parquet")]

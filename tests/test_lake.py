@@ -225,15 +225,24 @@ def test_export_is_one_file_or_whole_parts(spark, tmp_path):
     rows = spark.range(1000).repartition(4)
     single = str(tmp_path / "one.parquet")
     for _ in range(2):  # the second run replaces the first
-        assert export(rows, single) == [single]
+        assert export(rows, single, single_file=True) == [single]
     assert os.path.isfile(single) and not os.path.exists(f"{single}__staging")
     assert spark.read.parquet(single).count() == 1000
-    parts = export(rows, str(tmp_path / "parts"), single_file_rows=100)
+    parts = export(rows, str(tmp_path / "parts"), part_rows=100)
     assert len(parts) >= 10
     assert snapshot.read_files(spark, parts).count() == 1000
     assert issubclass(ExportError, Exception)
 
 
+def test_a_failed_swap_leaves_the_old_export(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "one.parquet")
+    export(spark.range(3), path, single_file=True)
+    monkeypatch.setattr("listinglake.sinks.tables.file_names", lambda *a: ["not-there.parquet"])
+    with pytest.raises(Exception):
+        export(spark.range(9), path, single_file=True)
+    assert spark.read.parquet(path).count() == 3
+
+
 # --- resolution --------------------------------------------------------------
 
 
@@ -329,7 +338,7 @@ def test_scratch_follows_the_session(spark):
 
 def test_an_empty_export_is_one_file(spark, tmp_path):
     path = str(tmp_path / "none.parquet")
-    assert export(spark.range(0), path) == [path]
+    assert export(spark.range(0), path, single_file=True) == [path]
     assert spark.read.parquet(path).count() == 0
 
 
