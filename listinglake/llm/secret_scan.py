@@ -2,7 +2,8 @@
 
 Base spans are the leftmost non-overlapping matches of three patterns, short ones dropped.
 
-The battery looks at every run of ``TOKEN`` characters. Its encoding is inferred from its
+The battery looks at every run of ``TOKEN`` characters; ``=`` ends a run, so the value of
+``NAME=value`` is a token by itself, and only padding at the very end belongs to it. Its encoding is inferred from its
 characters (hex, base32, base64; plain words and plain numbers have none). Three tests ask
 whether its symbols could be uniform draws from that alphabet: chi-squared over the
 alphabet, runs above and below the alphabet's middle, and serial correlation of
@@ -42,7 +43,8 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN_LEAST = 8
 
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+#: An equals sign parts a name from its value, or pads the end of a token.
+TOKEN = r"[A-Za-z0-9+/_-]{20,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?"
 #: Alphabet of each encoding, in the order of its values.
 ALPHABETS = {
     "hex": "0123456789abcdef",
