@@ -6,8 +6,9 @@ number) and names (capitalised words inside a sentence, neighbours joined). Wind
 ``WINDOW`` template tokens with at least half literal words are hash-joined with those of the
 benchmark. Matches of one document and item on one diagonal (equal distance of positions)
 must fill each slot value of the item with one value of the document, else the diagonal is
-dropped. A document is contaminated when consistent diagonals cover at least ``COVERAGE`` of
-an item's windows, whether its slots are filled as in the item or anew.
+dropped. A document is contaminated when consistent diagonals together cover at least
+``COVERAGE`` of an item's windows, each counted once however often the document repeats it,
+whether its slots are filled as in the item or anew.
 
 Scale: texts are read once; a Bloom filter of the benchmark windows, of fixed size at any
 input (``FILTER_BITS``), lets only likely windows leave the map. The exact join broadcasts
@@ -296,18 +297,21 @@ def matches(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         )
     )
     changed = F.size(F.filter("slots", lambda s: s["item"] != s["doc"]))
+    # Sorted, the places of a phrase that the document repeats are one member of the set.
+    places = F.array_distinct(F.flatten(F.collect_set("covered")))
     return (
         diagonals.select(
             "doc_id",
             "text_key",
             "item_id",
-            (F.size("covered") / F.col("n_windows")).alias("part"),
+            "n_windows",
+            F.sort_array("covered").alias("covered"),
             F.size("slots").alias("slots"),
             changed.alias("changed"),
         )
         .groupBy("doc_id", "text_key", "item_id")
         .agg(
-            F.least(F.sum("part"), F.lit(1.0)).alias("coverage"),
+            (F.size(places) / F.first("n_windows")).alias("coverage"),
             F.sum("slots").alias("n_slots"),
             F.sum("changed").alias("n_changed"),
         )

@@ -2,7 +2,7 @@
 
 import random
 
-from listinglake.llm import secret_scan
+from listinglake.llm import decontam, secret_scan
 
 SHORT = "doc_id bigint, text string"
 
@@ -37,3 +37,21 @@ def test_values_behind_an_equals_sign_are_tokens(spark):
         hits = sum(wanted[n] in found[n].spans.split(",") for n in mine)
         assert hits >= 0.9 * len(mine), (before, hits)
         assert all(found[n].spans in ("", wanted[n]) for n in mine)
+
+
+# --- decontamination ------------------------------------------------------------------------
+
+
+def judged(documents, spark, texts, items):
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return by_id(decontam.judge(documents(list(enumerate(texts))), benchmark))
+
+
+def test_a_repeated_phrase_counts_once(spark, documents):
+    item = "which of the following words is closest to stone river cloud window garden bottle candle"
+    phrase = " ".join(item.split()[:8])
+    quiz = ". ".join(f"{phrase} answer{k} other{k} more{k}" for k in range(6))
+    parts = f"{item[:item.index(' cloud')]} and then the words {item[item.index('is closest'):]}"
+    found = judged(documents, spark, [quiz, f"{quiz} {item}", parts], [item])
+    assert [found[k].contaminated for k in range(3)] == [False, True, True]
+    assert found[1].coverage == 1.0
