@@ -10,6 +10,11 @@ dropped. A document is contaminated when consistent diagonals together cover at
 ``COVERAGE`` of an item's windows, each counted once however often the document repeats it,
 whether its slots are filled as in the item or anew.
 
+Beside the templates, the same windows over all words in lower case, numbers, units and
+names as their text and without a least share of words, find verbatim copies: of items that
+are mostly numbers or names, and in any case of letters. Either form's coverage suffices, but
+a place where the templates show inconsistent slots is no verbatim copy.
+
 Scale: texts are read once; a Bloom filter of the benchmark windows, of fixed size at any
 input (``FILTER_BITS``), lets only likely windows leave the map. The exact join broadcasts
 the benchmark windows while they measure under the library's limit and else shuffles with
@@ -18,8 +23,8 @@ than the item.
 
 Items of ``SHORTEST`` to ``WINDOW - 1`` tokens form one window of their own length; shorter
 ones, null and empty ones match nothing. Null and empty texts match nothing. Rows of null
-id are judged like others; text in capitals shows no names, so what an item says around its
-names must carry the coverage there; repeated rows get the same verdict each; rows of one id with
+id are judged like others; text in capitals or in lower case shows no names, so when it is
+filled anew, what an item says around its names must carry the coverage; repeated rows get the same verdict each; rows of one id with
 different texts are judged apart. Items with equal texts all match. With an empty benchmark
 every document is clean. Extra columns are ignored.
 """
@@ -68,6 +73,10 @@ _CLASSES = words.byte_classes(words.SPACES + _SYMBOLS, _DIGITS, rest=2)
 _ENDS = np.zeros(256, dtype=np.int64)
 _ENDS[list(b".!?\n")] = 1
 _NUMBER, _UNIT, _NAME = (np.uint64(x) for x in (0xA11, 0xA22, 0xA33))
+#: Keeps windows of the literal form apart from those of the template form.
+_LITERAL = np.uint64(0x9D39247E33776D41)
+#: Numbers of the two forms.
+TEMPLATE, LITERAL = 0, 1
 
 
 def _unit_hashes() -> np.ndarray:
@@ -104,13 +113,15 @@ def _capitalised(data: np.ndarray, found: words.Words) -> np.ndarray:
     return ((lead >= 65) & (lead <= 90) | accent) & lower & (next_at < found.stop)
 
 
-def templates(chunk: words.Chunk, lower: words.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, token, slot): template tokens; ``slot`` names a placeholder's value, else 0."""
+def templates(chunk: words.Chunk, found: words.Words) -> tuple[np.ndarray, ...]:
+    """(row, token, slot, word): template tokens and the number of their first word.
+
+    ``slot`` names a placeholder's value, else 0.
+    """
     data = chunk.data
-    found = words.words(lower, _CLASSES)
     if not len(found.row):
         none = np.empty(0, np.uint64)
-        return found.row, none, none
+        return found.row, none, none, found.row
     digit = _CLASSES[data[found.start]] == 1
     before = np.concatenate([[0], found.stop[:-1]])
     follows = np.concatenate([[False], found.row[1:] == found.row[:-1]])
@@ -130,7 +141,7 @@ def templates(chunk: words.Chunk, lower: words.Chunk) -> tuple[np.ndarray, np.nd
     value = np.add.reduceat(words.mix(found.hash + place.astype(np.uint64)), head)
     token = found.hash[head].copy()
     token[digit], token[unit], token[name] = _NUMBER, _UNIT, _NAME
-    return row, token, np.where(digit | unit | name, value | np.uint64(1), np.uint64(0))
+    return row, token, np.where(digit | unit | name, value | np.uint64(1), np.uint64(0)), head
 
 
 def windows(
@@ -147,6 +158,21 @@ def windows(
     return start, words.joined(token, size)[start]
 
 
+def forms(chunk: words.Chunk, lower: words.Chunk) -> list[tuple[np.ndarray, ...]]:
+    """The template form and the literal form of a chunk, each as (row, token, slot, word).
+
+    The literal form keeps every word, number, unit and name as its text in lower case.
+    """
+    found = words.words(lower, _CLASSES)
+    none = np.zeros(len(found.row), np.uint64)
+    literal = (found.row, found.hash ^ _LITERAL, none, np.arange(len(found.row)))
+    own = np.cumsum(np.bincount(found.row, minlength=chunk.rows))
+    return [
+        (row, token, slot, word - np.concatenate([[0], own])[row])
+        for row, token, slot, word in (templates(chunk, found), literal)
+    ]
+
+
 def _bits(value: np.ndarray) -> list[np.ndarray]:
     """Two filter positions of each window hash."""
     shift = np.uint64(64 - FILTER_BITS.bit_length() + 1)
@@ -162,33 +188,38 @@ def _slots_of(start: np.ndarray, slot: np.ndarray, size: int) -> pa.Array:
 
 
 def _item_windows(batches):
-    """(item_id, text) to (item_id, at, size, n_windows, window, slots, bits)."""
+    """(item_id, text) to (item_id, form, at, word_at, size, n_windows, window, item_slots)."""
     for batch in batches:
         ids = batch.column("item_id")
         for chunk, lower in folded(batch.column("text")):
-            row, token, slot = templates(chunk, lower)
-            count = np.bincount(row, minlength=chunk.rows)
-            first = np.cumsum(count) - count
-            for size in range(SHORTEST, WINDOW + 1):
-                wanted = count >= size if size == WINDOW else count == size
-                start, value = windows(row, token, slot, size)
-                mine = wanted[row[start]] if len(start) else np.empty(0, bool)
-                start, value = start[mine], value[mine]
-                if not len(start):
-                    continue
-                owner = row[start]
-                number = np.bincount(owner, minlength=chunk.rows)[owner]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.take(pa.array(owner + chunk.first)),
-                        pa.array((start - first[owner]).astype(np.int64)),
-                        pa.array(np.full(len(start), size, np.int32)),
-                        pa.array(number.astype(np.int64)),
-                        pa.array(value.view(np.int64)),
-                        _slots_of(start, slot, size),
-                    ],
-                    names=["item_id", "at", "size", "n_windows", "window", "item_slots"],
-                )
+            for form, (row, token, slot, word) in enumerate(forms(chunk, lower)):
+                count = np.bincount(row, minlength=chunk.rows)
+                first = np.cumsum(count) - count
+                for size in range(SHORTEST, WINDOW + 1):
+                    wanted = count >= size if size == WINDOW else count == size
+                    start, value = windows(row, token, slot, size)
+                    mine = wanted[row[start]] if len(start) else np.empty(0, bool)
+                    start, value = start[mine], value[mine]
+                    if not len(start):
+                        continue
+                    owner = row[start]
+                    number = np.bincount(owner, minlength=chunk.rows)[owner]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            ids.take(pa.array(owner + chunk.first)),
+                            pa.array(np.full(len(start), form, np.int32)),
+                            pa.array((start - first[owner]).astype(np.int64)),
+                            pa.array(word[start].astype(np.int64)),
+                            pa.array(np.full(len(start), size, np.int32)),
+                            pa.array(number.astype(np.int64)),
+                            pa.array(value.view(np.int64)),
+                            _slots_of(start, slot, size),
+                        ],
+                        names=[
+                            *("item_id", "form", "at", "word_at", "size", "n_windows", "window"),
+                            "item_slots",
+                        ],
+                    )
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
@@ -197,7 +228,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return store(
         benchmark.select("item_id", "text").mapInArrow(
             _item_windows,
-            f"item_id {kind}, at bigint, size int, n_windows bigint, window bigint,"
+            f"item_id {kind}, form int, at bigint, word_at bigint, size int, n_windows bigint, window bigint,"
             " item_slots array<bigint>",
         ),
         "item-windows",
@@ -234,8 +265,10 @@ def window_filter(items: DataFrame) -> np.ndarray:
 
 
 def document_windows(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, text_key, pos, window, doc_slots) of windows that the benchmark may hold."""
-    sizes = sorted(row[0] for row in items.select("size").distinct().collect())
+    """(doc_id, text_key, pos, word_pos, window, doc_slots) of windows that the benchmark may hold."""
+    sizes = [[], []]
+    for form, size in sorted(items.select("form", "size").distinct().collect()):
+        sizes[form].append(size)
     shared = documents.sparkSession.sparkContext.broadcast(window_filter(items))
 
     def run(batches):
@@ -243,32 +276,33 @@ def document_windows(documents: DataFrame, items: DataFrame) -> DataFrame:
         for batch in batches:
             ids, keys = batch.column("doc_id"), batch.column("text_key")
             for chunk, lower in folded(batch.column("text")):
-                row, token, slot = templates(chunk, lower)
-                count = np.bincount(row, minlength=chunk.rows)
-                first = np.cumsum(count) - count
-                for size in sizes:
-                    start, value = windows(row, token, slot, size)
-                    for spot in (0, 1):
-                        bit = _bits(value)[spot]
-                        hit = known[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)
-                        start, value = start[hit > 0], value[hit > 0]
-                    owner = row[start]
-                    at = pa.array(owner + chunk.first)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            ids.take(at),
-                            keys.take(at),
-                            pa.array((start - first[owner]).astype(np.int64)),
-                            pa.array(value.view(np.int64)),
-                            _slots_of(start, slot, size),
-                        ],
-                        names=["doc_id", "text_key", "pos", "window", "doc_slots"],
-                    )
+                for form, (row, token, slot, word) in enumerate(forms(chunk, lower)):
+                    count = np.bincount(row, minlength=chunk.rows)
+                    first = np.cumsum(count) - count
+                    for size in sizes[form]:
+                        start, value = windows(row, token, slot, size)
+                        for spot in (0, 1):
+                            bit = _bits(value)[spot]
+                            hit = known[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)
+                            start, value = start[hit > 0], value[hit > 0]
+                        owner = row[start]
+                        at = pa.array(owner + chunk.first)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                ids.take(at),
+                                keys.take(at),
+                                pa.array((start - first[owner]).astype(np.int64)),
+                                pa.array(word[start].astype(np.int64)),
+                                pa.array(value.view(np.int64)),
+                                _slots_of(start, slot, size),
+                            ],
+                            names=["doc_id", "text_key", "pos", "word_pos", "window", "doc_slots"],
+                        )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
         run,
-        f"doc_id {kind}, text_key bigint, pos bigint, window bigint, doc_slots array<bigint>",
+        f"doc_id {kind}, text_key bigint, pos bigint, word_pos bigint, window bigint, doc_slots array<bigint>",
     )
 
 
@@ -285,39 +319,69 @@ def matches(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("doc_slots").alias("doc"))
     diagonals = (
         met.where(F.size("item_slots") == F.size("doc_slots"))
-        .groupBy("doc_id", "text_key", "item_id", (F.col("pos") - F.col("at")).alias("shift"))
+        .groupBy(
+            "doc_id", "text_key", "item_id", "form", (F.col("pos") - F.col("at")).alias("shift")
+        )
         .agg(
             F.first("n_windows").alias("n_windows"),
             F.collect_set("at").alias("covered"),
             F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"),
+            F.collect_set(F.col("word_pos") - F.col("word_at")).alias("word_shifts"),
         )
         # Consistent: no value of the item stands for two values of the document.
-        .where(
-            F.size(F.array_distinct(F.transform("slots", lambda s: s["item"]))) == F.size("slots")
+        .withColumn(
+            "fits",
+            F.size(F.array_distinct(F.transform("slots", lambda s: s["item"]))) == F.size("slots"),
         )
     )
     changed = F.size(F.filter("slots", lambda s: s["item"] != s["doc"]))
-    # Sorted, the places of a phrase that the document repeats are one member of the set.
-    places = F.array_distinct(F.flatten(F.collect_set("covered")))
-    return (
+    template, literal = F.col("form") == TEMPLATE, F.col("form") == LITERAL
+    grouped = (
         diagonals.select(
             "doc_id",
             "text_key",
             "item_id",
+            "form",
+            "shift",
             "n_windows",
+            "fits",
+            "word_shifts",
+            # Sorted, the places of a phrase that the document repeats are one member of the set.
             F.sort_array("covered").alias("covered"),
             F.size("slots").alias("slots"),
             changed.alias("changed"),
         )
         .groupBy("doc_id", "text_key", "item_id")
         .agg(
-            (F.size(places) / F.first("n_windows")).alias("coverage"),
-            F.sum("slots").alias("n_slots"),
-            F.sum("changed").alias("n_changed"),
+            F.collect_set(F.when(template & F.col("fits"), F.col("covered"))).alias("filled"),
+            F.collect_set(F.when(template & ~F.col("fits"), F.col("word_shifts"))).alias("broken"),
+            F.collect_set(F.when(literal, F.struct("shift", "covered"))).alias("verbatim"),
+            F.max(F.when(template, F.col("n_windows"))).alias("n_templates"),
+            F.max(F.when(literal, F.col("n_windows"))).alias("n_literals"),
+            F.sum(F.when(F.col("fits"), F.col("slots"))).alias("n_slots"),
+            F.sum(F.when(F.col("fits"), F.col("changed"))).alias("n_changed"),
         )
-        .where(F.col("coverage") >= coverage)
+        .withColumn("broken", F.array_distinct(F.flatten("broken")))
     )
 
+    def part(places: F.Column, whole: str) -> F.Column:
+        found = F.size(F.array_distinct(F.flatten(places)))
+        return F.coalesce(found / F.col(whole), F.lit(0.0))
+
+    # Where the templates show slots filled inconsistently, the words between them are no copy.
+    verbatim = F.filter("verbatim", lambda x: ~F.array_contains("broken", x["shift"]))
+    verbatim = F.transform(verbatim, lambda x: x["covered"])
+    return grouped.select(
+        "doc_id",
+        "text_key",
+        "item_id",
+        F.greatest(part(F.col("filled"), "n_templates"), part(verbatim, "n_literals")).alias(
+            "coverage"
+        ),
+        F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
+        F.coalesce("n_changed", F.lit(0)).alias("n_changed"),
+    ).where(F.col("coverage") >= coverage)
+
 
 def _by_document(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each contaminated (doc_id, text_key), stored."""

@@ -55,3 +55,22 @@ def test_a_repeated_phrase_counts_once(spark, documents):
     found = judged(documents, spark, [quiz, f"{quiz} {item}", parts], [item])
     assert [found[k].contaminated for k in range(3)] == [False, True, True]
     assert found[1].coverage == 1.0
+
+
+def test_verbatim_copies_of_numbers_and_in_any_case(spark, documents):
+    story = (
+        "Natalia sold clips to 48 of her friends in April, and then she sold half as many"
+        " clips in May."
+    )
+    figures = "1998 12.5 7 300 1999 13.5 8 310 2000 14.5 9 320"
+    items = [story, "Compute 3 + 4 + 5 + 6", figures, "Ann Bob Carl Dora Emil Fritz Gerd"]
+    clean = "nothing of the kind is said in these words about rivers"
+    texts = [*(f"{clean}. {text} {clean}" for text in items)]
+    texts += [f"{clean} {text.lower()} {clean}" for text in items]
+    texts += [f"{clean} {text.upper()} {clean}" for text in items]
+    texts += [clean, "Compute 3 + 4 + 7 + 9", "2001 12.5 6 301 1999 13.4 8 315 2000 14.6 9 325"]
+    found = judged(documents, spark, texts, items)
+    for number in range(12):
+        assert found[number]["items"] == str(number % 4), number
+        assert found[number].coverage == 1.0 and not found[number].reparameterised
+    assert not any(found[number].contaminated for number in (12, 13, 14))
