@@ -129,11 +129,12 @@ def _signer(size: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(chunk.first, chunk.rows),
+                        batch.column("text_key").slice(chunk.first, chunk.rows),
                         pa.array(count.astype(np.int64)),
                         pa.array(_digests(value, bounds), pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "same", "bands"],
+                    names=["doc_id", "text_key", "n_shingles", "same", "bands"],
                 )
 
     return run
@@ -158,12 +159,12 @@ def _set_reader(size: int):
 
 
 def signatures(documents: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, same, bands) of each row, stored: 0.3 KB a document."""
+    """(doc_id, text_key, n_shingles, same, bands) of each row, stored: 0.3 KB a document."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     return store(
-        documents.select("doc_id", "text").mapInArrow(
+        documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
             _signer(size),
-            f"doc_id {kind}, n_shingles bigint, same binary, bands array<bigint>",
+            f"doc_id {kind}, text_key bigint, n_shingles bigint, same binary, bands array<bigint>",
         ),
         "signatures",
     )
@@ -435,10 +436,12 @@ def _linked(documents: DataFrame, classes: DataFrame, size: int, similarity: int
         used = GROWTH * used + 1
 
 
-def near_duplicates(
-    documents: DataFrame, size: int = SHINGLE, similarity: int = SIMILARITY
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``documents``."""
+def _verdicts(documents: DataFrame, size: int, similarity: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component, component_id, kept) of every row.
+
+    ``component`` is the digest of one set of the row's group, which tells groups of one
+    smallest id apart; null where the row links with nothing.
+    """
     signed = signatures(documents, size)
     classes = store(
         signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
@@ -455,18 +458,25 @@ def near_duplicates(
     )
     found = store(
         rooted.join(smallest, "root", "left").select(
-            "same", F.coalesce("least", "rep").alias("component_id")
+            "same",
+            F.coalesce("root", "same").alias("component"),
+            F.coalesce("least", "rep").alias("component_id"),
         ),
         "found",
     )
     linkable = F.when(F.col("n_shingles") > 0, F.col("same"))
     return (
         lookup_join(
-            signed.select("doc_id", "n_shingles", linkable.alias("same")), found, "same", "left"
+            signed.select("doc_id", "text_key", "n_shingles", linkable.alias("same")),
+            found,
+            "same",
+            "left",
         )
         .select(
             "doc_id",
+            "text_key",
             "n_shingles",
+            "component",
             F.when(
                 F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")
             ).alias("component_id"),
@@ -475,32 +485,49 @@ def near_duplicates(
     )
 
 
+def near_duplicates(
+    documents: DataFrame, size: int = SHINGLE, similarity: int = SIMILARITY
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``documents``."""
+    verdict = _verdicts(documents, size, similarity)
+    return verdict.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def keep_first(documents: DataFrame) -> DataFrame:
     """One row of each near-duplicate group, as it is; rows of null id all stay.
 
-    The group's smallest id stays. Of several rows with that id, one row of the smallest
-    text stays.
+    The group's smallest id stays. Of several rows of the group with that id, one row of the
+    smallest text stays. Rows of one id whose texts are of different groups do not replace
+    each other; of rows without words, only equal ones do.
     """
-    verdict = near_duplicates(documents)
-    dropped = verdict.where(~F.col("kept")).select("doc_id").distinct()
-    left = documents.join(dropped, "doc_id", "left_anti")
+    verdict = _verdicts(documents, SHINGLE, SIMILARITY).where(F.col("doc_id").isNotNull())
+    group = F.coalesce("component", F.col("text_key").cast("string").cast("binary"))
+    verdict = store(
+        verdict.select("doc_id", F.col("text_key").alias("_text"), group.alias("_group"), "kept"),
+        "verdicts",
+    )
+    dropped = verdict.where(~F.col("kept")).select("doc_id", "_text").distinct()
+    several = (
+        verdict.where("kept")
+        .groupBy("doc_id", "_group")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where("_rows > 1")
+        .select("doc_id", "_group")
+    )
     repeated = store(
-        verdict.where(F.col("kept") & F.col("doc_id").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where("rows > 1")
-        .select("doc_id"),
+        verdict.where("kept").join(several, ["doc_id", "_group"], "left_semi").drop("kept").distinct(),
         "repeated",
     )
-    if repeated.isEmpty():
-        return left
     # The row travels as one column, so no name of it can clash.
-    again = left.join(repeated, "doc_id", "left_semi").select(
-        F.struct("*").alias("row"), "doc_id", "text"
-    )
-    order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64("row"))
-    one = again.withColumn("place", F.row_number().over(order)).where("place = 1").select("row.*")
-    return left.join(repeated, "doc_id", "left_anti").union(one)
+    left = documents.select(
+        F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("_text")
+    ).join(dropped, ["doc_id", "_text"], "left_anti")
+    if repeated.isEmpty():
+        return left.select("row.*")
+    again = left.join(repeated, ["doc_id", "_text"])
+    order = Window.partitionBy("doc_id", "_group").orderBy("row.text", F.xxhash64("row"))
+    one = again.withColumn("_place", F.row_number().over(order)).where("_place = 1").select("row.*")
+    return left.join(repeated, ["doc_id", "_text"], "left_anti").select("row.*").union(one)
 
 
 @query("op7_neardup")

@@ -2,7 +2,7 @@
 
 import random
 
-from listinglake.llm import decontam, secret_scan
+from listinglake.llm import decontam, neardup, secret_scan
 
 SHORT = "doc_id bigint, text string"
 
@@ -74,3 +74,18 @@ def test_verbatim_copies_of_numbers_and_in_any_case(spark, documents):
         assert found[number]["items"] == str(number % 4), number
         assert found[number].coverage == 1.0 and not found[number].reparameterised
     assert not any(found[number].contaminated for number in (12, 13, 14))
+
+
+# --- near duplicates ------------------------------------------------------------------------
+
+
+def test_rows_of_one_id_replace_each_other_only_within_a_group(documents):
+    first, second, third = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(5, first), (9, first), (9, second), (9, third), (9, third.upper()), (9, third)]
+    rows += [(9, f"{third} more"), (3, second + " x"), (4, ""), (4, ""), (4, None)]
+    rows += [(None, first), (None, first)]
+    found = neardup.keep_first(documents(rows, extra=True))
+    assert found.columns == documents([], extra=True).columns
+    kept = sorted((row.doc_id or 0, row.text or "") for row in found.collect())
+    wanted = [(5, first), (3, second + " x"), (9, third.upper()), (4, ""), (4, "")]
+    assert kept == sorted([*wanted, (0, first), (0, first)])
