@@ -1,13 +1,17 @@
 """License scans: a trained paragraph classifier, confirmed by template comparison.
 
-Lines, cut further at sentence ends, are the paragraphs. Each becomes hashed single words and
+Lines, cut further at sentence ends, are the paragraphs; a run of neighbouring ones without
+a blank line between them, joined over line ends and comment marks, is judged like a
+paragraph too, so that notices broken over lines are seen. Each becomes hashed single words and
 word pairs, averaged, and a softmax regression names its licence family or "none". The
 classifier is trained on the notices in ``TEMPLATES`` with words lost, repeated and added,
 against about ``BACKGROUND`` paragraphs of the corpus itself, from documents chosen by the
 hash of their id. "None" is calibrated on training examples held out: a temperature that
 makes probabilities honest, and the lowest probability above which at most ``FALSE_RATE`` of
 held-out background passes. A paragraph that passes is reported only if a notice of the same
-family shares at least ``CONFIRM`` of its word pairs with it.
+family shares at least ``CONFIRM`` of its word pairs with it. Paragraphs that pass stand; of
+overlapping runs for one notice, the one that holds most of it is reported, the shortest of
+equal ones. A run has at most as many paragraphs as the longest notice has words.
 
 Texts are read whole by one map, without shuffle; the model is ``BUCKETS`` times the number
 of families, broadcast. Training runs in one task over the bounded sample. Null and empty
@@ -122,6 +126,10 @@ def word_pairs(text: str) -> set[tuple[str, str]]:
 _PAIRS = {family: [word_pairs(t) for t in texts] for family, texts in TEMPLATES.items()}
 
 
+#: No notice can be broken over more paragraphs than it has words.
+LONGEST_RUN = max(len(_WORD.findall(t)) for texts in TEMPLATES.values() for t in texts)
+
+
 def confirmation(text: str, family: str) -> float:
     """Largest share of a notice's word pairs that the paragraph has."""
     pairs = word_pairs(text)
@@ -177,6 +185,142 @@ def _softmax(values: np.ndarray) -> np.ndarray:
     return raised / raised.sum(axis=1, keepdims=True)
 
 
+def neighbourhoods(chunk: words.Chunk, row: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A number for each paragraph, the same for those of a row without a blank line between."""
+    data = chunk.data
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[1:] = data == 0x0A
+    edge[chunk.offsets] = True
+    edge[0] = edge[-1] = True
+    lines = np.flatnonzero(edge)
+    letters = np.concatenate([[0], np.cumsum(_CLASSES[data])])
+    blank = np.cumsum(letters[lines[1:]] == letters[lines[:-1]])
+    return row + blank[np.searchsorted(lines, start, side="right") - 1]
+
+
+def _family_bits() -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the notices' word pairs, and the families of each as bits."""
+    known: dict[int, int] = {}
+    for number, family in enumerate(FAMILIES):
+        for text in TEMPLATES[family]:
+            body = np.frombuffer(text.encode(), np.uint8)
+            found = words.words(words.Chunk(0, body, np.array([0, len(body)])), _CLASSES)
+            for pair in words.joined(found.hash, 2).tolist():
+                known[pair] = known.get(pair, 0) | 1 << number
+    pairs = np.array(sorted(known), np.uint64)
+    return pairs, np.array([known[p] for p in pairs.tolist()], np.int64)
+
+
+_PAIR_HASHES, _PAIR_FAMILIES = _family_bits()
+
+
+def sure_runs(
+    chunk: words.Chunk, row: np.ndarray, start: np.ndarray, weights: np.ndarray, heat: float, bound: float
+) -> list[tuple[int, int, int]]:
+    """(first paragraph, last paragraph, family) of the runs that the classifier is sure of.
+
+    Weights are summed from the front, so a run costs one subtraction. Runs whose first or
+    last paragraph holds no word pair of the family's notices are left to shorter ones.
+    """
+    found = words.words(chunk, _CLASSES)
+    owner = np.searchsorted(start, found.start, side="right") - 1
+    size, classes = len(start), weights.shape[1]
+    if size < 2:
+        return []
+    pairs = words.joined(found.hash, 2)
+    at = np.minimum(np.searchsorted(_PAIR_HASHES, pairs), len(_PAIR_HASHES) - 1)
+    bits = np.where(_PAIR_HASHES[at] == pairs, _PAIR_FAMILIES[at], 0)
+    inside = owner[1:] == owner[:-1]
+    # The pair over the border behind each paragraph but the last.
+    over = np.flatnonzero(~inside)
+    held = np.zeros(size, np.int64)
+    np.bitwise_or.at(held, owner[1:][inside], bits[inside])
+    opens, closes = held.copy(), held.copy()
+    opens[:-1] |= bits[over]
+    closes[1:] |= bits[over]
+    near = neighbourhoods(chunk, row, start)
+    joint = near[1:] == near[:-1]
+    if not np.any(joint & (opens[:-1] != 0)):
+        return []
+    slot, pair_slot = ((x >> _SHIFT).astype(np.int64) for x in (words.mix(found.hash), pairs))
+    wide = weights.astype(np.float64)
+    sums = np.zeros((size + 1, classes))
+    heads = np.searchsorted(owner, np.arange(size))
+    each = wide[slot]
+    each[1:][inside] += wide[pair_slot[inside]]
+    np.cumsum(np.add.reduceat(each, heads, axis=0), axis=0, out=sums[1:])
+    borders = np.zeros((size, classes))
+    np.cumsum(wide[pair_slot[over]], axis=0, out=borders[1:])
+    grams_in = np.zeros(size + 1, np.int64)
+    lengths = np.bincount(owner, minlength=size)
+    np.cumsum(2 * lengths - 1, out=grams_in[1:])
+    runs = []
+    for more in range(1, min(LONGEST_RUN, size)):
+        shared = opens[:-more] & closes[more:]
+        first = np.flatnonzero((near[more:] == near[:-more]) & (shared != 0))
+        if not len(first):
+            continue
+        last = first + more
+        total = sums[last + 1] - sums[first] + borders[last] - borders[first]
+        count = grams_in[last + 1] - grams_in[first] + more
+        values = SCALE * total / count[:, None] + wide[BUCKETS]
+        best = values.argmax(axis=1)
+        mine = np.flatnonzero((best != NONE) & ((shared[first] >> np.minimum(best, NONE - 1)) & 1 > 0))
+        chance = _softmax(values[mine] / heat)[np.arange(len(mine)), best[mine]]
+        mine = mine[chance >= bound]
+        runs += zip(first[mine].tolist(), last[mine].tolist(), best[mine].tolist(), strict=True)
+    return runs
+
+
+def _shares(text: str, family: str) -> list[float]:
+    """Share of each notice's word pairs that the text has."""
+    pairs = word_pairs(text)
+    return [len(pairs & known) / len(known) for known in _PAIRS[family]]
+
+
+def confirmed(
+    chunk: words.Chunk, row, start, stop, weights: np.ndarray, heat: float, bound: float
+) -> list[tuple[int, int, int, str]]:
+    """(row, start, stop, family) in bytes of the chunk, in text order."""
+
+    def text(first: int, last: int) -> str:
+        return chunk.data[start[first] : stop[last]].tobytes().decode()
+
+    chance = _softmax(logits(chunk, start, weights) / heat)
+    best = chance.argmax(axis=1)
+    sure = (best != NONE) & (chance[np.arange(len(best)), best] >= bound)
+    taken: dict[tuple[int, int], set[int]] = {}
+    spans = []
+    for k in np.flatnonzero(sure).tolist():
+        shares = _shares(text(k, k), FAMILIES[best[k]])
+        if max(shares) >= CONFIRM:
+            spans.append((k, k, int(best[k])))
+            for notice, share in enumerate(shares):
+                if share >= CONFIRM:
+                    taken.setdefault((int(best[k]), notice), set()).add(k)
+    longer = []
+    for first, last, family in sure_runs(chunk, row, start, weights, heat, bound):
+        for notice, share in enumerate(_shares(text(first, last), FAMILIES[family])):
+            if share >= CONFIRM:
+                longer.append((-share, last - first, first, last, family, notice))
+    for _, _, first, last, family, notice in sorted(longer):
+        places, own = taken.setdefault((family, notice), set()), range(first, last + 1)
+        if places.isdisjoint(own):
+            places.update(own)
+            spans.append((first, last, family))
+    # Spans of one family that overlap are one.
+    whole: list[list[int]] = []
+    for first, last, family in sorted(spans, key=lambda s: (s[2], s[0], s[1])):
+        if whole and whole[-1][2] == family and first <= whole[-1][1]:
+            whole[-1][1] = max(whole[-1][1], last)
+        else:
+            whole.append([first, last, family])
+    return [
+        (int(row[first]), int(start[first]), int(stop[last]), FAMILIES[family])
+        for first, last, family in sorted(whole)
+    ]
+
+
 def _as_chunk(texts: list[str]) -> words.Chunk:
     body = [re.sub(r"\s+", " ", text).replace(". ", " ").encode() for text in texts]
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in body])])
@@ -309,17 +453,14 @@ def scan(documents: DataFrame, weights: np.ndarray) -> DataFrame:
                 spans: list[list[str]] = [[] for _ in range(chunk.rows)]
                 families: list[set[str]] = [set() for _ in range(chunk.rows)]
                 if len(start):
-                    chance = _softmax(logits(chunk, start, model) / heat)
-                    best = chance.argmax(axis=1)
-                    sure = (best != NONE) & (chance[np.arange(len(best)), best] >= bound)
-                    for k in np.flatnonzero(sure):
-                        owner, family = int(row[k]), FAMILIES[best[k]]
+                    for owner, begin, end, family in confirmed(
+                        chunk, row, start, stop, model, heat, bound
+                    ):
                         first = int(chunk.offsets[owner])
-                        piece = chunk.data[start[k] : stop[k]].tobytes().decode()
-                        if confirmation(piece, family) >= CONFIRM:
-                            at = len(chunk.data[first : start[k]].tobytes().decode())
-                            spans[owner].append(f"{family}:{at}:{at + len(piece.rstrip())}")
-                            families[owner].add(family)
+                        piece = chunk.data[begin:end].tobytes().decode()
+                        at = len(chunk.data[first:begin].tobytes().decode())
+                        spans[owner].append(f"{family}:{at}:{at + len(piece.rstrip())}")
+                        families[owner].add(family)
                 count = np.bincount(row, minlength=chunk.rows)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -2,7 +2,7 @@
 
 import random
 
-from listinglake.llm import decontam, neardup, secret_scan
+from listinglake.llm import decontam, licences, neardup, secret_scan
 
 SHORT = "doc_id bigint, text string"
 
@@ -89,3 +89,33 @@ def test_rows_of_one_id_replace_each_other_only_within_a_group(documents):
     kept = sorted((row.doc_id or 0, row.text or "") for row in found.collect())
     wanted = [(5, first), (3, second + " x"), (9, third.upper()), (4, ""), (4, "")]
     assert kept == sorted([*wanted, (0, first), (0, first)])
+
+
+# --- licences -------------------------------------------------------------------------------
+
+
+def test_notices_broken_over_lines_are_named(documents):
+    random.seed(6)
+    word = ["the", "of", "license", "work", "under", "rain", "tree"]
+    prose = [" ".join(random.choice(word) for _ in range(30)) for _ in range(60)]
+    header = (
+        "This program is free software: you can redistribute it and/or modify",
+        "it under the terms of the GNU General Public License as published by",
+    )
+    notices = {
+        100: ("gpl", "\n    ".join(header)),
+        101: ("gpl", "\n# ".join(header)),
+        102: ("mit", "Permission is hereby granted, free of charge,\n * to any person obtaining a\n * copy of this software"),
+        103: ("apache", "you may not use this file\n// except in compliance with\n// the License"),
+        104: ("bsd", "Redistribution and use in source\nand binary forms, with or\nwithout modification,\nare permitted"),
+    }
+    rows = list(enumerate(prose))
+    rows += [(k, f"{prose[0]}\n\n{text}\n\n{prose[1]}") for k, (_, text) in notices.items()]
+    rows.append((200, "\n\n".join(header)))
+    frame = documents(rows)
+    for row in licences.scan(frame, licences.train(frame)).collect():
+        family, text = notices.get(row.doc_id, ("", ""))
+        assert row.families == family, row
+        if family:
+            start = len(prose[0]) + 2
+            assert row.spans == f"{family}:{start}:{start + len(text)}", row
