@@ -9,6 +9,7 @@ from listinglake.llm import (  # noqa: F401
     neighbours,
     pii,
     quality,
+    repeats,
     resampling,
     secret_scan,
     token_counts,

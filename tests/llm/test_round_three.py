@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from listinglake.llm import infill, resampling
+from listinglake.llm import infill, repeats, resampling
 from listinglake.llm.words import chunks
 
 
@@ -144,3 +144,127 @@ def test_marks_that_overlap_are_refused(documents):
 
 def test_infill_of_an_empty_table(documents):
     assert infill.fill_in_middle(documents([])).count() == 0
+
+
+# --- repeated passages ------------------------------------------------------------------------
+
+
+def plain_repeats(rows):
+    split = [re.findall(r"[^\x20\x09-\x0D]+", text or "") for _, text in rows]
+    first = {}
+    for (doc_id, _), words_ in zip(rows, split, strict=True):
+        for k in range(len(words_) - 49):
+            key = tuple(words_[k : k + 50])
+            if doc_id is not None and doc_id < first.get(key, doc_id + 1):
+                first[key] = doc_id
+    found = []
+    for (doc_id, _), words_ in zip(rows, split, strict=True):
+        gone = set()
+        for k in range(len(words_) - 49):
+            if doc_id is not None and first[tuple(words_[k : k + 50])] < doc_id:
+                gone.update(range(k, k + 50))
+        kept = [word for k, word in enumerate(words_) if k not in gone]
+        found.append((doc_id, len(words_), len(gone), " ".join(kept)))
+    return sorted(found, key=repr)
+
+
+def found_repeats(frame):
+    return rows_of(repeats.remove_repeats(frame).drop("spans"))
+
+
+def test_repeats_equal_a_plain_model(documents, odd):
+    random.seed(9)
+    vocabulary = [f"w{k}" for k in range(40)] + ["É", "W3", "w3."]
+    passages = [random.choices(vocabulary, k=random.randrange(45, 160)) for _ in range(6)]
+    passages.append(["tick", "tock"] * 60)
+
+    def text():
+        words_ = []
+        for _ in range(random.randrange(1, 9)):
+            passage = random.choice(passages)
+            low = random.randrange(len(passage) // 2)
+            words_ += passage[low : low + random.randrange(20, 120)]
+            if random.random() < 0.6:
+                words_ += random.choices(vocabulary, k=random.randrange(6))
+        return random.choice([" ", "\n ", "\t"]).join(words_)
+
+    rows = [(random.randrange(60), text()) for _ in range(80)]
+    rows += [(None, rows[0][1]), (70, rows[1][1]), (70, rows[1][1]), (71, rows[1][1].upper())]
+    rows += [*odd, (80, "word " * 700), (0, "word " * 51), (81, "tick tock " * 900)]
+    random.shuffle(rows)
+    wanted = plain_repeats(rows)
+    assert sum(row[2] > 0 for row in wanted) > 50
+    assert found_repeats(documents(rows, extra=True)) == wanted
+
+
+def test_repeats_that_the_first_holder_lacks(documents):
+    """Documents share the seed of a window with a first one, but the window with each other only."""
+    random.seed(10)
+    seed = [f"s{k}" for k in range(40)]
+
+    def fresh(n):
+        return [f"x{random.randrange(10**9)}" for _ in range(n)]
+
+    left, right = fresh(30), fresh(30)
+    rows = [
+        (1, fresh(30) + seed + fresh(30)),
+        (2, left + seed + fresh(30)),
+        (3, fresh(9) + left + seed + fresh(5)),
+        (4, fresh(700) + seed + right + fresh(3)),
+        (5, seed + right),
+        (6, fresh(10) + left + seed + right),
+    ]
+    rows = [(k, " ".join(words_)) for k, words_ in rows]
+    found = found_repeats(documents(rows))
+    assert found == plain_repeats(rows)
+    assert [row[2] for row in found] == [0, 0, 70, 0, 70, 100]
+
+
+def test_a_long_text_in_blocks(documents):
+    random.seed(11)
+    whole = [f"v{random.randrange(3000)}" for _ in range(5000)]
+    cut = whole[:]
+    for at in (511, 512, 513, 1023, 2000, 2049, 2098, 4999):
+        cut[at] = "changed"
+    rows = [(1, " ".join(whole)), (2, " ".join(cut)), (3, " ".join(whole[1000:] + whole[:1000]))]
+    assert found_repeats(documents(rows)) == plain_repeats(rows)
+
+
+def test_repeats_with_lookups_beyond_the_broadcast_limit(documents, monkeypatch):
+    """Every join shuffles and salts hot keys."""
+    from listinglake.operators import skew
+
+    monkeypatch.setattr(repeats, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(repeats, "_HOT", 20)
+    monkeypatch.setattr(repeats, "lookup_join", lambda *a, **k: skew.lookup_join(*a, **{**k, "limit": 0}))
+    random.seed(12)
+    passage = [f"p{k}" for k in range(70)]
+    rows = [
+        (k, " ".join([f"a{k}{i}" for i in range(20)] + passage + [f"b{k}{i}" for i in range(k % 7)]))
+        for k in range(90)
+    ]
+    rows += [(3, rows[5][1])] * 40
+    assert found_repeats(documents(rows)) == plain_repeats(rows)
+
+
+def test_factors_are_greedy_longest_matches():
+    random.seed(13)
+    for _ in range(100):
+        block = [random.choice([b"a", b"b", b"c"]) for _ in range(60)]
+        text = [random.choice([b"a", b"b", b"c", b"d"]) for _ in range(80)]
+        held = {tuple(block[i:j]) for i in range(60) for j in range(i + 1, 61)}
+        ends, at = [], 0
+        while at < len(text):
+            size = 1
+            while at + size < len(text) and tuple(text[at : at + size + 1]) in held:
+                size += 1
+            if tuple(text[at : at + 1]) not in held:
+                size = 1
+            at += size
+            ends.append(at)
+        assert repeats.Block(block).factors(text) == ends
+
+
+def test_repeats_of_an_empty_table(documents):
+    assert found_repeats(documents([])) == []
+    assert found_repeats(documents([(1, None), (2, "")])) == [(1, 0, 0, ""), (2, 0, 0, "")]
