@@ -23,3 +23,11 @@ class SnapshotLogError(ListingLakeError):
 
 class ExportError(ListingLakeError):
     """An export did not give the promised files."""
+
+
+class PublicationConflictError(ListingLakeError):
+    """Another writer has published since the state this one was built from."""
+
+
+class IntegrityError(ListingLakeError):
+    """Staged tables do not fit together; they were not published."""

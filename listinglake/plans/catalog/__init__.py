@@ -1,4 +1,4 @@
 """All registered queries and their SQL."""
 
-from listinglake.plans.catalog import dedupe, gold, lake, texts  # noqa: F401
+from listinglake.plans.catalog import dedupe, gold, increments, lake, texts  # noqa: F401
 from listinglake.plans.catalog.registry import ORACLES, QUERIES  # noqa: F401

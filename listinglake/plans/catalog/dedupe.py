@@ -54,7 +54,7 @@ def dedupe_two_keys(spark, tables):
 
 
 # The rows that stay, walked one by one in arrival order: a fold over the whole list.
-_GREEDY = """
+GREEDY = """
     rows_in_order AS (
         SELECT list({'ids': [id], 'pairs': [pair], 'kept': [arrival]} ORDER BY arrival) AS rows
         FROM edges),
@@ -69,7 +69,7 @@ _GREEDY = """
     stays AS (SELECT unnest(state.kept) AS arrival FROM walked)
 """
 
-_EVENT_EDGES = """
+EVENT_EDGES = """
     edges AS (
         SELECT user_id AS id, lower(event_type) || '|' || props AS pair, event_id AS arrival
         FROM events)
@@ -86,7 +86,7 @@ def _kept_events(spark, tables):
 @query(
     "greedy_dedupe",
     f"""
-    WITH {_EVENT_EDGES}, {_GREEDY}
+    WITH {EVENT_EDGES}, {GREEDY}
     SELECT event_id, user_id, event_type, props
     FROM events WHERE event_id IN (SELECT arrival FROM stays)
     """,
@@ -137,7 +137,7 @@ def greedy_chain(spark, tables):
 @query(
     "attempt_yield",
     f"""
-    WITH {_EVENT_EDGES}, {_GREEDY},
+    WITH {EVENT_EDGES}, {GREEDY},
     kept AS (SELECT * FROM events WHERE event_id IN (SELECT arrival FROM stays)),
     manifest AS (
         SELECT DISTINCT user_id, event_type,
@@ -177,7 +177,7 @@ def _attempts(spark, tables):
 @query(
     "attempt_tally",
     f"""
-    WITH {_EVENT_EDGES}, {_GREEDY},
+    WITH {EVENT_EDGES}, {GREEDY},
     kept AS (SELECT * FROM events WHERE event_id IN (SELECT arrival FROM stays))
     SELECT (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)) AS calls,
            (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)

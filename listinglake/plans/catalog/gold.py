@@ -11,7 +11,7 @@ from listinglake.session import store
 
 # --- silver ------------------------------------------------------------------
 
-_LANDED_LINES = r"""
+LANDED_LINES = r"""
     landed AS (
         SELECT CASE WHEN l.l_linenumber = 7 THEN 'x' || CAST(l.l_orderkey AS VARCHAR)
                     ELSE CAST(l.l_orderkey AS VARCHAR) END AS id_text,
@@ -19,23 +19,23 @@ _LANDED_LINES = r"""
                nullif(p.p_brand, 'Brand#7') AS company_name,
                p.p_type AS category,
                CASE WHEN l.l_linenumber = 5 THEN NULL ELSE l.l_shipdate END AS moment,
-               l.l_returnflag AS location,
+               l.l_returnflag AS location, l.l_linenumber AS line,
                CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS salary,
                p.p_name || ' & ' || p.p_brand || ' <' || CAST(l.l_linenumber AS VARCHAR)
                    || '>' AS description
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
     cleaned AS (
         SELECT TRY_CAST(id_text AS BIGINT) AS id, title, company_name, category, moment,
-               location, salary, description
+               location, salary, description, line
         FROM landed
         WHERE (contains(lower(title), 'ring') OR contains(lower(title), 'bolt'))
           AND TRY_CAST(id_text AS BIGINT) IS NOT NULL)
 """
 
 
-def _landed_lines(spark, tables):
+def landed_lines(spark, tables, only="true"):
     """Order lines as landed listings: markup, odd blanks, broken ids, mixed dates."""
-    lines = table(spark, tables, "lineitem").select(
+    lines = table(spark, tables, "lineitem").where(only).select(
         "l_orderkey",
         F.col("l_partkey").alias("p_partkey"),
         "l_linenumber",
@@ -71,7 +71,7 @@ def _landed_lines(spark, tables):
 @query(
     "silver_build",
     f"""
-    WITH {_LANDED_LINES},
+    WITH {LANDED_LINES},
     newest AS (
         SELECT *, row_number() OVER (PARTITION BY id ORDER BY moment DESC NULLS LAST,
             title NULLS LAST, company_name NULLS LAST, category NULLS LAST,
@@ -88,28 +88,28 @@ def _landed_lines(spark, tables):
     """,
 )
 def silver_build(spark, tables):
-    rows = silver.build(_landed_lines(spark, tables), ("ring", "bolt"))
+    rows = silver.build(landed_lines(spark, tables), ("ring", "bolt"))
     return rows.withColumn("publication_date", second("publication_date"))
 
 
 @query(
     "silver_rejected",
     f"""
-    WITH {_LANDED_LINES}
+    WITH {LANDED_LINES}
     SELECT id_text AS id, count(*) AS rows FROM landed
     WHERE TRY_CAST(id_text AS BIGINT) IS NULL GROUP BY id_text
     """,
 )
 def silver_rejected(spark, tables):
     """Listings whose id is no number, counted per id."""
-    rejected = silver.rejected_ids(_landed_lines(spark, tables))
+    rejected = silver.rejected_ids(landed_lines(spark, tables))
     return rejected.groupBy(F.trim("id").alias("id")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query(
     "display_build",
     f"""
-    WITH {_LANDED_LINES},
+    WITH {LANDED_LINES},
     filled AS (
         SELECT id, moment, title, coalesce(company_name, 'Unknown') AS company_name,
                category, location, salary, description
@@ -130,7 +130,7 @@ def silver_rejected(spark, tables):
 )
 def display_build(spark, tables):
     """Landed listings straight to serving rows; defaults are filled before the dedupe."""
-    rows = silver.build_display(_landed_lines(spark, tables), ("ring", "bolt"))
+    rows = silver.build_display(landed_lines(spark, tables), ("ring", "bolt"))
     return rows.withColumns(
         {n: f(n) for n, f in (("publication_date", day), ("publication_timestamp", second))}
     )

@@ -24,6 +24,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor reaches: ``spark.checkpoint.dir``.
 
@@ -33,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _one_machine(spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="listinglake-")
         spark.sparkContext.setCheckpointDir(folder)
@@ -106,6 +110,16 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def get_text(spark: SparkSession, path: str) -> str:
+    """Content of one small text file."""
+    files, target = hadoop_path(spark, path)
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 @functools.lru_cache(maxsize=8)
 def has_delta(spark: SparkSession) -> bool:
     """True when the Delta connector is on the class path of this session."""

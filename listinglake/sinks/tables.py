@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from listinglake import publication
 from listinglake.errors import ExportError
 from listinglake.session import file_names, hadoop_path, has_delta
 
@@ -15,16 +16,20 @@ PART_ROWS = 5_000_000
 def write_table(frame: DataFrame, path: str) -> int:
     """Replace the table at ``path``, schema included; gives the rows written.
 
-    Delta when the connector is there, Parquet otherwise. The count comes with the
-    write, not from a second run of the plan.
+    Delta when the connector is there. Otherwise Parquet in a generation of its own, made
+    live by a pointer: until then, and if the write fails, readers find the old rows. The
+    generation before the live one stays for those who read it.
     """
-    counted = Observation()
-    writer = frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if has_delta(frame.sparkSession):
+    spark = frame.sparkSession
+    if has_delta(spark):
+        counted = Observation()
+        writer = frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         writer.format("delta").option("overwriteSchema", "true").save(path)
-    else:
-        writer.parquet(path)
-    return counted.get.get("rows", 0)
+        return counted.get.get("rows", 0)
+    staged = publication.stage(frame, path)
+    publication.publish(spark, path, [staged])
+    publication.sweep(spark, path)
+    return staged.rows
 
 
 def export(

@@ -74,48 +74,69 @@ def _entries(arrays: bool) -> Column:
     return F.coalesce("jobs", "whole") if arrays else F.col("jobs")
 
 
-def flatten(
-    docs: DataFrame, names: Sequence[str] = schemas.LISTING_FIELDS, arrays: bool = False
-) -> DataFrame:
-    """One row per listing object, every field as text, absent fields null.
+def opened(docs: DataFrame, arrays: bool = False) -> DataFrame:
+    """(file, whole, entry, text): one row per entry of a listing array, as raw JSON text.
 
-    Takes the ``jobs`` array; with ``arrays`` a top-level array counts too. Empty or
-    absent arrays give no rows and entries that are no objects are dropped, without
-    harm to their neighbours.
+    ``whole`` says that the document has such an array; only documents without one keep
+    their ``text``. Takes the ``jobs`` array; with ``arrays`` a top-level array counts too.
     """
+    whole = _entries(arrays).isNotNull()
     # Outer, so that Spark does not infer a filter that unpacks each document twice.
-    entries = docs.select("file", F.explode_outer(_entries(arrays)).alias("entry"))
+    return docs.select(
+        "file",
+        whole.alias("whole"),
+        F.explode_outer(_entries(arrays)).alias("entry"),
+        F.when(~whole, F.col("text")).alias("text"),
+    )
+
+
+def listings_of(entries: DataFrame, names: Sequence[str] = schemas.LISTING_FIELDS) -> DataFrame:
+    """One row per listing object of :func:`opened` documents, every field as text.
+
+    Absent fields are null. Empty or absent arrays give no rows and entries that are no
+    objects are dropped, without harm to their neighbours.
+    """
     job = F.try_parse_json("entry")
     return entries.select(job.alias("job"), "file").where(V.is_object(F.col("job"))).select(
         *[V.field(F.col("job"), name).alias(name) for name in names], "file"
     )
 
 
-def flatten_structs(frame: DataFrame, column: str) -> DataFrame:
-    """One row per non-null struct of the array ``column``, its fields as columns."""
-    kept = [F.col(c) for c in frame.columns if c != column]
-    return frame.select(*kept, F.inline(F.filter(column, lambda entry: entry.isNotNull())))
-
-
-def quarantine(docs: DataFrame, arrays: bool = False) -> DataFrame:
+def quarantine_of(entries: DataFrame) -> DataFrame:
     """``file``, ``reason`` and text of what gives no listing because of its shape.
 
     Documents without a listing array, and single objects too large for a VARIANT.
     """
     valid = F.get_json_object("text", "$").isNotNull()
-    documents_ = docs.where(_entries(arrays).isNull()).select(
+    foreign = entries.where("NOT whole").select(
         "file",
         F.when(valid, "no jobs array").otherwise("not valid JSON").alias("reason"),
         "text",
     )
-    entries = docs.select("file", F.explode(_entries(arrays)).alias("text")).where(
-        F.ltrim("text").startswith("{") & F.try_parse_json("text").isNull()
-    )
-    return documents_.unionByName(
-        entries.select("file", F.lit("entry too large").alias("reason"), "text")
+    large = entries.where(F.ltrim("entry").startswith("{") & F.try_parse_json("entry").isNull())
+    return foreign.unionByName(
+        large.select("file", F.lit("entry too large").alias("reason"), F.col("entry").alias("text"))
     )
 
 
+def flatten(
+    docs: DataFrame, names: Sequence[str] = schemas.LISTING_FIELDS, arrays: bool = False
+) -> DataFrame:
+    """:func:`listings_of` for documents that are read once."""
+    return listings_of(opened(docs, arrays), names)
+
+
+def flatten_structs(frame: DataFrame, column: str) -> DataFrame:
+    """One row per non-null struct of the array ``column``, its fields as columns."""
+    kept = [F.col(c) for c in frame.columns if c != column]
+    return frame.select(*kept, F.inline(F.filter(column, lambda entry: entry.isNotNull())))
+
+
+def quarantine(docs: DataFrame, arrays: bool = False) -> DataFrame:
+    """:func:`quarantine_of` for documents that are read once."""
+    return quarantine_of(opened(docs, arrays))
+
+
 def listings(
     spark: SparkSession,
     at: Landing,

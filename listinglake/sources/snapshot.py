@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listinglake import publication
 from listinglake.errors import SnapshotLogError
 from listinglake.operators import serving
 from listinglake.session import exists, file_names, hadoop_path, has_delta
@@ -102,9 +103,13 @@ def read_files(spark: SparkSession, paths: list[str], schema: str | None = None)
 def read_table(spark: SparkSession, table: str) -> DataFrame | None:
     """The current snapshot of ``table``, or None when it has no file.
 
-    Always goes through the log: a plain Parquet read of a logged table would count
-    removed files again.
+    A published table is what the pointer names. A logged one always goes through the log:
+    a plain Parquet read would count removed files again.
     """
+    published = publication.locate(spark, table)
+    if published:
+        pointer, name = published
+        return pointer.read(spark, name)
     if not exists(spark, table):
         return None
     if not _commits(spark, table):
@@ -117,7 +122,17 @@ def read_table(spark: SparkSession, table: str) -> DataFrame | None:
 
 
 def read_gold(spark: SparkSession, folder: str) -> DataFrame | None:
-    """Serving rows of a gold folder, or None unless all three tables have files."""
+    """Serving rows of a gold folder, or None unless all three tables have files.
+
+    Tables published together are read from one pointer, so a fact never meets the
+    dimensions of another build.
+    """
+    together = publication.locate(spark, f"{folder}/{GOLD_TABLES[0]}")
+    if together and together[1]:
+        pointer, fact = together
+        names = [fact[: -len(GOLD_TABLES[0])] + name for name in GOLD_TABLES]
+        if all(name in pointer.tables for name in names):
+            return serving.prepare(serving.denormalise(*(pointer.read(spark, n) for n in names)))
     found = {}
     for name in GOLD_TABLES:
         frame = read_table(spark, f"{folder}/{name}")

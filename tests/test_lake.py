@@ -92,12 +92,12 @@ def test_refresh_fails_before_it_replaces_good_tables(spark, tmp_path):
     counts = refresh(spark, good, root)
     assert counts["silver/jobs"] == 1
     assert (counts["quarantine/documents"], counts["quarantine/rejected_ids"]) == (1, 1)
-    reasons = spark.read.parquet(f"{root}/quarantine/documents").collect()
+    reasons = snapshot.read_table(spark, f"{root}/quarantine/documents").collect()
     assert [r.reason for r in reasons] == ["not valid JSON"]
     bad = land(tmp_path / "bad", a='{"jobs": [', b={"x": 1})
     with pytest.raises(UnusableLandingError):
         refresh(spark, bad, root)
-    assert spark.read.parquet(f"{root}/silver/jobs").count() == 1
+    assert snapshot.read_table(spark, f"{root}/silver/jobs").count() == 1
 
 
 def test_the_same_capture_again_replaces_itself(spark, tmp_path):
@@ -353,7 +353,7 @@ def test_responses_to_star(spark, tmp_path):
     (tmp_path / "responses" / "a.json").write_text("\n".join(map(json.dumps, landed)))
     places = [str(tmp_path / name) for name in ("responses", "bronze", "attempts")]
     stamp = collect_into(spark, *places, captured_at=datetime(2026, 1, 2))
-    attempts = spark.read.parquet(f"{places[2]}/{stamp}").orderBy("source").collect()
+    attempts = snapshot.read_table(spark, f"{places[2]}/{stamp}").orderBy("source").collect()
     assert [(r.added, r.error) for r in attempts] == [(None, "not valid JSON"), (2, None)]
     listings = landing.read_bronze(spark, places[1])
     assert refresh_from(spark, listings, str(tmp_path / "lake"))["gold/fct_vacancies"] == 1
