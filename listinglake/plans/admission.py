@@ -6,7 +6,7 @@ ids and pairs, not the listings. They are stored below a root, with a Bloom filt
 
 * ``kept/rows``: the rows kept, a part per capture;
 * ``kept/ids`` and ``kept/pairs``: their keys, in parts by hash and capture;
-* ``kept/filter``: (side, block, bits), ``BITS`` bits a key, in blocks of 4 KB.
+* ``kept/filter``: (side, block, bits), see :mod:`listinglake.operators.bloom`.
 
 The rows of a new capture ask one block each of the filter. Those it cannot rule out, its false
 alarms among them, are held against the stored keys of the parts they fall into; these answers
@@ -27,16 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listinglake import publication
+from listinglake.operators import bloom
 from listinglake.operators.arrival import first_arrivals
 from listinglake.operators.skew import HOT_ROWS, lookup_join
 from listinglake.session import configure, store
 
 ROWS, IDS, KEY_PAIRS, FILTER = "kept/rows", "kept/ids", "kept/pairs", "kept/filter"
 _SIDES = {"id": IDS, "pair": KEY_PAIRS}
-#: Bits of the filter per key and bits that each key sets: about 2 false alarms in 100.
-BITS, PROBES = 10, 4
-#: Bits of one block: what ``bitmap_construct_agg`` builds.
-BLOCK_BITS = 32768
 BUCKETS = 64
 LAYERS = 8
 
@@ -53,44 +50,6 @@ class Admitted:
     key_rows_read: int
 
 
-def _places(hashed: Column) -> list[Column]:
-    """The bits of a key inside its block."""
-    return [
-        F.pmod(F.xxhash64(F.lit(probe), hashed), F.lit(BLOCK_BITS)).cast("bigint") for probe in range(PROBES)
-    ]
-
-
-def _filter_of(keys: DataFrame, blocks: int) -> DataFrame:
-    """(side, block, bits) of (side, hash) rows."""
-    block = F.pmod(F.col("hash"), F.lit(blocks))
-    place = F.explode(F.array(*_places(F.col("hash"))))
-    return (
-        keys.select("side", block.alias("block"), place.alias("place"))
-        .distinct()
-        .groupBy("side", "block")
-        .agg(F.bitmap_construct_agg("place").alias("bits"))
-    )
-
-
-def _held(bits: Column, hashed: Column) -> Column:
-    """Whether the bits of a block hold all bits of a key."""
-    tests = []
-    for place in _places(hashed):
-        byte = F.conv(F.hex(F.substr(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10)
-        tests.append(F.getbit(byte.cast("bigint"), (place % 8).cast("int")) == 1)
-    every = tests[0]
-    for test in tests[1:]:
-        every = every & test
-    return F.coalesce(every, F.lit(False))
-
-
-def _blocks_for(keys: int) -> int:
-    blocks = 1
-    while blocks * BLOCK_BITS < keys * BITS:
-        blocks *= 2
-    return blocks
-
-
 def _bucket(buckets: int) -> Column:
     return F.pmod(F.col("hash"), F.lit(buckets)).cast("int")
 
@@ -169,9 +128,9 @@ def _suspects(spark: SparkSession, live: publication.Live, own: DataFrame, side:
     """Rows whose key the filter cannot rule out; stored."""
     blocks = live.tables[FILTER].notes["blocks"]
     bits = live.read(spark, FILTER).where(F.col("side") == side).select("block", "bits")
-    asking = own.withColumn("block", F.pmod(F.col("hash"), F.lit(blocks)))
+    asking = own.withColumn("block", bloom.block_of(F.col("hash"), blocks))
     met = lookup_join(asking, bits, "block", "inner")
-    return store(met.where(_held(F.col("bits"), F.col("hash"))).select("arrival", "key", "hash"), "admission-asked")
+    return store(met.where(bloom.held(F.col("bits"), F.col("hash"))).select("arrival", "key", "hash"), "admission-asked")
 
 
 def _known(suspects: DataFrame, known: DataFrame, hot_rows: int) -> DataFrame:
@@ -215,15 +174,15 @@ def _filter(
         each = [frame.select(F.lit(side).alias("side"), "hash") for side, frame in frames.items()]
         return each[0].union(each[1])
 
-    blocks = _blocks_for(max(tables[name].rows for name in _SIDES.values()))
+    blocks = bloom.blocks_for(max(tables[name].rows for name in _SIDES.values()))
     old = tables.get(FILTER)
     if old and old.notes["blocks"] >= blocks:
         blocks = old.notes["blocks"]
-        both = old.read(spark, root).unionByName(_filter_of(hashes(keys), blocks))
-        bits = both.groupBy("side", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+        fresh = bloom.filter_of(hashes(keys), blocks, ("side",))
+        bits = bloom.either(old.read(spark, root), fresh, ("side",))
     else:
         stored = {side: tables[name].read(spark, root) for side, name in _SIDES.items()}
-        bits = _filter_of(hashes(stored), blocks)
+        bits = bloom.filter_of(hashes(stored), blocks, ("side",))
     return publication.stage(bits, root, FILTER, {"blocks": blocks})
 
 

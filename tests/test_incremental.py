@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from listinglake import publication
-from listinglake.operators import silver
+from listinglake.operators import bloom, silver
 from listinglake.operators.arrival import first_arrivals
 from listinglake.plans import admission, incremental
 
@@ -159,7 +159,7 @@ def test_new_keys_read_hardly_any_old_ones(spark, tmp_path):
 
     admit(spark, root, fresh(0, 20_000), "a")
     blocks = publication.live(spark, root).tables[admission.FILTER].notes["blocks"]
-    assert blocks * admission.BLOCK_BITS >= 20_000 * admission.BITS
+    assert blocks * bloom.BLOCK_BITS >= 20_000 * bloom.BITS
     done = admit(spark, root, fresh(20_000, 22_000), "b")
     assert done.kept == 2000 and done.blocked == 0 and done.asked < 0.06 * 2 * 2000
     admit(spark, root, fresh(22_000, 50_000), "c")
@@ -176,3 +176,17 @@ def test_keys_of_a_capture_that_dies_do_not_count(spark, tmp_path):
         admit(spark, root, capture.withColumn("title", F.raise_error(F.lit("x")).cast("string")), "a")
     assert admission.kept(spark, root) is None
     assert admit(spark, root, capture, "a").kept > 0
+
+
+# --- filters ----------------------------------------------------------------------------------
+
+
+def test_a_filter_never_rules_out_its_keys(spark):
+    keys = spark.range(0, 9000, 3).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("x").alias("s"))
+    rows = spark.range(9000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("x").alias("s"))
+    for most, alarms in ((bloom.MOST_BLOCKS, 0.05), (1, 0.5)):
+        found = bloom.marked(rows, keys, ["k", "s"], most)
+        hits = {r.k for r in found.where("_maybe").collect()}
+        assert hits >= {None, *range(3, 9000, 3)}
+        assert len(hits) - 3000 < alarms * 6000
+    assert bloom.marked(rows, keys.limit(0), ["k", "s"]).where("_maybe").count() == 0
