@@ -5,7 +5,7 @@ words also start in a document of smaller id. Windows are judged on the input.
 
 1. *Anchors.* Each window names one run of ``SEED`` words inside it, the one of the least hash
    (the leftmost of equals). Equal windows name it at the same place, and neighbours mostly share
-   it, so about a tenth of the words start an anchor.
+   it, so about one word in eighteen starts an anchor.
 2. *Reference blocks.* The first occurrence of an anchor, by (doc_id, text, place), lies in a
    block of ``BLOCK`` words of its text, with margins that hold every window around it. Blocks of
    first occurrences of shared anchors are the reference; each is indexed by a suffix automaton.
@@ -18,9 +18,10 @@ words also start in a document of smaller id. Windows are judged on the input.
    the first one, where it is then not in that block either. These windows alone are compared with
    each other, by 128-bit digests and the least id of each. So no link is lost, and no group is paired.
 
-Texts move only where they share an anchor; stretches and blocks are bounded pieces, so one long
-text spreads over tasks, and a block that many documents ask for is joined with salts. Lookup
-sides are broadcast only after their size is measured.
+Texts move only where they share an anchor: a Bloom filter of bounded size rules out most others
+before a join. Stretches and blocks are bounded pieces, so one long text spreads over tasks, and
+a block that many documents ask for is joined with salts. Lookup sides are broadcast only after
+their size is measured.
 
 Null and empty texts have no words. Rows of a null id neither lose words nor make others lose
 them. Rows of one id never make each other lose words; equal rows lose the same. An empty table
@@ -39,12 +40,13 @@ from pyspark.sql import functions as F
 
 from listinglake.llm.tables import query, table
 from listinglake.llm.words import chunks, mix, words
-from listinglake.operators.skew import BROADCAST_BYTES, hot_keys, lookup_join, measured_bytes, spread_join
+from listinglake.operators import bloom
+from listinglake.operators.skew import hot_keys, lookup_join, measured_bytes, spread_join
 from listinglake.session import store
 
 WINDOW = 50
 #: Words of an anchor: a power of two.
-SEED = 32
+SEED = 16
 #: Words of a block without its margins.
 BLOCK = 512
 #: Places that an anchor can have in its window.
@@ -53,6 +55,9 @@ _PLACES = WINDOW - SEED + 1
 _HOT = 5_000
 _KEPT_BLOCKS = 64
 _ROW = ["doc_id", "text_key"]
+_REF = ["ref_id", "ref_key", "ref_number"]
+#: Helper tables are broadcast up to so many measured bytes, and else joined by a shuffle.
+SMALL = 4 * 1024 * 1024
 
 
 def window_anchors(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,55 +232,73 @@ def _requests(anchors: DataFrame) -> DataFrame:
         return F.floor(F.col(place) / BLOCK).cast("int")
 
     return (
-        lookup_join(anchors, shared, "anchor", "inner", hot_rows=_HOT)
+        lookup_join(anchors, shared, "anchor", "inner", SMALL, _HOT)
         .where("doc_id > ref_id OR text_key <> ref_key OR place <> ref_place")
         .groupBy(*_ROW, number("place").alias("number"), "ref_id", "ref_key", number("ref_place").alias("ref_number"))
         .agg(F.collect_set("place").alias("places"))
     )
 
 
-def _pieces(texts: DataFrame, requests: DataFrame) -> DataFrame:
-    """(doc_id, text_key, number, piece) of every piece or block in ``requests``, once."""
-    asked = requests.select(*_ROW, "number")
-    blocks = requests.select("ref_id", "ref_key", "ref_number").toDF(*_ROW, "number")
-    numbers = asked.union(blocks).groupBy(*_ROW).agg(F.collect_set("number").alias("numbers"))
-    rows = lookup_join(texts, store(numbers, "repeat-numbers"), _ROW, "inner", hot_rows=_HOT)
+def _cut(texts: DataFrame, requests: DataFrame) -> DataFrame:
+    """(doc_id, text_key, number, places, ref_id, ref_key, ref_number, piece): each request with
+    its piece, and each block it asks for, which has no ``places``.
+
+    A text is read once for both. Only texts that a bounded filter cannot rule out move.
+    """
+    block = F.struct("ref_id", "ref_key", "ref_number")
+    asks = requests.groupBy(*_ROW).agg(F.collect_list(F.struct("number", "places", *_REF)).alias("asks"))
+    blocks = requests.select(block.alias("_block")).distinct().select("_block.*").toDF(*_ROW, "number")
+    held = blocks.groupBy(*_ROW).agg(F.collect_list("number").alias("blocks"))
+    wanted = store(asks.join(held, _ROW, "full"), "repeat-wanted")
+    likely = bloom.marked(texts, wanted, _ROW).where("_maybe").select(*_ROW, "text")
+    rows = lookup_join(likely, wanted, _ROW, "inner", SMALL, _HOT)
 
     def run(batches):
         for batch in batches:
-            for doc_id, key, text, numbers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            out = []
+            for doc_id, key, text, asks, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 split = text.encode().split()
-                cut = [b" ".join(split[piece_start(n) : (n + 1) * BLOCK + WINDOW - 1]) for n in numbers]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([doc_id] * len(cut), batch.column(0).type),
-                        pa.array([key] * len(cut), pa.int64()),
-                        pa.array(numbers, pa.int32()),
-                        pa.array(cut, pa.binary()),
-                    ],
-                    names=[*_ROW, "number", "piece"],
-                )
+
+                def piece(number, split=split):
+                    return b" ".join(split[piece_start(number) : (number + 1) * BLOCK + WINDOW - 1])
+
+                for ask in asks or ():
+                    out.append({"doc_id": doc_id, "text_key": key, **ask, "piece": piece(ask["number"])})
+                for number in blocks or ():
+                    out.append({"ref_id": doc_id, "ref_key": key, "ref_number": number, "piece": piece(number)})
+            schema = pa.schema(
+                [
+                    ("doc_id", batch.column(0).type),
+                    ("text_key", pa.int64()),
+                    ("number", pa.int32()),
+                    ("places", pa.list_(pa.int32())),
+                    ("ref_id", batch.column(0).type),
+                    ("ref_key", pa.int64()),
+                    ("ref_number", pa.int32()),
+                    ("piece", pa.binary()),
+                ]
+            )
+            yield pa.RecordBatch.from_pylist(out, schema)
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    cut = rows.select(*_ROW, "text", "numbers").mapInArrow(
-        run, f"doc_id {kind}, text_key bigint, number int, piece binary"
+    return rows.select(*_ROW, "text", "asks", "blocks").mapInArrow(
+        run,
+        f"doc_id {kind}, text_key bigint, number int, places array<int>, "
+        f"ref_id {kind}, ref_key bigint, ref_number int, piece binary",
     )
-    # Equal rows give equal pieces.
-    return cut.dropDuplicates([*_ROW, "number"])
-
-
-def _joined(left: DataFrame, right: DataFrame, keys: list[str], size: int, hot_of: DataFrame) -> DataFrame:
-    if size <= BROADCAST_BYTES:
-        return left.join(F.broadcast(right), keys)
-    return spread_join(left, right, keys, "inner", hot_keys(hot_of, keys, rows=_HOT), spread_by=_ROW)
 
 
-def _parsed(requests: DataFrame, pieces: DataFrame) -> DataFrame:
+def _parsed(cut: DataFrame) -> DataFrame:
     """(doc_id, text_key, start, stop, digest) of repeated words, and of windows left open by their digest."""
-    size = measured_bytes(pieces)
-    blocks = pieces.toDF("ref_id", "ref_key", "ref_number", "block")
-    own = _joined(requests, pieces, [*_ROW, "number"], size, requests)
-    both = _joined(own, blocks, ["ref_id", "ref_key", "ref_number"], size, requests)
+    requests = cut.where("places IS NOT NULL")
+    # Equal rows give equal blocks.
+    blocks = cut.where("places IS NULL").select(*_REF, F.col("piece").alias("block"))
+    blocks = store(blocks.dropDuplicates(_REF), "repeat-blocks")
+    if measured_bytes(blocks) <= SMALL:
+        both = requests.join(F.broadcast(blocks), _REF)
+    else:
+        hot = hot_keys(requests.select(*_REF), _REF, rows=_HOT)
+        both = spread_join(requests, blocks, _REF, "inner", hot, spread_by=_ROW)
 
     def run(batches):
         known = _Blocks()
@@ -319,7 +342,7 @@ def _parsed(requests: DataFrame, pieces: DataFrame) -> DataFrame:
                     names=[*_ROW, "start", "stop", "digest"],
                 )
 
-    kind = requests.schema["doc_id"].dataType.simpleString()
+    kind = cut.schema["doc_id"].dataType.simpleString()
     later = (F.col("doc_id") > F.col("ref_id")).alias("later")
     return both.select(*_ROW, "number", "places", "piece", "block", later).mapInArrow(
         run, f"doc_id {kind}, text_key bigint, start int, stop int, digest binary"
@@ -335,8 +358,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
         "doc_id", F.xxhash64("text").alias("text_key"), "text"
     )
     requests = store(_requests(store(_anchors(texts), "repeat-anchors")), "repeat-requests")
-    pieces = store(_pieces(texts, requests), "repeat-pieces")
-    parsed = store(_parsed(requests, pieces), "repeat-parsed")
+    parsed = store(_parsed(store(_cut(texts, requests), "repeat-pieces")), "repeat-parsed")
     left = parsed.where("digest IS NOT NULL")
     firsts = (
         left.groupBy("digest")
@@ -344,7 +366,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
         .where("_first < _last")
         .drop("_last")
     )
-    late = lookup_join(left, store(firsts, "repeat-rest"), "digest", "inner", hot_rows=_HOT).where("doc_id > _first")
+    late = lookup_join(left, store(firsts, "repeat-rest"), "digest", "inner", SMALL, _HOT).where("doc_id > _first")
     spans = [*_ROW, "start", "stop"]
     every = parsed.where("digest IS NULL").select(*spans).union(late.select(*spans))
     return store(every.groupBy(*_ROW).agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "repeat-spans")
@@ -357,7 +379,11 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = lookup_join(texts, repeated_spans(documents), _ROW, "left", hot_rows=_HOT)
+    spans = repeated_spans(documents)
+    # Texts that cannot have spans stay where they are.
+    likely = bloom.marked(texts, spans, _ROW)
+    rows = lookup_join(likely.where("_maybe"), spans, _ROW, "left", SMALL, _HOT).select("doc_id", "text", "spans")
+    rest = likely.where("NOT _maybe").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
 
     def run(batches):
         for batch in batches:
@@ -384,7 +410,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
                 names=["doc_id", "n_words", "n_removed", "spans", "kept"],
             )
 
-    return rows.select("doc_id", "text", "spans").mapInArrow(
+    return rows.union(rest).mapInArrow(
         run, f"doc_id {kind}, n_words bigint, n_removed bigint, spans array<struct<start:int,stop:int>>, kept string"
     )
 

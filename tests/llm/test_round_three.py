@@ -232,11 +232,8 @@ def test_a_long_text_in_blocks(documents):
 
 def test_repeats_with_lookups_beyond_the_broadcast_limit(documents, monkeypatch):
     """Every join shuffles and salts hot keys."""
-    from listinglake.operators import skew
-
-    monkeypatch.setattr(repeats, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(repeats, "SMALL", 0)
     monkeypatch.setattr(repeats, "_HOT", 20)
-    monkeypatch.setattr(repeats, "lookup_join", lambda *a, **k: skew.lookup_join(*a, **{**k, "limit": 0}))
     random.seed(12)
     passage = [f"p{k}" for k in range(70)]
     rows = [
