@@ -27,7 +27,7 @@ def plain_rake(cells, targets, rounds=3000):
 def test_sources_of_nearly_one_language_each(spark):
     rng = random.Random(1)
     cells = [
-        (f"s{s}", f"l{lang}", topic, 1 + int(rng.random() * (50_000 if lang == s % 4 else 900)))
+        (f"s{s}", f"l{lang}", topic, 1 + int(rng.random() * (50_000 if lang == s % 4 else 6000)))
         for s in range(60)
         for lang in range(4)
         for topic in ("a", "b", "c")
