@@ -209,7 +209,7 @@ def number_names(spark, tables):
     return numbered("part", "p_name").unionByName(numbered("customer", "c_name"))
 
 
-def _prefix_sql(bound: int | None) -> str:
+def prefix_sql(bound: int | None) -> str:
     within = f"AND page <= {bound}" if bound else ""
     return f"""
     WITH pages AS (
@@ -244,13 +244,13 @@ def _landed_pages(spark, tables):
     )
 
 
-@query("page_prefix", _prefix_sql(None))
+@query("page_prefix", prefix_sql(None))
 def page_prefix(spark, tables):
     pages = _landed_pages(spark, tables)
     return requests.page_prefix(pages, ["run"]).select("event_id", "run", "page")
 
 
-@query("page_prefix_bounded", _prefix_sql(5))
+@query("page_prefix_bounded", prefix_sql(5))
 def page_prefix_bounded(spark, tables):
     pages = _landed_pages(spark, tables)
     return requests.page_prefix(pages, ["run"], 5).select("event_id", "run", "page")

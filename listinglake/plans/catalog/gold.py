@@ -138,7 +138,7 @@ def display_build(spark, tables):
 
 # --- the star ----------------------------------------------------------------
 
-_ORDER_ROWS = """
+ORDER_ROWS = """
     prepared AS (
         SELECT o.o_orderkey AS vacancy_id,
                coalesce(nullif(c.c_name, 'Customer#000000001'), 'Unknown') AS company_name,
@@ -188,12 +188,12 @@ def vacancy_rows(spark, tables):
     return serving.prepare(star.prepare(order_listings(spark, tables)))
 
 
-@query("star_dim_company", f"WITH {_ORDER_ROWS} SELECT company_id, company_name FROM company")
+@query("star_dim_company", f"WITH {ORDER_ROWS} SELECT company_id, company_name FROM company")
 def star_dim_company(spark, tables):
     return order_star(spark, tables).dim_company
 
 
-@query("star_dim_location", f"WITH {_ORDER_ROWS} SELECT location_id, location_name FROM location")
+@query("star_dim_location", f"WITH {ORDER_ROWS} SELECT location_id, location_name FROM location")
 def star_dim_location(spark, tables):
     return order_star(spark, tables).dim_location
 
@@ -201,7 +201,7 @@ def star_dim_location(spark, tables):
 @query(
     "star_fact",
     f"""
-    WITH {_ORDER_ROWS}
+    WITH {ORDER_ROWS}
     SELECT p.vacancy_id, c.company_id, l.location_id, p.publication_date,
            p.publication_timestamp, p.title, p.description, p.category, p.salary
     FROM prepared p JOIN company c ON p.company_name = c.company_name
@@ -224,7 +224,7 @@ def _dated(frame):
 @query(
     "fk_integrity",
     f"""
-    WITH {_ORDER_ROWS}
+    WITH {ORDER_ROWS}
     SELECT count(*) AS fact_rows, count(*) - count(c.company_id) AS without_company,
            count(*) - count(l.location_id) AS without_location
     FROM prepared p LEFT JOIN company c ON p.company_name = c.company_name
@@ -238,7 +238,7 @@ def fk_integrity(spark, tables):
 @query(
     "serving_join",
     f"""
-    WITH {_ORDER_ROWS}
+    WITH {ORDER_ROWS}
     SELECT vacancy_id AS "Id", publication_date AS "Publicatiedatum", title AS "Titel",
            company_name AS "Bedrijf", category AS "Categorie", location_name AS "Locatie",
            salary AS "Salaris", description AS "Beschrijving"
@@ -256,7 +256,7 @@ def serving_join(spark, tables):
 @query(
     "gold_sql",
     f"""
-    WITH {_ORDER_ROWS}
+    WITH {ORDER_ROWS}
     SELECT location_name AS label, company_name, count(*) AS count,
            min(publication_date) AS first_day, max(vacancy_id) AS last_id
     FROM prepared WHERE trim(location_name) <> '' GROUP BY location_name, company_name
@@ -297,7 +297,7 @@ def top_events(spark, tables):
 @query(
     "top_categories",
     f"""
-    WITH {_ORDER_ROWS}
+    WITH {ORDER_ROWS}
     SELECT category AS label, count(*) AS count FROM prepared
     WHERE category IS NOT NULL AND trim(category) <> ''
     GROUP BY category ORDER BY count(*) DESC, category LIMIT 5
@@ -310,7 +310,7 @@ def top_categories(spark, tables):
 @query(
     "top_locations",
     f"""
-    WITH {_ORDER_ROWS}
+    WITH {ORDER_ROWS}
     SELECT location_name AS label, count(*) AS count FROM prepared
     GROUP BY location_name ORDER BY count(*) DESC, location_name LIMIT 8
     """,
@@ -322,7 +322,7 @@ def top_locations(spark, tables):
 @query(
     "newest_vacancies",
     f"""
-    WITH {_ORDER_ROWS}
+    WITH {ORDER_ROWS}
     SELECT vacancy_id, publication_timestamp, title, company_name FROM prepared
     ORDER BY publication_timestamp DESC NULLS LAST, vacancy_id LIMIT 50
     """,
@@ -338,7 +338,7 @@ def newest_vacancies(spark, tables):
 @query(
     "kpis",
     f"""
-    WITH {_ORDER_ROWS}
+    WITH {ORDER_ROWS}
     SELECT count(*) AS vacancies, count(DISTINCT company_name) AS companies,
            count(DISTINCT location_name) AS locations
     FROM prepared

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from listinglake import schemas
 from listinglake.functions.text import fold
+from listinglake.operators import members
 from listinglake.plans import admission, incremental, refresh
 from listinglake.plans.catalog.dedupe import EVENT_EDGES, GREEDY
-from listinglake.plans.catalog.gold import LANDED_LINES, landed_lines, order_listings
+from listinglake.plans.catalog.gold import LANDED_LINES, ORDER_ROWS, landed_lines, order_listings, order_star
 from listinglake.plans.catalog.registry import query, second, table
-from listinglake.session import scratch_path
+from listinglake.plans.catalog.dedupe import prefix_sql
+from listinglake.session import scratch_path, store
+from listinglake.sinks import bronze, compaction
 from listinglake.sinks.tables import write_table
-from listinglake.sources import snapshot
+from listinglake.sources import drift, landing, snapshot
+from listinglake.streaming.pages import land_used_pages
 
 
 def _dies(build, *arguments):
@@ -150,3 +157,158 @@ def greedy_incremental(spark, tables):
             [fold(F.col("event_type")), F.col("props")], F.col("event_id"),
         )
     return admission.kept(spark, root)
+
+
+@query(
+    "kpis_by_members",
+    f"""
+    WITH {ORDER_ROWS}
+    SELECT count(*) AS vacancies, count(DISTINCT company_name) AS companies,
+           count(DISTINCT location_name) AS locations
+    FROM prepared
+    """,
+)
+def kpis_by_members(spark, tables):
+    """The figures of the star from bitmaps over its dense keys."""
+    fact = order_star(spark, tables).fct_vacancies
+    return members.figures(fact, {"companies": "company_id", "locations": "location_id"})
+
+
+@query(
+    "capture_members",
+    """
+    WITH months AS (SELECT *, strftime(o_orderdate, '%Y') AS capture FROM orders)
+    SELECT capture, count(DISTINCT o_custkey) AS own,
+           (SELECT count(DISTINCT o_custkey) FROM months b WHERE b.capture <= a.capture) AS so_far
+    FROM months a GROUP BY capture
+    """,
+)
+def capture_members(spark, tables):
+    """Customers of each year's orders and of all years so far; sets are merged, rows read once."""
+    orders = table(spark, tables, "orders").select("o_custkey", F.year("o_orderdate").cast("string").alias("capture"))
+    sets = store(
+        orders.groupBy("capture", F.bitmap_bucket_number(F.col("o_custkey").cast("bigint")).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("o_custkey").cast("bigint"))).alias("bits")),
+        "capture-members",
+    )
+    own = sets.groupBy("capture").agg(F.sum(F.bitmap_count("bits")).cast("bigint").alias("own"))
+    captures = [row.capture for row in own.select("capture").orderBy("capture").collect()]
+    later = F.explode(F.filter(F.array(*map(F.lit, captures)), lambda c: c >= F.col("capture"))).alias("capture")
+    so_far = (
+        sets.select(later, "bucket", "bits")
+        .groupBy("capture", "bucket")
+        .agg(F.bitmap_or_agg("bits").alias("bits"))
+        .groupBy("capture")
+        .agg(F.sum(F.bitmap_count("bits")).cast("bigint").alias("so_far"))
+    )
+    return own.join(so_far, "capture")
+
+
+@query("page_stream", prefix_sql(None))
+def page_stream(spark, tables):
+    """Events as pages that land in the order of a hash, a few files a batch."""
+    folder, target = scratch_path(spark, "landed-pages"), scratch_path(spark, "used-pages")
+    pages = table(spark, tables, "events").select(
+        F.col("event_id").alias("request_seq"),
+        F.col("user_id").cast("string").alias("run"),
+        (F.col("event_id") % 43 + 1).cast("bigint").alias("page"),
+        (F.col("event_type") != "error").alias("ok"),
+        F.round("value").cast("bigint").alias("entries"),
+        (F.col("props") != '{"k": 7}').alias("has_next"),
+    )
+    pages.repartition(6, F.md5(F.col("request_seq").cast("string"))).write.parquet(folder)
+    land_used_pages(spark, folder, target, f"{target}-progress", files_per_batch=2).awaitTermination()
+    used = spark.read.schema("request_seq bigint, run string, page bigint").parquet(target)
+    return used.select(F.col("request_seq").alias("event_id"), F.col("run").cast("bigint").alias("run"), "page")
+
+
+_DECLARED = [name for name, _ in schemas.fields(schemas.BRONZE)]
+
+
+@query(
+    "schema_drift",
+    """
+    WITH sizes AS (
+        SELECT CASE WHEN event_id % 3 = 0 THEN 'odd' ELSE 'plain' END AS capture, count(*) AS listings,
+               count(*) FILTER (event_type = 'click') AS clicks
+        FROM events GROUP BY 1),
+    found AS (
+        SELECT capture, unnest(['id', 'title', 'publication_date', 'salary', 'remote']) AS member,
+               unnest(CASE capture WHEN 'odd' THEN ['STRING', 'STRING', 'STRING', 'BIGINT', 'BOOLEAN']
+                      ELSE ['BIGINT', 'STRING', 'STRING', 'STRING', NULL] END) AS found,
+               unnest(CASE capture WHEN 'odd' THEN [listings, listings, clicks, listings, listings]
+                      ELSE [listings, listings, listings, listings, 0] END) AS present
+        FROM sizes),
+    declared AS (
+        SELECT capture, listings, unnest(['id', 'source', 'source_job_id', 'query_category', 'title',
+                   'company_name', 'category', 'publication_date', 'candidate_required_location',
+                   'salary', 'description', 'url']) AS member
+        FROM sizes)
+    SELECT coalesce(d.capture, f.capture) AS capture, coalesce(d.member, f.member) AS member,
+           CASE WHEN d.member = 'id' THEN 'bigint' WHEN d.member IS NOT NULL THEN 'string' END AS declared,
+           f.found, coalesce(f.present, 0) AS present,
+           coalesce(d.listings, s.listings) AS listings,
+           CASE WHEN d.member IS NULL THEN 'unknown' WHEN f.found IS NULL THEN 'absent'
+                WHEN (d.member = 'id') = (f.found = 'BIGINT') THEN 'as declared' ELSE 'other type' END AS status
+    FROM declared d FULL JOIN (SELECT * FROM found WHERE found IS NOT NULL AND present > 0) f
+        ON d.capture = f.capture AND d.member = f.member
+    LEFT JOIN sizes s ON s.capture = f.capture
+    """,
+)
+def schema_drift(spark, tables):
+    """Landed events whose odd capture has a text id, a number as salary and a member of its own."""
+    folder = scratch_path(spark, "drifting")
+    events = table(spark, tables, "events")
+    odd = F.to_json(
+        F.struct(
+            F.col("event_id").cast("string").alias("id"),
+            F.col("event_type").alias("title"),
+            F.when(F.col("event_type") == "click", "2026-01-01").alias("publication_date"),
+            F.col("user_id").alias("salary"),
+            F.lit(True).alias("remote"),
+        )
+    )
+    plain = F.to_json(
+        F.struct(
+            F.col("event_id").alias("id"),
+            F.col("event_type").alias("title"),
+            F.lit("2026-01-01").alias("publication_date"),
+            F.col("user_id").cast("string").alias("salary"),
+        )
+    )
+    is_odd = F.col("event_id") % 3 == 0
+    listed = events.select(
+        F.when(is_odd, "odd").otherwise("plain").alias("capture"), F.when(is_odd, odd).otherwise(plain).alias("job"),
+        F.floor(F.col("event_id") / 4096).alias("chunk"),
+    )
+    documents = listed.groupBy("capture", "chunk").agg(
+        F.concat(F.lit('{"jobs": ['), F.concat_ws(", ", F.collect_list("job")), F.lit(", null, 3]}")).alias("value")
+    )
+    documents.select("value", "capture").write.partitionBy("capture").option("maxRecordsPerFile", 1).text(folder)
+    entries = landing.opened(landing.documents(spark, landing.Landing(folder, "*.txt")))
+    named = entries.select(F.regexp_extract("file", r"/capture=(\w+)/", 1).alias("capture"), "entry")
+    return drift.drift(named, capture="capture")
+
+
+@query(
+    "bronze_compaction",
+    """
+    SELECT event_id AS id, event_type AS title, props AS description,
+           CASE event_id % 3 WHEN 0 THEN '20260101_000000' WHEN 1 THEN '20260102_000000'
+                ELSE '20260103_000000' END AS capture_stamp
+    FROM events
+    """,
+)
+def bronze_compaction(spark, tables):
+    """Three captures in many small files; two are packed, the third is still read as it landed."""
+    folder = scratch_path(spark, "bronze")
+    empty = [F.lit("").alias(name) for name in _DECLARED if name not in ("id", "title", "description")]
+    rows = table(spark, tables, "events").select(
+        F.col("event_id").alias("id"), F.col("event_type").alias("title"), F.col("props").alias("description"), *empty
+    )
+    for number in range(3):
+        capture = rows.where(F.col("id") % 3 == number).repartition(12, "id")
+        bronze.write_bronze(capture, folder, datetime(2026, 1, 1 + number))
+        if number == 1:
+            compaction.compact(spark, folder, target_bytes=1 << 20)
+    return compaction.read_captures(spark, folder).select("id", "title", "description", "capture_stamp")
