@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listinglake.operators.skew import hot_keys, spread_join
 from listinglake.session import store
 
+#: Neighbours of one node that a task meets; with more they are dealt to several.
+HOT = 20_000
+
 
 def _roots(pairs: DataFrame) -> DataFrame:
     """(u, root): the smallest of each ``u`` and its neighbours."""
@@ -43,14 +47,15 @@ def components(edges: DataFrame) -> DataFrame:
     )
     while not _stars(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        hot = hot_keys(both, ["u"], rows=HOT)
         large = (
-            both.join(_roots(both), "u")
+            spread_join(both, _roots(both), ["u"], "inner", hot, ["v"])
             .where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.col("root").alias("v"))
         )
         roots = _roots(large)
         small = (
-            large.join(roots, "u")
+            spread_join(large, roots, ["u"], "inner", hot, ["v"])
             .where(F.col("v") != F.col("root"))
             .select(F.col("v").alias("u"), F.col("root").alias("v"))
             .union(roots.select("u", F.col("root").alias("v")))

@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 from listinglake.llm import words
 from listinglake.llm.components import components
 from listinglake.llm.tables import query, table
-from listinglake.operators.skew import lookup_join
+from listinglake.operators import bloom
+from listinglake.operators.skew import hot_keys, lookup_join, measured_bytes, spread_join
 from listinglake.session import store
 
 SHINGLE = 5
@@ -54,6 +55,8 @@ SKETCH = 8
 HOPS = 2
 #: Helper tables are broadcast up to so many measured bytes, and else joined by a shuffle.
 SMALL = 16 * 1024 * 1024
+#: Classes of one pivot that a task meets; with more they are dealt to several.
+HOT = 5_000
 BINS = BANDS * ROWS
 
 
@@ -180,34 +183,49 @@ def _bucket_members(classes: DataFrame) -> DataFrame:
     )
     members = store(lookup_join(each, shared, "band", "inner", SMALL), "buckets")
     central = store(members.groupBy("same").agg(F.sum("size").alias("central")), "central")
-    return lookup_join(members.drop("size"), central, "same", "inner", SMALL)
+    return store(lookup_join(members.drop("size"), central, "same", "inner", SMALL), "members")
 
 
 def _class_sets(
-    documents: DataFrame, classes: DataFrame, members: DataFrame, size: int
+    documents: DataFrame, classes: DataFrame, members: DataFrame, pivots: DataFrame, size: int
 ) -> DataFrame:
-    """(same, shingles) of every class in a shared bucket, from its representative's text."""
+    """(same, n, pivot, shingles) of every class in a shared bucket, from its representative's text.
+
+    The sets move once: the shuffle that leaves one of equal sets also brings their pivots.
+    """
     wanted = store(
-        classes.select("same", F.col("rep").alias("doc_id")).join(
-            members.select("same").distinct(), "same"
-        ),
+        members.select("same", "n").distinct()
+        .join(pivots.select("same", "pivot"), "same", "left")
+        .join(classes.select("same", F.col("rep").alias("doc_id")), "same"),
         "wanted",
     )
     read = (
         documents.select("doc_id", "text")
-        .join(wanted, "doc_id", "left_semi")
+        .join(wanted.select("doc_id"), "doc_id", "left_semi")
         .mapInArrow(_set_reader(size), "same binary, shingles array<bigint>")
     )
-    return store(read.join(wanted, "same", "left_semi").dropDuplicates(["same"]), "shingle-sets")
+    return store(read.dropDuplicates(["same"]).join(wanted.drop("doc_id"), "same"), "shingle-sets")
+
+
+def _sets_of(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``sets`` whose class is among ``wanted``; the others stay where they are."""
+    if measured_bytes(wanted) <= SMALL:
+        return sets.join(F.broadcast(wanted), "same", "left_semi")
+    return bloom.marked(sets, wanted, ["same"]).where("_maybe").drop("_maybe")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
+    """The stored pairs (a, b) whose full shingle sets are similar enough."""
     both = F.size(F.array_intersect("of_a", "of_b"))
     either = F.size("of_a") + F.size("of_b") - both
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("same")).distinct()
+    asked = _sets_of(sets, store(ends, "asked"))
+    left, right = (
+        asked.select(F.col("same").alias(end), F.col("shingles").alias(f"of_{end}")) for end in ("a", "b")
+    )
     return (
-        pairs.join(sets.toDF("b", "of_b"), "b")
-        .join(sets.toDF("a", "of_a"), "a")
+        pairs.join(right, "b")
+        .join(left, "a")
         .where(100 * both >= similarity * either)
         .select("a", "b")
     )
@@ -271,21 +289,26 @@ def _sketch(values: str, name: str) -> list[F.Column]:
     return [word(number).alias(f"{name}{number}") for number in range(SKETCH)]
 
 
-def _stars(pivots: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def _hot_pivots(frame: DataFrame) -> DataFrame | None:
+    return hot_keys(frame.select("pivot"), ["pivot"], rows=HOT)
+
+
+def _stars(sets: DataFrame, similarity: int) -> DataFrame:
     """Each class against its pivot, stored: what it adds, sketches, and whether it is linked."""
-    own = sets.select("same", F.col("shingles").alias("own"))
-    centre = sets.select(F.col("same").alias("pivot"), F.col("shingles").alias("centre"))
-    met = (
-        pivots.join(own, "same")
-        .join(centre, "pivot")
-        .select(
-            "same",
-            "n",
-            "pivot",
-            F.size("centre").alias("pivot_n"),
-            F.array_except("own", "centre").alias("added"),
-            F.array_except("centre", "own").alias("lost"),
-        )
+    own = sets.select("same", "n", "pivot", F.col("shingles").alias("own")).where("pivot IS NOT NULL")
+    pivots = store(own.select(F.col("pivot").alias("same")).distinct(), "centres")
+    centre = _sets_of(sets, pivots).select(F.col("same").alias("pivot"), F.col("shingles").alias("centre"))
+    if (centre.agg(F.sum(64 + 8 * F.size("centre"))).first()[0] or 0) <= SMALL:
+        both = own.join(F.broadcast(centre), "pivot")
+    else:
+        both = spread_join(own, centre, ["pivot"], "inner", _hot_pivots(own), ["same"])
+    met = both.select(
+        "same",
+        "n",
+        "pivot",
+        F.size("centre").alias("pivot_n"),
+        F.array_except("own", "centre").alias("added"),
+        F.array_except("centre", "own").alias("lost"),
     )
     return store(
         met.select(
@@ -349,9 +372,11 @@ def _beyond_stars(stars: DataFrame, similarity: int) -> DataFrame:
     # Without a common new shingle, what is kept must suffice, if only for a small partner.
     within = F.col("x_n") - F.col("x_added")
     near = left.where(100 * within >= similarity * (F.col("x_n") * (1 + similarity / 100) - within))
+    # All classes of the pivot are the large side: they are spread, the few near ones repeated.
     alone = (
-        near.drop("added")
-        .join(right.drop("added"), "pivot")
+        spread_join(
+            right.drop("added"), near.drop("added"), ["pivot"], "inner", _hot_pivots(stars), ["y_same"]
+        )
         .where(once & _enough(kept, "x_n", "y_n", similarity))
     )
     ends = [F.least("x_same", "y_same").alias("a"), F.greatest("x_same", "y_same").alias("b")]
@@ -369,9 +394,9 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
 def _linked(documents: DataFrame, classes: DataFrame, size: int, similarity: int) -> DataFrame:
     """(node, root): components of the classes that similar pairs within buckets link."""
     members = _bucket_members(classes)
-    sets = _class_sets(documents, classes, members, size)
+    sets = _class_sets(documents, classes, members, _pivots(members, similarity), size)
     spark = documents.sparkSession
-    stars = _stars(_pivots(members, similarity), sets, similarity)
+    stars = _stars(sets, similarity)
     others = store(_beyond_stars(stars, similarity), "pairs")
     links = stars.where("linked").select(F.col("same").alias("a"), F.col("pivot").alias("b"))
     if not others.isEmpty():
