@@ -25,6 +25,7 @@ ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 LANDING_GLOB = "*.json"
 CAPTURE_GLOB = "jobs_raw_*.json"
 BOARDS = ("remotive", "jobicy", "arbeitnow")
+PAGED_BOARD = "arbeitnow"
 JOBICY_PAGE_SIZE = 100
 # category -> (query parameter, value) pairs; any other category asks by tag.
 JOBICY_QUERIES = {

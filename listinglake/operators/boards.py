@@ -122,18 +122,33 @@ _TEXTS = list(
 )
 
 
+def raw_entries(boards: Sequence[str] = BOARDS) -> Column:
+    """The listing array of a response's board as raw JSON texts; null when there is none."""
+    return _per_board(boards, _ARRAYS, "jobs", lambda name: entries(F.col("body"), name))
+
+
+def too_large(responses: DataFrame, raw: str, carry: Sequence[str] = ()) -> DataFrame:
+    """(carry, entry): objects of the array column ``raw`` that no VARIANT can take."""
+    each = responses.select(*carry, F.explode(raw).alias("entry"))
+    return each.where(F.ltrim("entry").startswith("{") & F.try_parse_json("entry").isNull())
+
+
 def listings(
-    responses: DataFrame, carry: Sequence[str] = (), boards: Sequence[str] = BOARDS
+    responses: DataFrame,
+    carry: Sequence[str] = (),
+    boards: Sequence[str] = BOARDS,
+    raw: Column | None = None,
 ) -> DataFrame:
     """One raw listing per array entry: its ``position``, the ``job`` and its members.
 
-    Needs ``source``, ``query_category`` and ``body``. Each entry is opened once, before
+    Needs ``source``, ``query_category`` and ``body``, or the array ``raw`` that was already
+    read from it. Each entry is opened once, before
     the explode: a filter on members then reads them, where a filter on the entry would
     walk it again per member. A rejected response has no array; the outer explode gives
     it one row without members, which :func:`normalise` drops, and keeps Spark from
     parsing each body a second time in a filter of its own.
     """
-    raw = _per_board(boards, _ARRAYS, "jobs", lambda name: entries(F.col("body"), name))
+    raw = raw_entries(boards) if raw is None else raw
     parsed = F.transform("entries", F.try_parse_json)
     opened = F.transform(
         parsed,
@@ -226,8 +241,10 @@ def normalise(
     )
 
 
-def union_boards(responses: DataFrame, boards: Sequence[str] = BOARDS) -> DataFrame:
+def union_boards(
+    responses: DataFrame, boards: Sequence[str] = BOARDS, raw: Column | None = None
+) -> DataFrame:
     """Listings of all boards; ``request_seq`` and ``position`` give the arrival order."""
     return normalise(
-        listings(responses, ["request_seq"], boards), ["request_seq", "position"], boards
+        listings(responses, ["request_seq"], boards, raw), ["request_seq", "position"], boards
     )

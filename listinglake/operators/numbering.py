@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listinglake.operators.skew import hot_from_counts
@@ -59,3 +59,31 @@ def dense_keys(frame: DataFrame, name: str, key: str, key_type: str = "int") ->
         (F.col("_start") + F.col("_place") + 1).cast(key_type).alias(key), name
     )
     return Numbered(numbered, names.select(F.xxhash64(name).alias("_hot"), "_rows"))
+
+
+def positions(frame: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """``frame`` with each row's place, from 1, in a total ``order``; stored.
+
+    Rows are range-partitioned by the order, numbered inside their partition and shifted by the
+    sizes of those before, so no task sees all rows.
+    """
+    placed = store(
+        frame.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_slot", F.monotonically_increasing_id()),
+        "positions",
+    )
+    part = F.shiftright("_slot", _SLOT_BITS)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy(part.alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    )
+    place = F.col("_start") + F.col("_slot").bitwiseAND(F.lit((1 << _SLOT_BITS) - 1)) + 1
+    return (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .withColumn(name, place.cast("bigint"))
+        .drop("_part", "_slot", "_start")
+    )

@@ -323,15 +323,16 @@ def top_locations(spark, tables):
     "newest_vacancies",
     f"""
     WITH {ORDER_ROWS}
-    SELECT vacancy_id, publication_timestamp, title, company_name FROM prepared
-    ORDER BY publication_timestamp DESC NULLS LAST, vacancy_id LIMIT 50
+    SELECT row_number() OVER (ORDER BY publication_timestamp DESC NULLS LAST, vacancy_id) AS position,
+           vacancy_id, publication_timestamp, title, company_name
+    FROM prepared
     """,
 )
 def newest_vacancies(spark, tables):
-    """The top of the newest-first list; Spark keeps only the top rows per task."""
-    newest = serving.newest_first(vacancy_rows(spark, tables)).limit(50)
+    """The whole newest-first list, each row with its position."""
+    newest = serving.newest_positions(vacancy_rows(spark, tables))
     return newest.select(
-        "vacancy_id", second("publication_timestamp"), "title", "company_name"
+        "position", "vacancy_id", second("publication_timestamp"), "title", "company_name"
     )
 
 

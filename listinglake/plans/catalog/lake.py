@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listinglake.functions import times
 from listinglake.operators import boards, requests, serving
-from listinglake.plans import collect, refresh
+from listinglake.plans import collect, incremental, ingest, refresh
 from listinglake.plans.catalog.gold import order_listings, order_star
 from listinglake.plans.catalog.registry import day, money, query, second, table
 from listinglake.session import file_names, put_text, scratch_path
@@ -131,7 +133,7 @@ def landing_union(spark, tables):
     "quarantine",
     """
     WITH documents AS (
-        SELECT event_id % 61 AS chunk, count(*) AS listings FROM events GROUP BY 1)
+        SELECT event_id // 256 AS chunk, count(*) AS listings FROM events GROUP BY 1)
     SELECT CASE chunk % 4 WHEN 0 THEN 'not valid JSON' WHEN 1 THEN 'no jobs array'
                 ELSE 'listings' END AS outcome,
            count(*) AS documents, sum(listings)::BIGINT AS listings
@@ -139,7 +141,7 @@ def landing_union(spark, tables):
     """,
 )
 def quarantine(spark, tables):
-    """Landed events, every fourth document broken and every fourth one foreign."""
+    """Landed events, 256 a document, every fourth one broken and every fourth one foreign."""
     folder = scratch_path(spark, "landed")
     chunk = F.col("chunk") % 4
     whole = F.to_json(F.struct("jobs"))
@@ -150,7 +152,7 @@ def quarantine(spark, tables):
     )
     (
         _event_listings(spark, tables)
-        .select((F.col("id") % 61).alias("chunk"), F.struct("id", "title").alias("job"))
+        .select(F.floor(F.col("id") / 256).alias("chunk"), F.struct("id", "title").alias("job"))
         .groupBy("chunk")
         .agg(F.collect_list("job").alias("jobs"))
         .withColumn("whole", whole)
@@ -593,3 +595,85 @@ def freshness(spark, tables):
     changed = len({before, middle, after}) == 3
     rows = snapshot.read_table(spark, path)
     return rows.agg(F.lit(changed).alias("changed"), F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "source_order",
+    """
+    WITH prepared AS (
+        SELECT coalesce(nullif(c.c_name, 'Customer#000000001'), 'Unknown') AS company,
+               coalesce(nullif(n.n_name, 'NATION_3'), 'Unspecified') AS location,
+               row_number() OVER (PARTITION BY o.o_orderstatus,
+                   nullif(c.c_name, 'Customer#000000001')
+                   ORDER BY o.o_orderdate DESC, o.o_orderkey) AS r
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+        JOIN nation n ON c.c_nationkey = n.n_nationkey),
+    served AS (
+        SELECT count(*) AS rows, count(DISTINCT company) AS companies, count(DISTINCT location) AS locations
+        FROM prepared WHERE r = 1)
+    SELECT label, rows, companies, locations
+    FROM served, (SELECT unnest(['gold-delta', 'gold-sample', 'gold-parquet', 'bronze-json', 'sample']) AS label)
+    UNION ALL SELECT 'empty', 0, 0, 0
+    """,
+)
+def source_order(spark, tables):
+    """Every source in turn: each is found once those before it are missing."""
+    root, raw = scratch_path(spark, "sources"), scratch_path(spark, "landed")
+    listings = order_listings(spark, tables).withColumn(
+        "publication_date", times.iso_text(F.col("publication_date"))
+    )
+    documents = _documents_of(listings).select("jobs").write.option("maxRecordsPerFile", 1)
+    documents.json(raw)
+    refresh.refresh(spark, raw, f"{root}/lake", f"{root}/export.parquet")
+    gold = f"{root}/lake/gold"
+    for name in snapshot.GOLD_TABLES:
+        write_table(snapshot.read_table(spark, f"{gold}/{name}"), f"{root}/parquet/{name}")
+    places = [gold, f"{root}/export.parquet", f"{root}/parquet", raw, raw]
+    found = []
+    for missing in range(len(places) + 1):
+        here = [f"{root}/missing"] * missing + places[missing:]
+        source = resolve.vacancies(spark, *here)
+        found.append(
+            serving.kpis(source.frame).select(
+                F.lit(source.label).alias("label"), F.col("vacancies").alias("rows"), "companies", "locations"
+            )
+        )
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query(
+    "bronze_to_silver",
+    f"""
+    WITH {_BOARD_ROWS},
+    in_order AS (
+        SELECT list({{'pairs': [lower(title) || '|' || lower(company_name)], 'kept': [arrival]}}
+                    ORDER BY arrival) AS rows
+        FROM found),
+    walked AS (
+        SELECT list_reduce(rows, lambda done, row:
+            CASE WHEN list_contains(done.pairs, row.pairs[1]) THEN done
+            ELSE {{'pairs': list_concat(done.pairs, row.pairs),
+                   'kept': list_concat(done.kept, row.kept)}} END) AS state
+        FROM in_order),
+    kept AS (SELECT unnest(state.kept) AS arrival FROM walked)
+    SELECT {_HASHED.format(source='source', native='native')} AS id, title, company_name, category,
+           location AS candidate_required_location
+    FROM found WHERE arrival IN (SELECT arrival FROM kept)
+      AND (contains(lower(title), 'data') OR contains(lower(title), 'click') OR contains(lower(title), 'steel'))
+    """,
+)
+def bronze_to_silver(spark, tables):
+    """Landed responses to a bronze capture to silver, each step reading what the last has written."""
+    folder, root = scratch_path(spark, "responses"), scratch_path(spark, "lake")
+    _responses(spark, tables).select(
+        "request_seq", "source", F.lit("run").alias("run"), "query_category", "body"
+    ).write.json(folder)
+    done = ingest.ingest(spark, folder, root, datetime(2026, 1, 2), keywords=("data", "click", "steel"))
+    silver_rows = incremental.read_silver(spark, f"{root}/{ingest.LAKE}")
+    return silver_rows.where(F.lit(done.merged.changed > 0)).select(
+        "id",
+        "title",
+        F.coalesce("company_name", F.lit("")).alias("company_name"),
+        "category",
+        F.coalesce("candidate_required_location", F.lit("")).alias("candidate_required_location"),
+    )

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listinglake.constants import PAGED_BOARD
 from listinglake.functions import variants as V
 from listinglake.functions.text import fold
 from listinglake.operators import boards, requests
@@ -27,10 +28,17 @@ class Collected:
 
 
 def _judge(responses: DataFrame) -> DataFrame:
-    """What is known of each response, without its body."""
+    """What is known of each response, with the raw entries of its listing array.
+
+    Bodies are opened here and nowhere else; those set aside are looked up again.
+    """
     links = F.try_parse_json(F.get_json_object("body", "$.links"))
-    data = boards.entries(F.col("body"), "data")
-    return boards.parse(responses).select(
+    paged = F.col("page").isNotNull()
+    data = F.when(F.col("source") == PAGED_BOARD, F.size("raw")).when(
+        paged, F.size(boards.entries(F.col("body"), "data"))
+    )
+    parsed = boards.parse(responses).withColumn("raw", boards.raw_entries())
+    return parsed.select(
         "request_seq",
         "source",
         "run",
@@ -38,8 +46,9 @@ def _judge(responses: DataFrame) -> DataFrame:
         "page",
         "params",
         F.coalesce("error", "reason").alias("error"),
-        F.greatest(F.size(data), F.lit(0)).alias("entries"),
-        V.is_truthy(V.field(links, "next"), V.kind(links, "next")).alias("has_next"),
+        F.greatest(data, F.lit(0)).alias("entries"),
+        F.when(paged, V.is_truthy(V.field(links, "next"), V.kind(links, "next"))).otherwise(False).alias("has_next"),
+        F.when(F.col("error").isNull(), F.col("raw")).alias("raw"),
     )
 
 
@@ -52,21 +61,20 @@ def collect(responses: DataFrame, max_pages: int | None = None) -> Collected:
     with that reason. The collection fails only when nothing
     was kept.
     """
-    judged = store(_judge(responses), "judged")
+    opened = store(_judge(responses), "judged")
+    judged = opened.drop("raw")
     unpaged = judged.where("page is null")
     paged = judged.where("page is not null").withColumn("ok", F.col("error").isNull())
     prefix = requests.page_prefix(paged, ["source", "run"], max_pages, failed_stop=True)
     asked = store(unpaged.unionByName(prefix.select(*judged.columns)), "asked")
 
-    # Bodies are joined for paged boards only; elsewhere every response counts.
+    # Entries are joined for paged boards only; elsewhere every response counts.
     good_pages = asked.where("page is not null and error is null").select("request_seq")
-    bodies = responses.where("error is null").select(
-        "request_seq", "source", "query_category", "page", "body"
-    )
+    bodies = opened.where("error is null").select("request_seq", "source", "query_category", "page", "raw")
     used = bodies.where("page is null").unionByName(
         lookup_join(bodies.where("page is not null"), good_pages, "request_seq", "left_semi")
     )
-    listings = store(boards.union_boards(used), "listings")
+    listings = store(boards.union_boards(used, raw=F.col("raw")), "listings")
     kept = store(
         first_arrivals(
             listings,
@@ -98,13 +106,13 @@ def collect(responses: DataFrame, max_pages: int | None = None) -> Collected:
     failed = failed.union(
         behind.select("request_seq", F.lit("behind the stop of its run").alias("reason"))
     )
-    return Collected(
-        kept.drop("request_seq", "position"),
-        attempts,
-        lookup_join(responses, failed, "request_seq", "inner").select(
-            "request_seq", "source", "reason", "body"
-        ),
+    whole = lookup_join(responses, failed, "request_seq", "inner").select(
+        "request_seq", "source", "reason", "body"
+    )
+    large = boards.too_large(used, "raw", ["request_seq", "source"]).select(
+        "request_seq", "source", F.lit("entry too large").alias("reason"), F.col("entry").alias("body")
     )
+    return Collected(kept.drop("request_seq", "position"), attempts, whole.unionByName(large))
 
 
 def collect_into(
