@@ -127,8 +127,11 @@ def raw_entries(boards: Sequence[str] = BOARDS) -> Column:
     return _per_board(boards, _ARRAYS, "jobs", lambda name: entries(F.col("body"), name))
 
 
-def too_large(responses: DataFrame, raw: str, carry: Sequence[str] = ()) -> DataFrame:
-    """(carry, entry): objects of the array column ``raw`` that no VARIANT can take."""
+def unreadable(responses: DataFrame, raw: str, carry: Sequence[str] = ()) -> DataFrame:
+    """(carry, entry): objects of the array column ``raw`` that no VARIANT takes.
+
+    They are beyond its size, or have one member twice.
+    """
     each = responses.select(*carry, F.explode(raw).alias("entry"))
     return each.where(F.ltrim("entry").startswith("{") & F.try_parse_json("entry").isNull())
 

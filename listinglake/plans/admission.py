@@ -34,7 +34,7 @@ from listinglake.session import configure, store
 
 ROWS, IDS, KEY_PAIRS, FILTER = "kept/rows", "kept/ids", "kept/pairs", "kept/filter"
 _SIDES = {"id": IDS, "pair": KEY_PAIRS}
-BUCKETS = 64
+BUCKETS = 32
 LAYERS = 8
 
 

@@ -109,10 +109,10 @@ def collect(responses: DataFrame, max_pages: int | None = None) -> Collected:
     whole = lookup_join(responses, failed, "request_seq", "inner").select(
         "request_seq", "source", "reason", "body"
     )
-    large = boards.too_large(used, "raw", ["request_seq", "source"]).select(
-        "request_seq", "source", F.lit("entry too large").alias("reason"), F.col("entry").alias("body")
+    lost = boards.unreadable(used, "raw", ["request_seq", "source"]).select(
+        "request_seq", "source", F.lit("unreadable entry").alias("reason"), F.col("entry").alias("body")
     )
-    return Collected(kept.drop("request_seq", "position"), attempts, whole.unionByName(large))
+    return Collected(kept.drop("request_seq", "position"), attempts, whole.unionByName(lost))
 
 
 def collect_into(

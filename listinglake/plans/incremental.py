@@ -34,7 +34,7 @@ from listinglake.operators.skew import lookup_join
 from listinglake.session import configure, store
 
 WINNERS, PAIRS = "silver/winners", "silver/pairs"
-BUCKETS = 64
+BUCKETS = 32
 _SILVER = [name for name, _ in schemas.fields(schemas.SILVER)]
 _PAIR = ["title", "company_name", "publication_date", "id"]
 

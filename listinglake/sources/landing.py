@@ -105,7 +105,8 @@ def listings_of(entries: DataFrame, names: Sequence[str] = schemas.LISTING_FIELD
 def quarantine_of(entries: DataFrame) -> DataFrame:
     """``file``, ``reason`` and text of what gives no listing because of its shape.
 
-    Documents without a listing array, and single objects too large for a VARIANT.
+    Documents without a listing array, and single objects that no VARIANT takes: beyond its
+    size, or with one member twice.
     """
     valid = F.get_json_object("text", "$").isNotNull()
     foreign = entries.where("NOT whole").select(
@@ -115,7 +116,7 @@ def quarantine_of(entries: DataFrame) -> DataFrame:
     )
     large = entries.where(F.ltrim("entry").startswith("{") & F.try_parse_json("entry").isNull())
     return foreign.unionByName(
-        large.select("file", F.lit("entry too large").alias("reason"), F.col("entry").alias("text"))
+        large.select("file", F.lit("unreadable entry").alias("reason"), F.col("entry").alias("text"))
     )
 
 

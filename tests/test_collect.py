@@ -184,3 +184,13 @@ def test_request_expansion(frame):
         "backend": [{"count": "100", "tag": "backend"}],
         "qa": [{"count": "100", "tag": "qa"}],
     }
+
+
+def test_an_entry_no_variant_takes_is_rejected(frame):
+    """Such an entry costs itself, is reported, and its neighbours count."""
+    twice = '{"id":9,"id":10,"title":"data"}'
+    body = '{"jobs": [' + json.dumps(REMOTIVE) + ", " + twice + ", 3, null]}"
+    found = collect(frame([response(1, "remotive", body), response(2, "jobicy", "oops")], RESPONSES))
+    assert [r.title for r in found.listings.collect()] == ["Data Engineer"]
+    rejected = {(r.request_seq, r.reason): len(r.body) for r in found.rejected.collect()}
+    assert rejected == {(1, "unreadable entry"): len(twice), (2, "not valid JSON"): 4}

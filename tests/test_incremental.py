@@ -1,4 +1,6 @@
+import json
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
@@ -7,7 +9,8 @@ from pyspark.sql import functions as F
 from listinglake import publication
 from listinglake.operators import bloom, silver
 from listinglake.operators.arrival import first_arrivals
-from listinglake.plans import admission, incremental
+from listinglake.plans import admission, incremental, ingest
+from listinglake.sources import landing, resolve
 
 LISTING = "id string, title string, company_name string, category string, publication_date string"
 
@@ -190,3 +193,39 @@ def test_a_filter_never_rules_out_its_keys(spark):
         assert hits >= {None, *range(3, 9000, 3)}
         assert len(hits) - 3000 < alarms * 6000
     assert bloom.marked(rows, keys.limit(0), ["k", "s"]).where("_maybe").count() == 0
+
+
+# --- responses to silver ----------------------------------------------------------------------
+
+
+def test_captures_go_from_responses_to_the_star(spark, tmp_path):
+    root = str(tmp_path / "root")
+
+    def landed(name, *jobs):
+        folder = tmp_path / name
+        folder.mkdir()
+        rows = [
+            {"request_seq": k, "source": "remotive", "run": "r", "query_category": "data", "body": json.dumps({"jobs": [job]})}
+            for k, job in enumerate(jobs)
+        ]
+        (folder / "a.json").write_text("\n".join(map(json.dumps, rows)))
+        return str(folder)
+
+    def job(key, title, company, day):
+        return {"id": key, "title": title, "company_name": company, "publication_date": f"2026-01-{day:02d}"}
+
+    def served():
+        gold = resolve.vacancies(spark, f"{root}/{ingest.LAKE}/gold").frame
+        return sorted((r.title, r.company_name, str(r.publication_date)) for r in gold.collect())
+
+    one = landed("one", job(1, "Data A", "Acme", 1), job(2, "data a", "ACME", 2), job(3, "Cook", "Acme", 1))
+    first = ingest.ingest(spark, one, root, datetime(2026, 1, 1))
+    assert (first.stamp, first.merged.changed, first.rows["gold/fct_vacancies"]) == ("20260101_000000", 1, 1)
+    two = landed("two", job(1, "Data A", "Acme", 9), job(4, "Python", None, 3))
+    for again in range(2):
+        done = ingest.ingest(spark, two, root, datetime(2026, 1, 2))
+        assert done.merged.changed == (0 if again else 2)
+        assert served() == [("Data A", "Acme", "2026-01-09"), ("Python", "Unknown", "2026-01-03")]
+    bronze = landing.read_bronze(spark, f"{root}/{ingest.BRONZE}")
+    assert sorted(r.capture_stamp for r in bronze.select("capture_stamp").distinct().collect()) == [
+        "20260101_000000", "20260102_000000"]
