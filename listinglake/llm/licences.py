@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listinglake.llm import words
-from listinglake.llm.tables import query, table
+from listinglake.llm.tables import fitting_sample, query, table
 
 BUCKETS = 1 << 12
 BACKGROUND = 6_000
-#: Documents sampled for background, and paragraphs taken from each.
-SAMPLED_DOCUMENTS, FROM_EACH = 2_000, 3
+#: Documents sampled for background, paragraphs taken from each and characters of those.
+SAMPLED_DOCUMENTS, FROM_EACH, FROM_PARAGRAPH = 2_000, 3, 2_000
 COPIES = 60
 EPOCHS = 40
 FALSE_RATE = 0.001
@@ -403,7 +403,7 @@ def _background(batches):
                 mine = np.flatnonzero(row == number)
                 order = np.argsort(words.mix(start[mine].astype(np.uint64)), kind="stable")
                 picked = [body[start[k] : stop[k]].decode() for k in mine[order[:FROM_EACH]]]
-                yield pa.RecordBatch.from_pydict({"text": [p[:2000] for p in picked]})
+                yield pa.RecordBatch.from_pydict({"text": [p[:FROM_PARAGRAPH] for p in picked]})
 
 
 def _fit_task(batches):
@@ -419,10 +419,8 @@ def _fit_task(batches):
 
 def train(documents: DataFrame) -> np.ndarray:
     """The model, from the notices and a bounded background sample of ``documents``."""
-    share = min(1.0, SAMPLED_DOCUMENTS / max(documents.count(), 1))
     rows = (
-        documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-        .where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+        fitting_sample(documents, SAMPLED_DOCUMENTS)
         .select("text")
         .mapInArrow(_background, "text string")
         .repartition(1)

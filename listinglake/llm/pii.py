@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglake.llm.tables import query, table
+from listinglake.llm.tables import fitting_sample, query, table
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = 0  # label of no entity; kinds are 1 to 4
@@ -194,13 +194,12 @@ def nodes(documents: list[tuple[list[Token], list[tuple[int, int, int]], str]])
         for token in tokens:
             while at < len(base) and base[at][2] <= token.start:
                 at += 1
-            label = NONE
-            for start, kind, end in base[at:]:
-                if start >= token.end:
-                    break
-                if end > token.start:
-                    label = kind + 1
+            label, near = NONE, at
+            while near < len(base) and base[near][0] < token.end:
+                if base[near][2] > token.start:
+                    label = base[near][1] + 1
                     break
+                near += 1
             document.append(number)
             features.append(token.features)
             seen.append(label)
@@ -402,12 +401,8 @@ def _learn(batches):
 
 def train(documents: DataFrame, size: int = TRAIN_DOCUMENTS) -> Weights:
     """Weights from a sample of about ``size`` documents; at most ``SLOTS * LABELS`` numbers."""
-    share = min(1.0, size / max(documents.count(), 1))
-    key = F.xxhash64("doc_id")
     rows = (
-        documents.select("doc_id", "text")
-        .where(F.pmod(key, F.lit(1 << 30)) < int(share * (1 << 30)))
-        .select(key.alias("key"), "text")
+        fitting_sample(documents, size)
         .where(F.col("text").rlike("[0-9@]"))
         .select("text")
         .mapInArrow(_sample_nodes, ", ".join(f"{name} array<bigint>" for name in _SAMPLE.names))

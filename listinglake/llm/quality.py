@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listinglake.llm import words
-from listinglake.llm.tables import query, table
+from listinglake.llm.tables import in_share, query, table
 
 BUCKETS = 1 << 18
 SCALE = 20.0
@@ -128,12 +128,15 @@ def train(
         .withColumn("key", F.xxhash64("doc_id"))
     )
     share = min(1.0, rows / max(usable.count(), 1))
-    # Hash order is random order, so this keeps about `rows` rows at any input size.
-    sample = usable.where(F.pmod("key", F.lit(1 << 30)) < int(share * (1 << 30)))
+    # Hash order is random order, so this keeps about `rows` ids at any input size.
+    sample = usable.where(in_share(F.col("key"), share)).drop("key")
+    labelled = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").where("text IS NOT NULL")
+    # An id can have many rows: they are drawn in turn, and equal ones count once.
+    share = min(1.0, rows / max(labelled.select("doc_id").count(), 1))
+    drawn = labelled.withColumn("key", F.xxhash64("doc_id", "text")).where(in_share(F.col("key"), share))
     examples = (
-        documents.select("doc_id", "text")
-        .join(F.broadcast(sample), "doc_id")
-        .select("key", "label", "text")
+        drawn.groupBy("key")
+        .agg(F.first("label").alias("label"), F.first("text").alias("text"))
         .mapInArrow(_extract, "key bigint, label double, slots array<int>, counts array<int>")
     )
     learned = (

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import listinglake
 from listinglake.session import configure as configure_session
@@ -45,3 +46,22 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def in_share(key: Column, share: float) -> Column:
+    """Whether a row is in a sample of that share, by a hash of it."""
+    return F.pmod(key, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+
+
+def fitting_sample(documents: DataFrame, rows: int) -> DataFrame:
+    """(doc_id, text) of about ``rows`` rows at most, for fitting a model.
+
+    Rows without id or text take no part. The hash is of id and text together, and equal rows
+    count once, so neither one id nor one row that is repeated can exceed the bound. Equal
+    rows collapse before the shuffle. The same rows are drawn in every run.
+    """
+    whole = documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    share = min(1.0, rows / max(whole.select("doc_id").count(), 1))
+    key = F.xxhash64("doc_id", "text")
+    picked = whole.withColumn("_key", key).where(in_share(F.col("_key"), share))
+    return picked.groupBy("_key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")).drop("_key")
