@@ -22,7 +22,10 @@ hot windows salted. A match group is one document, item and diagonal, so it is n
 than the item.
 
 Items of ``SHORTEST`` to ``WINDOW - 1`` tokens form one window of their own length; shorter
-ones, null and empty ones match nothing. Null and empty texts match nothing. Rows of null
+ones, null and empty ones match nothing. A few common words ("What is the capital") also stand
+in texts that have never seen the item, so an item of fewer than ``CONDEMNING`` words makes a
+document contaminated only as a whole verbatim copy that holds ``TELLING`` words or more which are
+neither numbers nor function words (``COMMON``); else it is reported and nothing more. Null and empty texts match nothing. Rows of null
 id are judged like others; text in capitals or in lower case shows no names, so when it is
 filled anew, what an item says around its names must carry the coverage; repeated rows get the same verdict each; rows of one id with
 different texts are judged apart. Items with equal texts all match. With an empty benchmark
@@ -52,6 +55,8 @@ from listinglake.session import store
 
 WINDOW = 8
 SHORTEST = 4
+#: Words from which an item condemns by its windows; a shorter one needs so many telling words.
+CONDEMNING, TELLING = 8, 3
 COVERAGE = 0.5
 FILTER_BITS = 1 << 24
 #: Bytes of white space and symbols that may part a number from its unit.
@@ -63,6 +68,15 @@ UNITS = (
     "year years l ml liter liters litre litres gallon gallons cup cups dollar dollars cent "
     "cents euro euros pound pounds usd eur percent degree degrees mph kmh"
 ).split()
+#: Function words that say nothing about where a few words come from.
+COMMON = (
+    "a an the of in on at to for from by with and or not no is are was were be been do does did "
+    "has have had can could will would should may might must it its this that these those there "
+    "i you he she we they his her our their your my what which who whom whose when where why how "
+    "many much more most some any all each one two if then than as so but about into over after "
+    "before between find give name say tell choose following true false der die das und ist le la "
+    "les un une et est de des du el los las y es que"
+).split()
 
 _DIGITS = bytes(range(48, 58))
 _SYMBOLS = bytes(
@@ -79,13 +93,13 @@ _LITERAL = np.uint64(0x9D39247E33776D41)
 TEMPLATE, LITERAL = 0, 1
 
 
-def _unit_hashes() -> np.ndarray:
-    body = np.frombuffer("".join(UNITS).encode(), dtype=np.uint8)
-    bounds = np.concatenate([[0], np.cumsum([len(x) for x in UNITS])])
+def _word_hashes(listed: list[str]) -> np.ndarray:
+    body = np.frombuffer("".join(listed).encode(), dtype=np.uint8)
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in listed])])
     return np.sort(words.words(words.Chunk(0, body, bounds), _CLASSES).hash)
 
 
-_UNIT_HASHES = _unit_hashes()
+_UNIT_HASHES, _COMMON_HASHES = _word_hashes(UNITS), _word_hashes(COMMON)
 
 
 def folded(column: pa.Array) -> Iterator[tuple[words.Chunk, words.Chunk]]:
@@ -188,11 +202,17 @@ def _slots_of(start: np.ndarray, slot: np.ndarray, size: int) -> pa.Array:
 
 
 def _item_windows(batches):
-    """(item_id, text) to (item_id, form, at, word_at, size, n_windows, window, item_slots)."""
+    """(item_id, text) to (item_id, form, at, word_at, size, n_words, n_telling, n_windows, window, item_slots)."""
     for batch in batches:
         ids = batch.column("item_id")
         for chunk, lower in folded(batch.column("text")):
-            for form, (row, token, slot, word) in enumerate(forms(chunk, lower)):
+            both = forms(chunk, lower)
+            own = both[LITERAL][0]
+            found = words.words(lower, _CLASSES)
+            telling = (_CLASSES[lower.data[found.start]] != 1) & ~np.isin(found.hash, _COMMON_HASHES)
+            n_words = np.bincount(own, minlength=chunk.rows)
+            n_telling = np.bincount(own[telling], minlength=chunk.rows)
+            for form, (row, token, slot, word) in enumerate(both):
                 count = np.bincount(row, minlength=chunk.rows)
                 first = np.cumsum(count) - count
                 for size in range(SHORTEST, WINDOW + 1):
@@ -211,13 +231,15 @@ def _item_windows(batches):
                             pa.array((start - first[owner]).astype(np.int64)),
                             pa.array(word[start].astype(np.int64)),
                             pa.array(np.full(len(start), size, np.int32)),
+                            pa.array(n_words[owner].astype(np.int64)),
+                            pa.array(n_telling[owner].astype(np.int64)),
                             pa.array(number.astype(np.int64)),
                             pa.array(value.view(np.int64)),
                             _slots_of(start, slot, size),
                         ],
                         names=[
-                            *("item_id", "form", "at", "word_at", "size", "n_windows", "window"),
-                            "item_slots",
+                            *("item_id", "form", "at", "word_at", "size", "n_words", "n_telling"),
+                            *("n_windows", "window", "item_slots"),
                         ],
                     )
 
@@ -228,7 +250,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return store(
         benchmark.select("item_id", "text").mapInArrow(
             _item_windows,
-            f"item_id {kind}, form int, at bigint, word_at bigint, size int, n_windows bigint, window bigint,"
+            f"item_id {kind}, form int, at bigint, word_at bigint, size int, n_words bigint, n_telling bigint, n_windows bigint, window bigint,"
             " item_slots array<bigint>",
         ),
         "item-windows",
@@ -307,7 +329,7 @@ def document_windows(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def matches(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """(doc_id, text_key, item_id, coverage, n_slots, n_changed) of contaminated pairs."""
+    """(doc_id, text_key, item_id, coverage, n_slots, n_changed, condemns) of documents that hold an item."""
     items = item_windows(benchmark)
     likely = store(document_windows(documents, items).distinct(), "likely-windows")
     if measured_bytes(items) <= BROADCAST_BYTES:
@@ -324,6 +346,8 @@ def matches(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         )
         .agg(
             F.first("n_windows").alias("n_windows"),
+            F.first("n_words").alias("n_words"),
+            F.first("n_telling").alias("n_telling"),
             F.collect_set("at").alias("covered"),
             F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"),
             F.collect_set(F.col("word_pos") - F.col("word_at")).alias("word_shifts"),
@@ -344,6 +368,8 @@ def matches(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERA
             "form",
             "shift",
             "n_windows",
+            "n_words",
+            "n_telling",
             "fits",
             "word_shifts",
             # Sorted, the places of a phrase that the document repeats are one member of the set.
@@ -353,6 +379,8 @@ def matches(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         )
         .groupBy("doc_id", "text_key", "item_id")
         .agg(
+            F.max("n_words").alias("n_words"),
+            F.max("n_telling").alias("n_telling"),
             F.collect_set(F.when(template & F.col("fits"), F.col("covered"))).alias("filled"),
             F.collect_set(F.when(template & ~F.col("fits"), F.col("word_shifts"))).alias("broken"),
             F.collect_set(F.when(literal, F.struct("shift", "covered"))).alias("verbatim"),
@@ -371,27 +399,29 @@ def matches(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     # Where the templates show slots filled inconsistently, the words between them are no copy.
     verbatim = F.filter("verbatim", lambda x: ~F.array_contains("broken", x["shift"]))
     verbatim = F.transform(verbatim, lambda x: x["covered"])
+    copied = part(verbatim, "n_literals")
+    whole = (F.col("n_telling") >= TELLING) & (copied == 1.0)
     return grouped.select(
         "doc_id",
         "text_key",
         "item_id",
-        F.greatest(part(F.col("filled"), "n_templates"), part(verbatim, "n_literals")).alias(
-            "coverage"
-        ),
+        F.greatest(part(F.col("filled"), "n_templates"), copied).alias("coverage"),
+        ((F.col("n_words") >= CONDEMNING) | whole).alias("condemns"),
         F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
         F.coalesce("n_changed", F.lit(0)).alias("n_changed"),
     ).where(F.col("coverage") >= coverage)
 
 
 def _by_document(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each contaminated (doc_id, text_key), stored."""
+    """One row for each (doc_id, text_key) that holds an item, stored."""
     return store(
         matches(documents, benchmark)
         .groupBy("doc_id", "text_key")
         .agg(
             F.sort_array(F.collect_set("item_id")).alias("items"),
             F.max("coverage").alias("coverage"),
-            F.max(F.col("n_changed") > 0).alias("reparameterised"),
+            F.max((F.col("n_changed") > 0) & F.col("condemns")).alias("reparameterised"),
+            F.max("condemns").alias("contaminated"),
         ),
         "contaminated",
     )
@@ -414,7 +444,7 @@ def judge(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     own = _keys(documents.select("doc_id", "text")).drop("text")
     return lookup_join(own, found, ["_no_id", "_id", "_text"], "left").select(
         "doc_id",
-        F.col("items").isNotNull().alias("contaminated"),
+        F.coalesce("contaminated", F.lit(False)).alias("contaminated"),
         F.coalesce(F.size("items"), F.lit(0)).alias("n_items"),
         F.coalesce(F.array_join(F.col("items").cast("array<string>"), ","), F.lit("")).alias(
             "items"
@@ -425,8 +455,9 @@ def judge(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents``, as they are, that hold no benchmark item."""
-    found = _keys(_by_document(documents, benchmark), "text_key").select("_no_id", "_id", "_text")
+    """The rows of ``documents``, as they are, that no benchmark item condemns."""
+    condemned = _by_document(documents, benchmark).where("contaminated")
+    found = _keys(condemned, "text_key").select("_no_id", "_id", "_text")
     # The row travels as one column, so no name of it can clash with the keys.
     packed = _keys(documents.select(F.struct("*").alias("row"), "doc_id", "text"))
     return (

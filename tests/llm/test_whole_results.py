@@ -76,6 +76,22 @@ def test_verbatim_copies_of_numbers_and_in_any_case(spark, documents):
     assert not any(found[number].contaminated for number in (12, 13, 14))
 
 
+def test_short_items_are_reported_but_condemn_nothing(documents, spark):
+    texts = [
+        "People often ask what is the capital of a firm and how it is raised over the years",
+        "Some think what is 7, 8 and so on matters little to those who count",
+        "They asked: What is the capital of the smallest island state in the world? Nobody knew.",
+    ]
+    items = ["What is the capital", "What is 3 + 4", "What is the capital of the smallest island state in the world?"]
+    found = judged(documents, spark, texts, items)
+    assert [found[k].contaminated for k in range(3)] == [False, False, True]
+    assert (found[0]["items"], found[2]["items"]) == ("0", "0,2")
+    assert not found[1].reparameterised
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    kept = decontam.keep_clean(documents(list(enumerate(texts))), benchmark)
+    assert sorted(row.doc_id for row in kept.collect()) == [0, 1]
+
+
 # --- near duplicates ------------------------------------------------------------------------
 
 
