@@ -23,7 +23,8 @@ def denormalise(
 ) -> DataFrame:
     """Fact with both names, every fact row kept."""
     named = lookup_join(fact, company, "company_id", "left", broadcast_bytes)
-    named = lookup_join(named, location, "location_id", "left", broadcast_bytes)
+    # Hot locations are counted in the fact itself, not in the first join run once more.
+    named = lookup_join(named, location, "location_id", "left", broadcast_bytes, counted=fact)
     return named.select(*EXPORT_COLUMNS)
 
 

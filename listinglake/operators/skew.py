@@ -123,13 +123,16 @@ def lookup_join(
     how: str = "left",
     limit: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, whose ``keys`` are unique.
 
     The right side is broadcast when its measured size is at most ``limit`` bytes.
-    Beyond that the join shuffles, with the hot keys of ``left`` salted.
+    Beyond that the join shuffles, with the hot keys of ``left`` salted. They are counted in
+    ``counted``, a cheaper frame with the same keys, when one is given.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if measured_bytes(right) <= limit:
         return left.join(F.broadcast(right), keys, how)
-    return spread_join(left, right, keys, how, hot_keys(left, keys, rows=hot_rows))
+    hot = hot_keys(left if counted is None else counted, keys, rows=hot_rows)
+    return spread_join(left, right, keys, how, hot)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from listinglake import schemas
 from listinglake.functions.text import fold
-from listinglake.operators import members
+from listinglake.operators import heavy, members
 from listinglake.plans import admission, incremental, refresh
 from listinglake.plans.catalog.dedupe import EVENT_EDGES, GREEDY
 from listinglake.plans.catalog.gold import LANDED_LINES, ORDER_ROWS, landed_lines, order_listings, order_star
@@ -312,3 +312,33 @@ def bronze_compaction(spark, tables):
         if number == 1:
             compaction.compact(spark, folder, target_bytes=1 << 20)
     return compaction.read_captures(spark, folder).select("id", "title", "description", "capture_stamp")
+
+
+@query(
+    "top_bounded",
+    """
+    (SELECT 'type' AS kind, event_type AS label, count(*) AS count FROM events
+     WHERE trim(event_type) <> '' GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 3)
+    UNION ALL
+    (SELECT 'part', CAST(l_partkey AS VARCHAR), count(*) FROM lineitem
+     GROUP BY l_partkey ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR) LIMIT 10)
+    UNION ALL
+    (SELECT 'day', label, count(*) FROM (
+        SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'often' ELSE CAST(l_orderkey AS VARCHAR) || '-'
+            || CAST(l_linenumber AS VARCHAR) END AS label FROM lineitem)
+     GROUP BY label ORDER BY count(*) DESC, label LIMIT 1)
+    """,
+)
+def top_bounded(spark, tables):
+    """Top values of columns with few values, with very many about alike, and with one that stands out."""
+    lines = table(spark, tables, "lineitem")
+    skewed = F.when(F.col("l_orderkey") % 3 == 0, "often").otherwise(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    )
+    found = [
+        ("type", heavy.top_values(table(spark, tables, "events"), "event_type", 3)),
+        ("part", heavy.top_values(lines.select(F.col("l_partkey").cast("string").alias("part")), "part", 10)),
+        ("day", heavy.top_values(lines.select(skewed.alias("label")), "label", 1)),
+    ]
+    named = [top.frame.select(F.lit(kind).alias("kind"), "label", "count") for kind, top in found]
+    return named[0].unionByName(named[1]).unionByName(named[2])

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from listinglake import schemas
-from listinglake.operators import members, requests
+from listinglake.operators import heavy, members, requests, serving
 from listinglake.sinks import bronze, compaction
 from listinglake.sources import drift
 from listinglake.streaming import pages
@@ -104,6 +104,30 @@ def test_figures_expand_no_row(spark):
     assert members.figures(fact.limit(0), {"companies": "c"}).first().asDict() == {"vacancies": 0, "companies": 0}
 
 
+# --- most frequent values ---------------------------------------------------------------------
+
+
+def test_top_values_are_exact_and_proven_where_they_stand_out(spark):
+    rng = random.Random(9)
+    values = [rng.choice(["a", "b", "b", "c", "c", "c"]) for _ in range(3000)] + [f"x{k}" for k in range(30_000)]
+    values += ["", " ", None] * 5000
+    rng.shuffle(values)
+    frame = spark.createDataFrame([(v,) for v in values], "v string").repartition(8)
+    wanted = [(r.label, r["count"]) for r in serving.value_counts(frame, "v", 3).collect()]
+    top = heavy.top_values(frame, "v", 3)
+    assert top.proven and [(r.label, r["count"]) for r in top.frame.collect()] == wanted
+    # Far fewer tracked items than values: the bound is too wide for the third of them.
+    few = heavy.top_values(frame, "v", 3, tracked=64)
+    assert not few.proven and [(r.label, r["count"]) for r in few.frame.collect()] == wanted
+    alike = heavy.top_values(frame, "v", 50)
+    assert not alike.proven
+    assert [tuple(r) for r in alike.frame.collect()] == [tuple(r) for r in serving.value_counts(frame, "v", 50).collect()]
+    some = frame.where("v < 'd'")
+    small = heavy.top_values(some, "v", 9)
+    assert small.proven and [r.label for r in small.frame.collect()] == ["c", "b", "a"]
+    assert heavy.top_values(frame.limit(0), "v", 3).frame.count() == 0
+
+
 # --- compaction -------------------------------------------------------------------------------
 
 
