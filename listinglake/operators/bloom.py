@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listinglake.operators.skew import BROADCAST_BYTES, hot_keys, measured_bytes, spread_join
+
 #: Bits of a filter per key and bits that each key sets: about 2 false alarms in 100.
 BITS, PROBES = 10, 4
 #: Bits of one block: what ``bitmap_construct_agg`` builds.
@@ -70,3 +72,24 @@ def marked(frame: DataFrame, keys: DataFrame, on: list[str], most_blocks: int =
     bits = filter_of(keys.select(hashed.alias("hash")), blocks).toDF("_block", "_bits")
     asked = frame.withColumn("_block", block_of(hashed, blocks)).join(F.broadcast(bits), "_block", "left")
     return asked.withColumn("_maybe", held(F.col("_bits"), hashed)).drop("_block", "_bits")
+
+
+def semi_join(frame: DataFrame, keys: DataFrame, on: list[str], small: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows of ``frame`` whose key is among the stored ``keys``.
+
+    Keys of at most ``small`` measured bytes are broadcast. Beyond that the rows a bounded
+    filter cannot rule out move, and no others.
+    """
+    if measured_bytes(keys) <= small:
+        return frame.join(F.broadcast(keys), on, "left_semi")
+    likely = marked(frame, keys, on).where("_maybe").drop("_maybe")
+    return spread_join(likely, keys, on, "left_semi", hot_keys(frame, on))
+
+
+def anti_join(frame: DataFrame, keys: DataFrame, on: list[str], small: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows of ``frame`` whose key is not among the stored ``keys``; see :func:`semi_join`."""
+    if measured_bytes(keys) <= small:
+        return frame.join(F.broadcast(keys), on, "left_anti")
+    likely = marked(frame, keys, on)
+    rest = spread_join(likely.where("_maybe"), keys, on, "left_anti", hot_keys(frame, on))
+    return likely.where("NOT _maybe").unionByName(rest).drop("_maybe")

@@ -229,3 +229,12 @@ def test_captures_go_from_responses_to_the_star(spark, tmp_path):
     bronze = landing.read_bronze(spark, f"{root}/{ingest.BRONZE}")
     assert sorted(r.capture_stamp for r in bronze.select("capture_stamp").distinct().collect()) == [
         "20260101_000000", "20260102_000000"]
+
+
+def test_joins_behind_a_filter_equal_plain_ones(spark):
+    keys = spark.range(0, 900, 3).select((F.col("id") % 200).alias("k"), F.lit("x").alias("s")).distinct()
+    rows = spark.range(3000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 400).alias("k"), F.lit("x").alias("s"), "id")
+    for small in (0, 1 << 20):
+        for join, how in ((bloom.semi_join, "left_semi"), (bloom.anti_join, "left_anti")):
+            found = join(rows, keys, ["k", "s"], small)
+            assert rows_of(found) == rows_of(rows.join(keys, ["k", "s"], how))
