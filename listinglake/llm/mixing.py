@@ -157,25 +157,20 @@ def unmet(fitted: DataFrame, goal: DataFrame, tolerance: float = TOLERANCE) -> D
 
 
 class _Factors:
-    """(value, share, factor, distance) of each dimension, stored together once a round."""
+    """One stored table per dimension: (value, share, factor, distance)."""
 
     def __init__(self, cells: DataFrame, goal: DataFrame) -> None:
         self.cells = cells
-        start = goal.select("dimension", "value", "share", F.lit(1.0).alias("factor"), F.lit(0.0).alias("distance"))
-        self._store(start)
+        self.tables, self.hot = {}, {}
         sizes = {row[0]: row[1] for row in goal.groupBy("dimension").count().collect()}
-        self.hot = {
-            name: None if sizes.get(name, 0) <= FEW_VALUES else (hot_keys(cells, [name]),) for name in DIMENSIONS
-        }
-
-    def _store(self, factors: DataFrame) -> None:
-        self.stored = store(factors, "factors")
-        self.tables = {
-            name: self.stored.where(F.col("dimension") == name)
-            .drop("dimension")
-            .withColumnRenamed("value", name)
-            for name in DIMENSIONS
-        }
+        for name in DIMENSIONS:
+            mine = goal.where(F.col("dimension") == name)
+            start = mine.select(
+                F.col("value").alias(name), "share", F.lit(1.0).alias("factor"), F.lit(0.0).alias("distance")
+            )
+            self.tables[name] = store(start, "factors")
+            few = sizes.get(name, 0) <= FEW_VALUES
+            self.hot[name] = None if few else (hot_keys(cells, [name]),)
 
     def _joined(self, frame: DataFrame, name: str) -> DataFrame:
         """``frame`` with ``weight`` times the factor; cells of values without a target go."""
@@ -197,30 +192,29 @@ class _Factors:
         """The factors that meet the targets of ``name`` under the others' factors.
 
         A ``power`` above 1 takes the step further than that. ``distance`` is how far the share
-        was away before.
+        was away before. Each step is stored: plans that held several would grow with them.
         """
         others = tuple(d for d in DIMENSIONS if d != name)
         have = self.weighed(others).groupBy(name).agg(F.sum("weight").alias("have"))
+        if self.hot[name] is None:
+            have = F.broadcast(have)
         step = F.col("share") / F.col("have")
         if power != 1.0:
             step = F.when(step > 0, F.col("factor") * F.pow(step / F.col("factor"), F.lit(power))).otherwise(0.0)
-        self.tables[name] = self.tables[name].join(have, name, "left").select(
+        met = self.tables[name].join(have, name, "left").select(
             name,
             "share",
             F.when(F.col("have") > 0, step).otherwise(0.0).alias("factor"),
             F.abs(F.coalesce("have", F.lit(0.0)) * F.col("factor") - F.col("share")).alias("distance"),
         )
+        self.tables[name] = store(met, "factors")
 
     def round(self, power: float = 1.0) -> float:
         """Fit one dimension after the other; gives the largest distance met on the way."""
         for name in DIMENSIONS:
             self._fit(name, power)
-        each = [
-            table.select(F.lit(name).alias("dimension"), F.col(name).alias("value"), "share", "factor", "distance")
-            for name, table in self.tables.items()
-        ]
-        self._store(each[0].union(each[1]).union(each[2]))
-        return self.stored.agg(F.max("distance")).first()[0] or 0.0
+        each = [table.select("distance") for table in self.tables.values()]
+        return each[0].union(each[1]).union(each[2]).agg(F.max("distance")).first()[0] or 0.0
 
 
 def rake(cells: DataFrame, goal: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:

@@ -199,11 +199,8 @@ def _class_sets(
         .join(classes.select("same", F.col("rep").alias("doc_id")), "same"),
         "wanted",
     )
-    read = (
-        documents.select("doc_id", "text")
-        .join(wanted.select("doc_id"), "doc_id", "left_semi")
-        .mapInArrow(_set_reader(size), "same binary, shingles array<bigint>")
-    )
+    asked = bloom.semi_join(documents.select("doc_id", "text"), wanted.select("doc_id"), ["doc_id"], SMALL)
+    read = asked.select("text").mapInArrow(_set_reader(size), "same binary, shingles array<bigint>")
     return store(read.dropDuplicates(["same"]).join(wanted.drop("doc_id"), "same"), "shingle-sets")
 
 
@@ -531,7 +528,7 @@ def keep_first(documents: DataFrame) -> DataFrame:
         verdict.select("doc_id", F.col("text_key").alias("_text"), group.alias("_group"), "kept"),
         "verdicts",
     )
-    dropped = verdict.where(~F.col("kept")).select("doc_id", "_text").distinct()
+    dropped = store(verdict.where(~F.col("kept")).select("doc_id", "_text").distinct(), "dropped")
     several = (
         verdict.where("kept")
         .groupBy("doc_id", "_group")
@@ -544,9 +541,8 @@ def keep_first(documents: DataFrame) -> DataFrame:
         "repeated",
     )
     # The row travels as one column, so no name of it can clash.
-    left = documents.select(
-        F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("_text")
-    ).join(dropped, ["doc_id", "_text"], "left_anti")
+    keyed = documents.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("_text"))
+    left = bloom.anti_join(keyed, dropped, ["doc_id", "_text"], SMALL)
     if repeated.isEmpty():
         return left.select("row.*")
     again = left.join(repeated, ["doc_id", "_text"])
