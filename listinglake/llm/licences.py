@@ -403,7 +403,11 @@ def _background(batches):
                 mine = np.flatnonzero(row == number)
                 order = np.argsort(words.mix(start[mine].astype(np.uint64)), kind="stable")
                 picked = [body[start[k] : stop[k]].decode() for k in mine[order[:FROM_EACH]]]
-                yield pa.RecordBatch.from_pydict({"text": [p[:FROM_PARAGRAPH] for p in picked]})
+                key = batch.column("key")[chunk.first + int(number)].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(picked), pa.int64()), pa.array([p[:FROM_PARAGRAPH] for p in picked])],
+                    names=["key", "text"],
+                )
 
 
 def _fit_task(batches):
@@ -421,8 +425,9 @@ def train(documents: DataFrame) -> np.ndarray:
     """The model, from the notices and a bounded background sample of ``documents``."""
     rows = (
         fitting_sample(documents, SAMPLED_DOCUMENTS)
+        .mapInArrow(_background, "key bigint, text string")
+        .distinct()
         .select("text")
-        .mapInArrow(_background, "text string")
         .repartition(1)
         .mapInArrow(_fit_task, "slot int, weights array<double>")
         .collect()

@@ -347,25 +347,27 @@ def search(texts: list[str | None], weights: Weights) -> list[tuple[list, list]]
 
 def _sample_nodes(batches):
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            tokens = candidates(text or "")
+        for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            tokens = candidates(text)
             if not tokens:
                 continue
             found = nodes([(tokens, base_spans(text), text)])
             yield pa.RecordBatch.from_pydict(
                 {
+                    "key": [key],
                     "features": [found.features.ravel().tolist()],
                     "seen": [found.seen.tolist()],
                     "chained": [found.chained.astype(np.int64).tolist()],
                     "members": [found.group.tolist()],
                 },
-                schema=_SAMPLE,
+                schema=_KEYED,
             )
 
 
 _SAMPLE = pa.schema(
     [(name, pa.list_(pa.int64())) for name in ("features", "seen", "chained", "members")]
 )
+_KEYED = pa.schema([("key", pa.int64()), *_SAMPLE])
 
 
 def _learn(batches):
@@ -404,8 +406,9 @@ def train(documents: DataFrame, size: int = TRAIN_DOCUMENTS) -> Weights:
     rows = (
         fitting_sample(documents, size)
         .where(F.col("text").rlike("[0-9@]"))
-        .select("text")
-        .mapInArrow(_sample_nodes, ", ".join(f"{name} array<bigint>" for name in _SAMPLE.names))
+        .mapInArrow(_sample_nodes, "key bigint, " + ", ".join(f"{name} array<bigint>" for name in _SAMPLE.names))
+        .dropDuplicates(["key"])
+        .drop("key")
         .repartition(1)
         # One order of the sample in every run.
         .sortWithinPartitions(*_SAMPLE.names)

@@ -134,13 +134,12 @@ def train(
     # An id can have many rows: they are drawn in turn, and equal ones count once.
     share = min(1.0, rows / max(labelled.select("doc_id").count(), 1))
     drawn = labelled.withColumn("key", F.xxhash64("doc_id", "text")).where(in_share(F.col("key"), share))
-    examples = (
-        drawn.groupBy("key")
-        .agg(F.first("label").alias("label"), F.first("text").alias("text"))
-        .mapInArrow(_extract, "key bigint, label double, slots array<int>, counts array<int>")
+    examples = drawn.select("key", "label", "text").mapInArrow(
+        _extract, "key bigint, label double, slots array<int>, counts array<int>"
     )
     learned = (
-        examples.repartition(1)
+        examples.dropDuplicates(["key"])
+        .repartition(1)
         .sortWithinPartitions("key")
         .mapInArrow(_train, "slot int, weight double")
         .collect()

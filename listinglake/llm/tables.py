@@ -54,14 +54,14 @@ def in_share(key: Column, share: float) -> Column:
 
 
 def fitting_sample(documents: DataFrame, rows: int) -> DataFrame:
-    """(doc_id, text) of about ``rows`` rows at most, for fitting a model.
+    """(key, text) of a sample for fitting a model: about ``rows`` different rows at most.
 
-    Rows without id or text take no part. The hash is of id and text together, and equal rows
-    count once, so neither one id nor one row that is repeated can exceed the bound. Equal
-    rows collapse before the shuffle. The same rows are drawn in every run.
+    Rows without id or text take no part. The key is a hash of id and text together, so no id
+    that is repeated can exceed the bound. Equal rows share a key: drop its duplicates once the
+    text has become something small, which they do before the shuffle. The same rows are drawn
+    in every run.
     """
     whole = documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     share = min(1.0, rows / max(whole.select("doc_id").count(), 1))
-    key = F.xxhash64("doc_id", "text")
-    picked = whole.withColumn("_key", key).where(in_share(F.col("_key"), share))
-    return picked.groupBy("_key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")).drop("_key")
+    keyed = whole.select(F.xxhash64("doc_id", "text").alias("key"), "text")
+    return keyed.where(in_share(F.col("key"), share))
