@@ -8,7 +8,7 @@ import pytest
 import zstandard
 
 from listinglake.llm import neighbours, warc
-from listinglake.llm.tables import ORACLES, QUERIES
+from listinglake.llm.queries import ORACLES, QUERIES
 
 PAGE = "page_id bigint, url string, html string"
 
@@ -147,7 +147,7 @@ def test_all_queries_are_registered():
     from __spark_entry__ import oracle_sql, queries
 
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(QUERIES) <= set(queries()) and "pipeline" in queries()
     assert set(ORACLES) <= set(oracle_sql())
 
@@ -157,7 +157,7 @@ def test_queries_equal_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     folder = "/root/testdata/sf0.01"
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         connection.sql(f"create view {table} as select * from '{folder}/{table}.parquet'")
     relation = connection.sql(ORACLES[name])
     columns = sorted(relation.columns)
