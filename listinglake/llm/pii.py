@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglake.llm.tables import fitting_sample, query, table
+from listinglake.llm.tables import first_of_key, fitting_sample, query, table
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = 0  # label of no entity; kinds are 1 to 4
@@ -346,7 +346,7 @@ def search(texts: list[str | None], weights: Weights) -> list[tuple[list, list]]
 
 
 def _sample_nodes(batches):
-    for batch in batches:
+    for batch in first_of_key(batches):
         for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
             tokens = candidates(text)
             if not tokens:
@@ -374,7 +374,7 @@ def _learn(batches):
     """One task over the sample: the weights as (part, spot, weight), zeros left out."""
     parts: list[list[np.ndarray]] = [[], [], [], []]
     groups = 0
-    for batch in batches:
+    for batch in first_of_key(batches):
         for row in batch.to_pylist():
             group = np.array(row["members"], np.int64)
             group[group >= 0] += groups
@@ -407,11 +407,9 @@ def train(documents: DataFrame, size: int = TRAIN_DOCUMENTS) -> Weights:
         fitting_sample(documents, size)
         .where(F.col("text").rlike("[0-9@]"))
         .mapInArrow(_sample_nodes, "key bigint, " + ", ".join(f"{name} array<bigint>" for name in _SAMPLE.names))
-        .dropDuplicates(["key"])
-        .drop("key")
         .repartition(1)
         # One order of the sample in every run.
-        .sortWithinPartitions(*_SAMPLE.names)
+        .sortWithinPartitions("key")
         .mapInArrow(_learn, "part int, spot int, weight double")
         .collect()
     )

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listinglake.llm import words
-from listinglake.llm.tables import in_share, query, table
+from listinglake.llm.tables import first_of_key, in_share, query, table
 
 BUCKETS = 1 << 18
 SCALE = 20.0
@@ -60,8 +60,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _extract(batches):
-    """(key, label, text) to (key, label, slots, counts)."""
-    for batch in batches:
+    """(key, label, text) to (key, label, slots, counts); equal rows of a partition come once."""
+    for batch in first_of_key(batches):
         for chunk in words.chunks(batch.column("text")):
             row, slot = grams(chunk)
             both, count = np.unique(row * BUCKETS + slot, return_counts=True)
@@ -102,7 +102,7 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = EPO
 def _train(batches):
     """One task over the sample, in key order: (slot, weight) of all weights but zeros."""
     examples = []
-    for batch in batches:
+    for batch in first_of_key(batches):
         label = batch.column("label").to_numpy(zero_copy_only=False)
         for number in range(batch.num_rows):
             slots = np.asarray(batch.column("slots")[number].values, dtype=np.int64)
@@ -138,8 +138,7 @@ def train(
         _extract, "key bigint, label double, slots array<int>, counts array<int>"
     )
     learned = (
-        examples.dropDuplicates(["key"])
-        .repartition(1)
+        examples.repartition(1)
         .sortWithinPartitions("key")
         .mapInArrow(_train, "slot int, weight double")
         .collect()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,11 +58,22 @@ def fitting_sample(documents: DataFrame, rows: int) -> DataFrame:
     """(key, text) of a sample for fitting a model: about ``rows`` different rows at most.
 
     Rows without id or text take no part. The key is a hash of id and text together, so no id
-    that is repeated can exceed the bound. Equal rows share a key: drop its duplicates once the
-    text has become something small, which they do before the shuffle. The same rows are drawn
-    in every run.
+    that is repeated can exceed the bound. Equal rows share a key: :func:`first_of_key` leaves
+    one of each in a map before the shuffle, and one of all in the task that fits. The same rows
+    are drawn in every run.
     """
     whole = documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     share = min(1.0, rows / max(whole.select("doc_id").count(), 1))
     keyed = whole.select(F.xxhash64("doc_id", "text").alias("key"), "text")
     return keyed.where(in_share(F.col("key"), share))
+
+
+def first_of_key(batches):
+    """Arrow batches without the rows whose ``key`` came before; keeps the keys of one sample."""
+    seen: set[int] = set()
+    for batch in batches:
+        fresh = []
+        for key in batch.column("key").to_pylist():
+            fresh.append(key not in seen)
+            seen.add(key)
+        yield batch.filter(pa.array(fresh, pa.bool_()))
