@@ -8,14 +8,18 @@ As pages arrive, leading pages only become more, so the stop of a run only moves
 that counts once counts for good. State per run is the page awaited next and what waits behind
 it: copies of later pages and which of those lead on. A copy at or before the awaited page is
 given out at once and costs no state.
+
+A batch costs a run a handful of calls to its state, however many copies it brings: one value
+holds the awaited page, the first page that waits and the leading pages as spans of neighbours;
+the copies that wait are appended as one chunk, read again only when their turn has come. Copies
+that were not read never count and are left out before the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -25,49 +29,61 @@ PAGES = "request_seq bigint, run string, page bigint, ok boolean, entries bigint
 USED = "request_seq bigint, run string, page bigint"
 
 
+#: First and last of neighbouring pages, ascending; a gap parts two spans.
+Spans = list[tuple[int, int]]
+
+
+def _with_pages(spans: Spans, pages: set[int]) -> Spans:
+    """``spans`` and ``pages`` together as spans of neighbouring pages."""
+    joined: Spans = []
+    for first, last in sorted([*spans, *((page, page) for page in pages)]):
+        if joined and first <= joined[-1][1] + 1:
+            joined[-1] = (joined[-1][0], max(joined[-1][1], last))
+        else:
+            joined.append((first, last))
+    return joined
+
+
 class _Run(StatefulProcessor):
     """The state of one run."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.awaited = handle.getValueState("awaited", "page bigint")
-        self.leading = handle.getMapState("leading", "page bigint", "leads boolean")
-        self.waiting = handle.getMapState("waiting", "page bigint, request_seq bigint", "waits boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        run = key[0]
-        start = self.awaited.get()[0] if self.awaited.exists() else 1
-        used: list[tuple[int, int]] = []
-        late: list[tuple[int, int]] = []
-        leads: set[int] = set()
-        for batch in rows:
-            read = batch[batch["ok"] & (batch["page"] >= 1)]
-            onward = read[(read["entries"] > 0) & read["has_next"]]
-            leads.update(int(page) for page in onward["page"] if page >= start)
-            for page, request in zip(read["page"], read["request_seq"], strict=True):
-                (used if page <= start else late).append((int(page), int(request)))
-        awaited = start
-        while awaited in leads or self.leading.containsKey((awaited,)):
-            if self.leading.containsKey((awaited,)):
-                self.leading.removeKey((awaited,))
-            awaited += 1
-        for page in leads:
-            if page > awaited:
-                self.leading.updateValue((page,), (True,))
-        if awaited > start:
-            self.awaited.update((awaited,))
-            due = [(int(page), int(request)) for page, request in self.waiting.keys() if page <= awaited]
-            for one in due:
-                self.waiting.removeKey(one)
-            used += due
-        for one in late:
-            if one[0] <= awaited:
-                used.append(one)
-            else:
-                self.waiting.updateValue(one, (True,))
-        if used:
-            yield pd.DataFrame(
-                {"request_seq": [r for _, r in used], "run": run, "page": [p for p, _ in used]}
-            )
+        self.progress = handle.getValueState(
+            "progress", "awaited bigint, waits_from bigint, firsts array<bigint>, lasts array<bigint>"
+        )
+        self.waiting = handle.getListState("waiting", "pages array<bigint>, requests array<bigint>")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = self.progress.get() or (1, None, [], [])
+        start, waits_from = before[0], before[1]
+        spans = list(zip(before[2], before[3], strict=True))
+        copies: list[tuple[int, int]] = []
+        fresh: set[int] = set()
+        for row in rows:
+            copies.append((row.page, row.request_seq))
+            if row.leads and row.page >= start:
+                fresh.add(row.page)
+        # A span that reaches back to the awaited page moves it behind its end.
+        awaited, spans = start, _with_pages(spans, fresh)
+        if spans and spans[0][0] <= awaited:
+            awaited = spans.pop(0)[1] + 1
+        used = [one for one in copies if one[0] <= awaited]
+        late = [one for one in copies if one[0] > awaited]
+        if waits_from is not None and waits_from <= awaited:
+            held = [one for pages, requests in self.waiting.get() for one in zip(pages, requests, strict=True)]
+            used += [one for one in held if one[0] <= awaited]
+            late += [one for one in held if one[0] > awaited]
+            self.waiting.clear()
+            waits_from = None
+        if late:
+            pages, requests = map(list, zip(*late, strict=True))
+            self.waiting.appendValue((pages, requests))
+            waits_from = min(pages) if waits_from is None else min(waits_from, *pages)
+        after = (awaited, waits_from, [first for first, _ in spans], [last for _, last in spans])
+        if after != (start, before[1], list(before[2]), list(before[3])):
+            self.progress.update(after)
+        for page, request in used:
+            yield Row(request_seq=request, run=key[0], page=page)
 
     def close(self) -> None:
         pass
@@ -78,11 +94,12 @@ def used_pages(pages: DataFrame) -> DataFrame:
 
     The run is the key of the state; its store must be the one of ``STATE_STORE``.
     """
-    whole = pages.where("run IS NOT NULL AND page IS NOT NULL AND request_seq IS NOT NULL").fillna(
-        {"ok": False, "entries": 0, "has_next": False}
-    )
-    return whole.groupBy("run").transformWithStateInPandas(
-        statefulProcessor=_Run(), outputStructType=USED, outputMode="Append", timeMode="None"
+    whole = pages.where("run IS NOT NULL AND request_seq IS NOT NULL AND ok AND page >= 1")
+    leads = F.coalesce((F.col("entries") > 0) & F.col("has_next"), F.lit(False))
+    return (
+        whole.select("request_seq", "run", "page", leads.alias("leads"))
+        .groupBy("run")
+        .transformWithState(statefulProcessor=_Run(), outputStructType=USED, outputMode="Append", timeMode="None")
     )
 
 
