@@ -27,7 +27,7 @@ def refresh(
 ) -> dict[str, int]:
     """Rebuild all tables below ``root`` and publish them together; gives rows per table.
 
-    The landing is read once; its raw entries are stored. Every step reads the table the
+    The landing is read once and each entry parsed once; the fields are stored. Every step reads the table the
     step before has written. Nothing is cached: a lost executor costs a re-read, not a
     recomputation of the whole chain. Documents and ids that are set aside become tables
     below ``root``/quarantine. Input without any listing array raises before a table is built.
@@ -35,10 +35,10 @@ def refresh(
     configure(spark)
     landing.require_landing(spark, landing_folder)
     at = landing.Landing(landing_folder)
-    entries = store(landing.opened(landing.documents(spark, at)), "entries")
+    entries = store(landing.parsed(landing.opened(landing.documents(spark, at))), "entries")
     if entries.where("whole").limit(1).isEmpty():
         raise UnusableLandingError(f"no document with a jobs array in {landing_folder}")
-    listings = landing.listings_of(entries)
+    listings = landing.listed(entries)
     aside = {
         "quarantine/documents": landing.quarantine_of(entries),
         "quarantine/rejected_ids": silver.rejected_ids(listings),

@@ -90,16 +90,33 @@ def opened(docs: DataFrame, arrays: bool = False) -> DataFrame:
     )
 
 
+def parsed(entries: DataFrame, names: Sequence[str] = schemas.LISTING_FIELDS) -> DataFrame:
+    """(file, whole, text, entry, job) of :func:`opened` documents, each entry parsed once.
+
+    ``job`` holds the fields of a listing object as text, absent ones null, and is null for what
+    is no object; only then the ``entry`` is kept.
+    """
+    # An object opens with a brace. Its fields come through a generator, below which Spark pushes
+    # no filter: each filter on a field would parse the entry anew.
+    opens = F.ltrim("entry", F.lit(" \t\r\n")).startswith("{")
+    job = F.when(opens, V.opened(F.try_parse_json("entry"), names))
+    kept = [c for c in entries.columns if c != "entry"]
+    once = entries.select(*kept, "entry", F.inline_outer(F.array(F.struct(job.alias("job")))))
+    return once.select(*kept, F.when(F.col("job").isNull(), F.col("entry")).alias("entry"), "job")
+
+
+def listed(rows: DataFrame) -> DataFrame:
+    """One row per listing object of :func:`parsed` entries, every field as text."""
+    return rows.where("job IS NOT NULL").select("job.*", "file")
+
+
 def listings_of(entries: DataFrame, names: Sequence[str] = schemas.LISTING_FIELDS) -> DataFrame:
     """One row per listing object of :func:`opened` documents, every field as text.
 
     Absent fields are null. Empty or absent arrays give no rows and entries that are no
     objects are dropped, without harm to their neighbours.
     """
-    job = F.try_parse_json("entry")
-    return entries.select(job.alias("job"), "file").where(V.is_object(F.col("job"))).select(
-        *[V.field(F.col("job"), name).alias(name) for name in names], "file"
-    )
+    return listed(parsed(entries, names))
 
 
 def quarantine_of(entries: DataFrame) -> DataFrame:
