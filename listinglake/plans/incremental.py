@@ -15,7 +15,9 @@ other parts are kept by name, and both tables become live by one pointer. A capt
 nothing publishes nothing.
 
 The number of parts is fixed when the first capture is merged; :func:`deal_anew` changes it.
-Lists of touched parts are the only thing the driver collects: at most ``buckets`` numbers.
+Lists of touched parts are the only thing the driver collects: at most ``buckets`` numbers. Joins
+broadcast ids up to ``SMALL`` measured bytes; beyond that both sides shuffle by id, of which each
+side has a row at most, so what passes through the driver does not grow with the tables.
 """
 
 from __future__ import annotations
@@ -30,11 +32,13 @@ from listinglake import publication, schemas
 from listinglake.constants import TITLE_KEYWORDS
 from listinglake.operators import silver
 from listinglake.operators.ranking import first_per_key, latest_per_key
-from listinglake.operators.skew import lookup_join
+from listinglake.operators.skew import lookup_join, measured_bytes
 from listinglake.session import configure, store
 
 WINNERS, PAIRS = "silver/winners", "silver/pairs"
 BUCKETS = 32
+#: Measured bytes of a table of ids up to which it passes through the driver as a broadcast.
+SMALL = 4 * 1024 * 1024
 _SILVER = [name for name, _ in schemas.fields(schemas.SILVER)]
 _PAIR = ["title", "company_name", "publication_date", "id"]
 
@@ -63,6 +67,15 @@ def _pair() -> Column:
     return F.struct("title", "company_name")
 
 
+def _by_same_id(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join by ``id``, which no side holds twice: no id can be hot.
+
+    The hint holds a larger ``right`` back from Spark's own broadcasts too.
+    """
+    small = measured_bytes(right) <= SMALL
+    return left.join(F.broadcast(right) if small else right.hint("shuffle_hash"), "id", how)
+
+
 def _keys(frame: DataFrame, bucket: Column) -> list[str]:
     """The parts that ``frame`` touches."""
     return sorted(str(row[0]) for row in frame.select(bucket).distinct().collect())
@@ -123,7 +136,7 @@ def merge_capture(
     fresh = store(latest_per_key(rows, ["id"], "publication_date"), "capture-newest")
     touched = _keys(fresh, _by_id(buckets))
     known = stored.read(WINNERS, touched, f"{schemas.SILVER}, listed boolean")
-    before = store(lookup_join(known, fresh.select("id"), "id", "left_semi"), "capture-before")
+    before = store(_by_same_id(known, fresh.select("id"), "left_semi"), "capture-before")
     contest = before.select(*_SILVER, F.lit(0).alias("_new")).unionByName(
         fresh.select(*_SILVER, F.lit(1).alias("_new"))
     )
@@ -136,15 +149,15 @@ def merge_capture(
         return Merged(stored.version, stored.rows(True), stored.rows(False), 0, 0)
 
     # 2. Newest winner per pair, for the pairs that changed ids leave or enter.
-    left = lookup_join(before, changed.select("id"), "id", "left_semi")
+    left = _by_same_id(before, changed.select("id"), "left_semi")
     moved = store(left.select(*_PAIR).union(changed.select(*_PAIR)), "capture-pairs")
     pair_keys = _keys(moved, _by_pair(buckets))
     entries = stored.read(PAIRS, pair_keys, _pairs_schema())
-    entries = lookup_join(entries, changed.select("id"), "id", "left_anti").unionByName(
+    entries = _by_same_id(entries, changed.select("id"), "left_anti").unionByName(
         changed.select(*_PAIR, F.lit(None).cast("boolean").alias("listed"))
     )
     pairs = moved.select(_pair().alias("_pair")).distinct().withColumn("_open", F.lit(True))
-    marked = store(lookup_join(entries.withColumn("_pair", _pair()), pairs, "_pair", "left"), "capture-entries")
+    marked = store(lookup_join(entries.withColumn("_pair", _pair()), pairs, "_pair", "left", SMALL), "capture-entries")
     best = first_per_key(
         marked.where("_open").select("_pair", "id", "publication_date"),
         ["_pair"],
@@ -153,7 +166,7 @@ def merge_capture(
     best = best.select("id", F.lit(True).alias("_best"))
     verdict = F.when(F.col("_open"), F.coalesce("_best", F.lit(False))).otherwise(F.col("listed"))
     decided = store(
-        lookup_join(marked, store(best, "capture-best"), "id", "left").select(
+        _by_same_id(marked, store(best, "capture-best"), "left").select(
             *_PAIR, verdict.alias("listed"), F.col("listed").alias("_was")
         ),
         "capture-decided",
@@ -166,9 +179,9 @@ def merge_capture(
     )
     winner_keys = _keys(flips, _by_id(buckets))
     old = stored.read(WINNERS, winner_keys, f"{schemas.SILVER}, listed boolean")
-    old = lookup_join(old, changed.select("id"), "id", "left_anti")
+    old = _by_same_id(old, changed.select("id"), "left_anti")
     both = old.unionByName(changed.withColumn("listed", F.lit(False)))
-    now = lookup_join(both, flips, "id", "left").select(
+    now = _by_same_id(both, flips, "left").select(
         *_SILVER, F.coalesce("_now", "listed").alias("listed"), _by_id(buckets).alias("bucket")
     )
     winners = publication.stage_parts(now, root, WINNERS, "bucket", files, notes=notes)
