@@ -70,7 +70,9 @@ class _Run(StatefulProcessor):
         used = [one for one in copies if one[0] <= awaited]
         late = [one for one in copies if one[0] > awaited]
         if waits_from is not None and waits_from <= awaited:
-            held = [one for pages, requests in self.waiting.get() for one in zip(pages, requests, strict=True)]
+            chunks = (zip(pages, requests, strict=True) for pages, requests in self.waiting.get())
+            # A copy that landed twice while it waited counts once.
+            held = dict.fromkeys(one for chunk in chunks for one in chunk)
             used += [one for one in held if one[0] <= awaited]
             late += [one for one in held if one[0] > awaited]
             self.waiting.clear()

@@ -58,3 +58,14 @@ def test_a_batch_costs_a_run_few_state_calls_whatever_it_brings():
 def test_spans_of_pages_join_neighbours():
     assert pages._with_pages([(2, 3), (7, 9)], {4, 6, 12, 8}) == [(2, 4), (6, 9), (12, 12)]
     assert pages._with_pages([], set()) == []
+
+
+def test_a_copy_that_lands_twice_while_it_waits_counts_once():
+    run = pages._Run()
+    run.init(_Handle())
+    batches = [[(3, 30, True)], [(3, 30, True), (2, 20, True)], [(1, 10, True)]]
+    used = []
+    for batch in batches:
+        rows = [Row(run="a", page=p, request_seq=r, leads=leads) for p, r, leads in batch]
+        used += [(row.page, row.request_seq) for row in run.handleInputRows(("a",), iter(rows), None)]
+    assert sorted(used) == [(1, 10), (2, 20), (3, 30)]
